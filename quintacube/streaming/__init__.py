@@ -1,0 +1 @@
+"""The workload is a full batch reload per run; it has no streaming operators, so none are built."""
