@@ -84,15 +84,26 @@ def dim_store(stg_stores: DataFrame) -> DataFrame:
     )
 
 
+def build_dimension(
+    name: str, t: staging.Tables, stg: Mapping[str, DataFrame], surrogate: bool = True
+) -> DataFrame:
+    """One dimension with its "all" member."""
+    if name == "Dim_Tempo":
+        rows = dim_date(stg["vendas"])
+    elif name == "Dim_Cliente":
+        rows = dim_client(stg["clientes"], surrogate)
+    elif name == "Dim_Funcionario":
+        rows = dim_employee(stg["funcionarios"], stg["cargos_mais_recentes"])
+    elif name == "Dim_Produto":
+        rows = dim_product(stg["produtos"], t, surrogate)
+    elif name == "Dim_Loja":
+        rows = dim_store(stg["lojas"])
+    else:
+        raise KeyError(name)
+    return with_all_member(rows, name)
+
+
 def build_dimensions(
     t: staging.Tables, stg: Mapping[str, DataFrame], surrogate: bool = True
 ) -> dict[str, DataFrame]:
-    """All dimensions with their "all" members."""
-    plain = {
-        "Dim_Tempo": dim_date(stg["vendas"]),
-        "Dim_Cliente": dim_client(stg["clientes"], surrogate),
-        "Dim_Funcionario": dim_employee(stg["funcionarios"], stg["cargos_mais_recentes"]),
-        "Dim_Produto": dim_product(stg["produtos"], t, surrogate),
-        "Dim_Loja": dim_store(stg["lojas"]),
-    }
-    return {name: with_all_member(dim, name) for name, dim in plain.items()}
+    return {name: build_dimension(name, t, stg, surrogate) for name in ALL_MEMBERS}

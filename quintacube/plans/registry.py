@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import UserDict
 from collections.abc import Callable
 from functools import cached_property
 
@@ -33,24 +34,45 @@ def set_name(number: int, letters: str) -> str:
     return f"cube_{number:02d}_{letters or 'total'}"
 
 
+class Staged(UserDict):
+    """Staging tables of a model, each built when it is first asked for."""
+
+    def __init__(self, sources: standins.RetailTables):
+        super().__init__()
+        self._sources = sources
+
+    def __missing__(self, name: str) -> DataFrame:
+        if name == "cargos_mais_recentes":
+            self[name] = staging.latest_jobs(self._sources, "event_id")
+        else:
+            self[name] = staging.BUILDERS[name](self._sources)
+        return self[name]
+
+
+class Dimensions(UserDict):
+    """Dimensions with natural keys, which are whole numbers here; built when asked for."""
+
+    def __init__(self, sources: standins.RetailTables, stg: Staged):
+        super().__init__()
+        self._sources, self._stg = sources, stg
+
+    def __missing__(self, name: str) -> DataFrame:
+        self[name] = dimensions.build_dimension(name, self._sources, self._stg, surrogate=False)
+        return self[name]
+
+
 class Model:
     """Everything a query may need, built lazily from the tables below `sf_dir`."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
-        self.sources = standins.retail_tables(spark, sf_dir)
-        self.stg = staging.build_staging(self.sources) | {
-            "cargos_mais_recentes": staging.latest_jobs(self.sources, "event_id")
-        }
+        self.sources = standins.RetailTables(spark, sf_dir)
+        self.stg = Staged(self.sources)
+        self.plain_dims = Dimensions(self.sources, self.stg)
 
     def read(self, table: str) -> DataFrame:
         return standins.read(self.spark, self.sf_dir, table)
 
-    @cached_property
-    def plain_dims(self) -> dict[str, DataFrame]:
-        """Dimensions keyed by their natural keys, which are whole numbers here."""
-        return dimensions.build_dimensions(self.sources, self.stg, surrogate=False)
-
     @cached_property
     def cube_input(self) -> cube.CubeInput:
         return cube.cube_input(self.stg, self.plain_dims)
@@ -115,16 +137,18 @@ def insert_ignore(m: Model) -> DataFrame:
     return loads.insert_ignore(loaded, arriving, "cpf", [F.asc("nomeCliente")])
 
 
+def _needed(m: Model) -> dict[str, DataFrame]:
+    return {name: m.stg[name] for name in ("compras", "funcionarios")}
+
+
 def upsert_fact(m: Model) -> DataFrame:
     """Client-employee groups of the open lines replace those of the finished ones."""
 
     def part(state: str) -> DataFrame:
         lines = m.read("lineitem").where(f"l_returnflag <> 'R' AND l_linestatus = '{state}'")
-        own = m.sources | {"tb010_012_vendas": standins.sold_lines(lines, m.read("orders"))}
-        stg = m.stg | {"vendas": staging.sales(own)}
-        return cube.cube_set(
-            cube.cube_input(stg, m.plain_dims), ("idCliente", "idFuncionario")
-        )
+        sold = {"tb010_012_vendas": standins.sold_lines(lines, m.read("orders"))}
+        given = cube.cube_input({**_needed(m), "vendas": staging.sales(sold)}, m.plain_dims)
+        return cube.cube_set(given, ("idCliente", "idFuncionario"))
 
     return loads.upsert_fact(part("F"), part("O"))
 

@@ -6,15 +6,44 @@ for employees, nations for stores and the event stream for job histories and run
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Columns of the input tables. Declaring them spares a schema scan per table.
+INPUT_DDL = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "customer": (
+        "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    ),
+    "part": (
+        "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+        "p_retailprice double"
+    ),
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+        "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+        "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+        "props string"
+    ),
+}
+
 # The event type that stands for a full run.
 FULL_RUN = "purchase"
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return spark.read.schema(INPUT_DDL[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
 def _price(column: str):
@@ -34,86 +63,140 @@ def sold_lines(line: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
-def retail_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    region = read(spark, sf_dir, "region")
-    nation = read(spark, sf_dir, "nation").join(
-        region, F.col("n_regionkey") == F.col("r_regionkey")
-    )
-    line = read(spark, sf_dir, "lineitem")
-    orders = read(spark, sf_dir, "orders")
-    part = read(spark, sf_dir, "part")
-    customer = read(spark, sf_dir, "customer")
-    supplier = read(spark, sf_dir, "supplier")
-    events = read(spark, sf_dir, "events")
-
-    bought = line.where("l_returnflag = 'R' AND l_linenumber = 1")
-
-    def details(condition: str, detail_id: str, detail: str, source: str) -> DataFrame:
-        return part.where(condition).select(
-            F.col("p_partkey").alias(detail_id),
-            F.col("p_partkey").alias("tb012_cod_produto"),
-            F.col(source).alias(detail),
+class RetailTables(Mapping[str, DataFrame]):
+    """The source tables of the retail model; each is built when it is asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._sf_dir = spark, sf_dir
+        self._builders = {
+            "tb001_uf": self._states,
+            "tb002_cidades": self._cities,
+            "tb003_enderecos": self._addresses,
+            "tb004_lojas": self._stores,
+            "tb005_funcionarios": self._employees,
+            "tb005_006_funcionarios_cargos": self._job_history,
+            "tb006_cargos": self._jobs,
+            "tb010_clientes": self._clients,
+            "tb010_012_vendas": self._sales,
+            "tb012_017_compras": self._purchases,
+            "tb012_produtos": self._products,
+            "tb013_categorias": self._categories,
+            "tb014_prd_alimentos": self._food,
+            "tb015_prd_eletros": self._appliances,
+            "tb016_prd_vestuarios": self._clothing,
+        }
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._builders[name]()
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+    def _read(self, table: str) -> DataFrame:
+        return read(self._spark, self._sf_dir, table)
+
+    def _nations(self) -> DataFrame:
+        return self._read("nation").join(
+            self._read("region"), F.col("n_regionkey") == F.col("r_regionkey")
         )
 
-    return {
-        "tb001_uf": region.select(
+    def _states(self) -> DataFrame:
+        return self._read("region").select(
             F.col("r_name").alias("tb001_sigla_uf"), F.col("r_name").alias("tb001_nome_estado")
-        ),
-        "tb002_cidades": nation.select(
+        )
+
+    def _cities(self) -> DataFrame:
+        return self._nations().select(
             F.col("n_nationkey").alias("tb002_cod_cidade"),
             F.col("r_name").alias("tb001_sigla_uf"),
             F.col("n_name").alias("tb002_nome_cidade"),
-        ),
-        "tb003_enderecos": nation.select(
+        )
+
+    def _addresses(self) -> DataFrame:
+        return self._nations().select(
             F.col("n_nationkey").alias("tb003_cod_endereco"),
             F.col("r_name").alias("tb001_sigla_uf"),
             F.col("n_nationkey").alias("tb002_cod_cidade"),
-        ),
-        "tb004_lojas": read(spark, sf_dir, "nation").select(
+        )
+
+    def _stores(self) -> DataFrame:
+        return self._read("nation").select(
             F.col("n_nationkey").alias("tb004_cod_loja"),
             F.col("n_nationkey").alias("tb003_cod_endereco"),
-        ),
-        "tb005_funcionarios": supplier.select(
+        )
+
+    def _employees(self) -> DataFrame:
+        return self._read("supplier").select(
             F.col("s_suppkey").alias("tb005_matricula"),
             F.col("s_nationkey").alias("tb004_cod_loja"),
             F.col("s_name").alias("tb005_nome_completo"),
             F.col("s_suppkey").cast("string").alias("tb005_cpf"),
-        ),
-        "tb005_006_funcionarios_cargos": events.select(
+        )
+
+    def _job_history(self) -> DataFrame:
+        return self._read("events").select(
             F.col("user_id").alias("tb005_matricula"),
             F.col("event_type").alias("tb006_cod_cargo"),
             F.col("ts").alias("tb005_006_data_promocao"),
             "event_id",
-        ),
-        "tb006_cargos": events.select(F.col("event_type").alias("tb006_cod_cargo"))
-        .distinct()
-        .select("tb006_cod_cargo", F.col("tb006_cod_cargo").alias("tb006_nome_cargo")),
-        "tb010_clientes": customer.select(
+        )
+
+    def _jobs(self) -> DataFrame:
+        names = self._read("events").select(F.col("event_type").alias("tb006_cod_cargo"))
+        return names.distinct().withColumn("tb006_nome_cargo", F.col("tb006_cod_cargo"))
+
+    def _clients(self) -> DataFrame:
+        return self._read("customer").select(
             F.col("c_custkey").alias("tb010_cpf"), F.col("c_name").alias("tb010_nome")
-        ),
-        "tb010_012_vendas": sold_lines(line.where("l_returnflag <> 'R'"), orders),
-        "tb012_017_compras": bought.select(
+        )
+
+    def _sales(self) -> DataFrame:
+        kept = self._read("lineitem").where("l_returnflag <> 'R'")
+        return sold_lines(kept, self._read("orders"))
+
+    def _purchases(self) -> DataFrame:
+        bought = self._read("lineitem").where("l_returnflag = 'R' AND l_linenumber = 1")
+        return bought.select(
             F.col("l_partkey").alias("tb012_cod_produto"),
             _price("l_extendedprice").alias("tb012_017_valor_unitario"),
-        ),
-        "tb012_produtos": part.select(
+        )
+
+    def _products(self) -> DataFrame:
+        return self._read("part").select(
             F.col("p_partkey").alias("tb012_cod_produto"),
             F.col("p_brand").alias("tb013_cod_categoria"),
             F.col("p_name").alias("tb012_descricao"),
-        ),
-        "tb013_categorias": part.select(F.col("p_brand").alias("tb013_cod_categoria"))
-        .distinct()
-        .select("tb013_cod_categoria", F.col("tb013_cod_categoria").alias("tb013_descricao")),
-        "tb014_prd_alimentos": details(
+        )
+
+    def _categories(self) -> DataFrame:
+        codes = self._read("part").select(F.col("p_brand").alias("tb013_cod_categoria"))
+        return codes.distinct().withColumn("tb013_descricao", F.col("tb013_cod_categoria"))
+
+    def _details(self, condition: str, detail_id: str, detail: str, source: str) -> DataFrame:
+        rows = self._read("part").where(condition)
+        return rows.select(
+            F.col("p_partkey").alias(detail_id),
+            F.col("p_partkey").alias("tb012_cod_produto"),
+            F.col(source).alias(detail),
+        )
+
+    def _food(self) -> DataFrame:
+        return self._details(
             "p_size <= 20", "tb014_cod_prd_alimentos", "tb014_detalhamento", "p_type"
-        ),
-        "tb015_prd_eletros": details(
+        )
+
+    def _appliances(self) -> DataFrame:
+        return self._details(
             "p_size BETWEEN 15 AND 35", "tb015_cod_prd_eletro", "tb015_detalhamento", "p_brand"
-        ),
-        "tb016_prd_vestuarios": details(
+        )
+
+    def _clothing(self) -> DataFrame:
+        return self._details(
             "p_size BETWEEN 30 AND 45", "tb016_cod_prd_vestuario", "tb016_detalhamento", "p_name"
-        ),
-    }
+        )
 
 
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
