@@ -14,9 +14,8 @@ def month_first_timestamp(text: Column) -> Column:
     return F.to_timestamp_ntz(text, F.lit("M/d/yyyy"))
 
 
-def date_key(ts: Column) -> Column:
-    """Calendar key YYYYMMDD as an integer, by arithmetic rather than by formatting text."""
-    return (F.year(ts) * 10000 + F.month(ts) * 100 + F.dayofmonth(ts)).cast("int")
+# Calendar key YYYYMMDD of a column as an integer, by arithmetic rather than by formatting text.
+DATE_KEY = "CAST(year({0}) * 10000 + month({0}) * 100 + dayofmonth({0}) AS int)"
 
 
 def line_value(price: Column, quantity: Column) -> Column:

@@ -16,8 +16,10 @@ from itertools import product
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from quintacube.functions.expressions import ALL, date_key, line_profit, line_value
+from quintacube.functions.expressions import ALL, DATE_KEY, line_profit, line_value
+from quintacube.functions.sizing import cut, small_side
 from quintacube.operators.cost import COST_TYPE, average_cost
 
 KEYS = ("idData", "idCliente", "idFuncionario", "idLoja", "idProduto")
@@ -52,25 +54,23 @@ class CubeInput:
 
 def cube_input(stg, dims, measures: Measures = Measures(), cost_type: str = COST_TYPE) -> CubeInput:
     """Cut staging and dimensions to the columns the cube needs."""
-    unknown = F.col("idCliente") != ALL
     return CubeInput(
-        sales=stg["vendas"].select(
-            date_key(F.col("tb010_012_data")).alias("idData"),
-            F.col("tb010_cpf").alias("cpf"),
-            F.col("tb005_matricula").alias("idFuncionario"),
-            F.col("tb012_cod_produto").alias("produto"),
-            F.col("tb010_012_quantidade").alias("quantidade"),
-            F.col("tb010_012_valor_unitario").alias("unitario"),
+        sales=stg["vendas"].selectExpr(
+            f"{DATE_KEY.format('tb010_012_data')} AS idData",
+            "tb010_cpf AS cpf",
+            "tb005_matricula AS idFuncionario",
+            "tb012_cod_produto AS produto",
+            "tb010_012_quantidade AS quantidade",
+            "tb010_012_valor_unitario AS unitario",
         ),
-        clients=dims["Dim_Cliente"].where(unknown).select("cpf", "idCliente"),
-        employees=stg["funcionarios"].select(
-            F.col("tb005_matricula").alias("idFuncionario"),
-            F.col("tb004_cod_loja").alias("idLoja"),
+        clients=dims["Dim_Cliente"].where(f"idCliente <> {ALL}").select("cpf", "idCliente"),
+        employees=stg["funcionarios"].selectExpr(
+            "tb005_matricula AS idFuncionario", "tb004_cod_loja AS idLoja"
         ),
-        stores=dims["Dim_Loja"].where(F.col("idLoja") != ALL).select("idLoja"),
+        stores=dims["Dim_Loja"].where(f"idLoja <> {ALL}").select("idLoja"),
         products=dims["Dim_Produto"]
-        .where(F.col("idProduto") != ALL)
-        .select(F.col("codProdutoOrigem").alias("produto"), "idProduto"),
+        .where(f"idProduto <> {ALL}")
+        .selectExpr("codProdutoOrigem AS produto", "idProduto"),
         cost=average_cost(stg["compras"], cost_type).withColumnRenamed(
             "tb012_cod_produto", "produto"
         ),
@@ -97,12 +97,12 @@ def _sums() -> list[Column]:
 
 def _stored(rows: DataFrame, measures: Measures) -> DataFrame:
     """Round once, when the row is stored, and drop groups whose key is unknown."""
-    return rows.dropna(subset=list(KEYS)).select(
+    return rows.dropna(subset=list(KEYS)).selectExpr(
         "gid",
         *KEYS,
-        F.col("quantidade").cast(measures.quantity).alias("quantidade"),
-        F.col("valor").cast(measures.money).alias("valor"),
-        F.col("lucro").cast(measures.money).alias("lucro"),
+        f"CAST(quantidade AS {measures.quantity}) AS quantidade",
+        f"CAST(valor AS {measures.money}) AS valor",
+        f"CAST(lucro AS {measures.money}) AS lucro",
     )
 
 
@@ -142,7 +142,8 @@ def cube_set(m: CubeInput, keys: Sequence[str]) -> DataFrame:
     by_product = "idProduto" in chosen
     rows = m.sales
     if "idLoja" in chosen:
-        rows = rows.join(_employee_store(m).dropna(subset=["idLoja"]), "idFuncionario")
+        place = small_side(_employee_store(m).dropna(subset=["idLoja"]))
+        rows = rows.join(place, "idFuncionario")
     source_key = {"idCliente": "cpf", "idProduto": "produto"}
     group = [source_key.get(k, k) for k in chosen]
     price, quantity = F.col("unitario"), F.col("quantidade")
@@ -150,22 +151,23 @@ def cube_set(m: CubeInput, keys: Sequence[str]) -> DataFrame:
     if by_product:
         summed = rows.groupBy(*group).agg(F.sum(quantity).alias("quantidade"), value)
         summed = _grain_profit(
-            summed.join(m.products, "produto").join(m.cost, "produto", "left")
+            summed.join(small_side(m.products), "produto").join(m.cost, "produto", "left")
         )
     else:
         profit = line_profit(price, F.col("custo_medio"), quantity)
         summed = (
-            rows.join(m.cost, "produto", "left")
+            rows.join(small_side(cut(m.cost)), "produto", "left")
             .groupBy(*group)
             .agg(F.sum(quantity).alias("quantidade"), value, F.sum(profit).alias("lucro"))
         )
         _require_scale(summed, m.cost.schema["custo_medio"].dataType.scale)
     if "idCliente" in chosen:
-        summed = summed.join(m.clients, "cpf")
+        summed = summed.join(small_side(m.clients), "cpf")
     types = _key_types(m)
-    named = summed.select(
-        F.lit(gid_of(chosen)).alias("gid"),
-        *[F.col(k) if k in chosen else F.lit(ALL).cast(types[k]).alias(k) for k in KEYS],
+    rolled_up = {k: f"CAST({ALL} AS {types[k].simpleString()}) AS {k}" for k in KEYS}
+    named = summed.selectExpr(
+        f"{gid_of(chosen)} AS gid",
+        *[k if k in chosen else rolled_up[k] for k in KEYS],
         *MEASURES,
     )
     # No sales, no fact rows: a total over nothing would be a row of NULL measures.
@@ -196,21 +198,33 @@ def _key_types(m: CubeInput) -> dict:
 
 
 def sales_grain(m: CubeInput) -> DataFrame:
-    """Sales summed by the five keys; copies of one sale combine before the shuffle."""
+    """Sales summed by their keys, with store, product key and profit looked up.
+
+    Copies of one sale combine before the shuffle, and the lookups meet the summed rows only.
+    Unknown stores and products stay as NULL.
+    """
     price, quantity = F.col("unitario"), F.col("quantidade")
-    return (
-        m.sales.groupBy("idData", "cpf", "idFuncionario", "produto")
-        .agg(F.sum(quantity).alias("quantidade"), F.sum(line_value(price, quantity)).alias("valor"))
-        # Every branch below keeps both sums, so that all of them read the same shuffle.
-        .dropna(subset=["quantidade", "valor"])
+    summed = m.sales.groupBy("idData", "cpf", "idFuncionario", "produto").agg(
+        F.sum(quantity).alias("quantidade"), F.sum(line_value(price, quantity)).alias("valor")
+    )
+    # A product may be known without ever being bought, or bought without being known.
+    product_lookup = m.products.join(cut(m.cost), "produto", "full")
+    rows = summed.join(small_side(product_lookup), "produto", "left").join(
+        small_side(_employee_store(m)), "idFuncionario", "left"
     )
+    return _grain_profit(rows).drop("custo_medio")
 
 
-def heavy_keys(rows: DataFrame, key: str, parts: int) -> DataFrame:
-    """Keys holding more than 1/parts of the rows: fewer than `parts` of them, by arithmetic."""
-    counts = rows.groupBy(key).agg(F.count("*").alias("_n"))
-    total = counts.agg(F.sum("_n").alias("_total")).scalar()
-    return counts.where(F.col("_n") * parts > total).select(key)
+def heavy_keys(rows: DataFrame, key: str, parts: int) -> list:
+    """Keys holding more than 1/parts of the rows: fewer than `parts` values, by arithmetic."""
+    counts = rows.dropna(subset=[key]).groupBy(key).agg(F.count("*").alias("_n"))
+    limit = rows.count() / parts
+    return [row[0] for row in counts.where(F.col("_n") > limit).select(key).collect()]
+
+
+def _all_of(rows: DataFrame, key: str) -> str:
+    """SQL of the "all" key in the type of a column."""
+    return f"CAST({ALL} AS {rows.schema[key].dataType.simpleString()})"
 
 
 def _levels(rows: DataFrame, fixed: Sequence[str], free: Sequence[str]) -> DataFrame:
@@ -218,53 +232,49 @@ def _levels(rows: DataFrame, fixed: Sequence[str], free: Sequence[str]) -> DataF
 
     `gid` treats the employee as carrying the store: the store column stays filled beside it.
     """
-    types = {k: rows.schema[k].dataType for k in KEYS if k in rows.columns}
+    all_of = {k: _all_of(rows, k) for k in free}
 
-    def level(used: set[str]) -> Column:
+    def level(used: set[str]) -> str:
         shown = used | ({"idLoja"} if "idFuncionario" in used else set())
-        return F.struct(
-            F.lit(gid_of(shown)).alias("gid"),
-            *[
-                (F.col(k) if k in shown else F.lit(ALL).cast(types[k])).alias(k)
-                for k in KEYS
-                if k in free
-            ],
-        )
+        keys = [f"{k if k in shown else all_of[k]} AS {k}" for k in KEYS if k in free]
+        return f"struct({', '.join([f'{gid_of(shown)} AS gid', *keys])})"
 
     places = [(), ("idLoja",), ("idFuncionario",)]
     others = [[(), (k,)] for k in free if k not in ("idLoja", "idFuncionario")]
     copies = [level({*fixed, *sum(combo, ())}) for combo in product(places, *others)]
     kept = [c for c in rows.columns if c not in free]
-    return rows.select(*kept, F.inline(F.array(*copies)))
+    return rows.selectExpr(*kept, f"inline(array({', '.join(copies)}))")
 
 
 def _with_store_copies(rows: DataFrame) -> DataFrame:
     """Emit each employee group a second time without its store."""
-    without = F.struct(
-        (F.col("gid") + _BIT["idLoja"]).alias("gid"),
-        F.lit(ALL).cast(rows.schema["idLoja"].dataType).alias("idLoja"),
-    )
-    same = F.struct(F.col("gid"), F.col("idLoja"))
-    by_employee = F.col("gid").bitwiseAND(_BIT["idFuncionario"]) == 0
-    pair = F.when(by_employee, F.array(same, without)).otherwise(F.array(same))
     kept = [c for c in rows.columns if c not in ("gid", "idLoja")]
-    return rows.select(*kept, F.inline(pair))
+    same = "struct(gid, idLoja)"
+    without = f"struct(gid + {_BIT['idLoja']} AS gid, {_all_of(rows, 'idLoja')} AS idLoja)"
+    by_employee = f"(gid & {_BIT['idFuncionario']}) = 0"
+    return rows.selectExpr(
+        *kept,
+        f"inline(CASE WHEN {by_employee} THEN array({same}, {without}) ELSE array({same}) END)",
+    )
 
 
 def _sets_with(
     rows: DataFrame,
     anchor: str,
-    heavy: DataFrame,
-    known: Callable[[DataFrame, bool], DataFrame],
+    known: Callable[[DataFrame, DataFrame | None], DataFrame],
     free: Sequence[str],
 ) -> DataFrame:
     """All groupings that contain the key found through `anchor`, from one shuffle of the rows.
 
     Rows are partitioned by the anchor once; every grouping then aggregates inside its partition.
     Anchors too heavy for one task take the other way: their copies are combined before a shuffle
-    on the whole group key. `known` resolves the anchor to its dimension key.
+    on the whole group key. `known` resolves the anchor to its dimension key; for heavy anchors it
+    is given their values.
     """
     rows = rows.dropna(subset=[anchor])
+    spark = rows.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    heavy = heavy_keys(rows, anchor, parts)
 
     def summed(part: DataFrame) -> DataFrame:
         fixed = [k for k in KEYS if k in part.columns and k not in free]
@@ -272,64 +282,59 @@ def _sets_with(
         group = [anchor, "gid", *[k for k in KEYS if k in copies.columns]]
         return copies.groupBy(*group).agg(*_sums()).drop(anchor)
 
-    # `heavy` has fewer rows than there are shuffle partitions.
-    light = rows.join(F.broadcast(heavy), anchor, "left_anti").repartition(anchor)
-    hot = rows.join(F.broadcast(heavy), anchor, "left_semi")
-    return summed(known(light, False)).unionByName(summed(known(hot, True)))
+    # The partition count is given, as small partitions must not be merged before their rows are
+    # copied once per grouping.
+    if not heavy:
+        return summed(known(rows.repartition(parts, anchor), None))
+    few = spark.createDataFrame(
+        [(value,) for value in heavy],
+        T.StructType([T.StructField(anchor, rows.schema[anchor].dataType)]),
+    )
+    light = rows.join(F.broadcast(few), anchor, "left_anti").repartition(parts, anchor)
+    hot = rows.join(F.broadcast(few), anchor, "left_semi")
+    return summed(known(light, None)).unionByName(summed(known(hot, few)))
 
 
-def build_cube(m: CubeInput, grain: DataFrame | None = None, parts: int | None = None) -> DataFrame:
+def build_cube(m: CubeInput, rows: DataFrame | None = None) -> DataFrame:
     """All 32 groupings.
 
-    `grain` may be the result of `sales_grain` read back from a written table, which cuts the
-    lineage of a long run. `parts` is the number of shuffle partitions.
+    `rows` may be the result of `sales_grain` read back from a written table; without it the grain
+    is checkpointed here. Either way every branch below starts from files: none of them repeats
+    the joins, and a lost executor costs a re-read.
     """
-    grain = sales_grain(m) if grain is None else grain
-    parts = parts or int(grain.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = cut(sales_grain(m)) if rows is None else rows
     types = _key_types(m)
-
-    # A product may be known without ever being bought, or bought without being known.
-    product_lookup = m.products.join(m.cost, "produto", "full")
-    rows = _grain_profit(
-        grain.join(product_lookup, "produto", "left").join(
-            _employee_store(m), "idFuncionario", "left"
-        )
-    )
     place = ["idData", "idFuncionario", "idLoja"]
     measures = list(MEASURES)
 
-    heavy_clients = heavy_keys(grain, "cpf", parts)
-    heavy_products = heavy_keys(grain, "produto", parts)
-
-    def with_client(part: DataFrame, hot: bool) -> DataFrame:
-        if not hot:
+    def with_client(part: DataFrame, heavy: DataFrame | None) -> DataFrame:
+        if heavy is None:
             return part.join(m.clients, "cpf")
-        # Only the clients of the heavy keys: no more rows than `heavy_clients` has.
-        few = m.clients.join(F.broadcast(heavy_clients), "cpf", "left_semi")
+        # The clients of the heavy keys only: no more rows than `heavy` has.
+        few = m.clients.join(F.broadcast(heavy), "cpf", "left_semi")
         return part.join(F.broadcast(few), "cpf")
 
     by_client = _sets_with(
         rows.select("cpf", *place, "idProduto", *measures),
         "cpf",
-        heavy_clients,
         with_client,
         [*place, "idProduto"],
     )
     by_product = _sets_with(
         rows.dropna(subset=["idProduto"]).select("produto", "idProduto", *place, *measures),
         "produto",
-        heavy_products,
-        lambda part, hot: part,
+        lambda part, heavy: part,
         place,
     )
     rest = _levels(rows.groupBy(*place).agg(*_sums()), [], place)
     rest = rest.groupBy("gid", *place).agg(*_sums())
 
     def complete(part: DataFrame) -> DataFrame:
-        for key in KEYS:
-            if key not in part.columns:
-                part = part.withColumn(key, F.lit(ALL).cast(types[key]))
-        return _stored(_with_store_copies(part), m.measures)
+        rolled_up = [k for k in KEYS if k not in part.columns]
+        filled = part.selectExpr(
+            "*", *[f"CAST({ALL} AS {types[k].simpleString()}) AS {k}" for k in rolled_up]
+        )
+        return _stored(_with_store_copies(filled), m.measures)
 
     return complete(by_client).unionByName(complete(by_product)).unionByName(complete(rest))
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quintacube.functions.expressions import ALL, date_key
+from quintacube.functions.expressions import ALL, DATE_KEY
 from quintacube.operators import staging
 from quintacube.operators.surrogate import dense_ids
 
@@ -31,14 +31,13 @@ def with_all_member(dim: DataFrame, name: str) -> DataFrame:
 
 def dim_date(stg_sales: DataFrame) -> DataFrame:
     """One row per day with sales; days are made distinct before the calendar columns are built."""
-    days = stg_sales.select(F.col("tb010_012_data").cast("date").alias("dataCompleta")).distinct()
-    day = F.col("dataCompleta")
-    return days.select(
-        date_key(day).alias("idData"),
+    days = stg_sales.selectExpr("CAST(tb010_012_data AS date) AS dataCompleta").distinct()
+    return days.selectExpr(
+        f"{DATE_KEY.format('dataCompleta')} AS idData",
         "dataCompleta",
-        F.year(day).alias("ano"),
-        F.month(day).alias("mes"),
-        F.dayofmonth(day).alias("dia"),
+        "year(dataCompleta) AS ano",
+        "month(dataCompleta) AS mes",
+        "dayofmonth(dataCompleta) AS dia",
     )
 
 
@@ -49,39 +48,34 @@ def dim_client(stg_clients: DataFrame, surrogate: bool = True) -> DataFrame:
     )
     if surrogate:
         return dense_ids(unique, "cpf", "idCliente")
-    return unique.select(F.col("cpf").alias("idCliente"), "cpf", "nomeCliente")
+    return unique.selectExpr("cpf AS idCliente", "cpf", "nomeCliente")
 
 
 def dim_employee(stg_employees: DataFrame, stg_jobs: DataFrame) -> DataFrame:
-    return stg_employees.join(stg_jobs, "tb005_matricula", "left").select(
-        F.col("tb005_matricula").alias("idFuncionario"),
-        F.col("tb005_cpf").alias("cpf"),
-        F.col("tb005_nome_completo").alias("nomeFuncionario"),
-        F.coalesce("tb006_nome_cargo", F.lit(NO_JOB)).alias("cargo"),
+    return stg_employees.join(stg_jobs, "tb005_matricula", "left").selectExpr(
+        "tb005_matricula AS idFuncionario",
+        "tb005_cpf AS cpf",
+        "tb005_nome_completo AS nomeFuncionario",
+        f"coalesce(tb006_nome_cargo, '{NO_JOB}') AS cargo",
     )
 
 
 def dim_product(
     stg_products: DataFrame, t: staging.Tables, surrogate: bool = True
 ) -> DataFrame:
-    rows = staging.with_first_detail(stg_products, t).select(
-        F.col("tb012_cod_produto").alias("codProdutoOrigem"),
-        F.col("tb012_descricao").alias("nomeProduto"),
+    rows = staging.with_first_detail(stg_products, t).selectExpr(
+        "tb012_cod_produto AS codProdutoOrigem",
+        "tb012_descricao AS nomeProduto",
         "categoria",
-        F.coalesce("descricao_detalhada", F.lit(NO_DETAIL)).alias("descricaoProduto"),
+        f"coalesce(descricao_detalhada, '{NO_DETAIL}') AS descricaoProduto",
     )
     if surrogate:
         return dense_ids(rows, "codProdutoOrigem", "idProduto")
-    return rows.select(F.col("codProdutoOrigem").alias("idProduto"), *rows.columns)
+    return rows.selectExpr("codProdutoOrigem AS idProduto", "*")
 
 
 def dim_store(stg_stores: DataFrame) -> DataFrame:
-    return stg_stores.select(
-        F.col("tb004_cod_loja").alias("idLoja"),
-        F.col("nome_loja").alias("nomeLoja"),
-        "cidade",
-        "uf",
-    )
+    return stg_stores.selectExpr("tb004_cod_loja AS idLoja", "nome_loja AS nomeLoja", "cidade", "uf")
 
 
 def build_dimension(

@@ -11,9 +11,9 @@ Tables = Mapping[str, DataFrame]
 
 
 def sales(t: Tables) -> DataFrame:
-    return t["tb010_012_vendas"].select(
+    return t["tb010_012_vendas"].selectExpr(
         "tb010_012_cod_venda",
-        F.col("tb010_cpf").cast("bigint").alias("tb010_cpf"),
+        "CAST(tb010_cpf AS bigint) AS tb010_cpf",
         "tb012_cod_produto",
         "tb005_matricula",
         "tb010_012_data",
@@ -27,8 +27,8 @@ def purchases(t: Tables) -> DataFrame:
 
 
 def clients(t: Tables) -> DataFrame:
-    return t["tb010_clientes"].select(
-        F.col("tb010_cpf").cast("bigint").alias("tb010_cpf"), "tb010_nome"
+    return t["tb010_clientes"].selectExpr(
+        "CAST(tb010_cpf AS bigint) AS tb010_cpf", "tb010_nome"
     )
 
 
@@ -63,7 +63,7 @@ def products(t: Tables) -> DataFrame:
     return (
         t["tb012_produtos"]
         .join(t["tb013_categorias"], "tb013_cod_categoria")
-        .select("tb012_cod_produto", "tb012_descricao", F.col("tb013_descricao").alias("categoria"))
+        .selectExpr("tb012_cod_produto", "tb012_descricao", "tb013_descricao AS categoria")
     )
 
 
@@ -118,11 +118,11 @@ def stores(t: Tables) -> DataFrame:
         .join(address, "tb003_cod_endereco")
         .join(city, ["tb002_cod_cidade", "tb001_sigla_uf"])
         .join(state, "tb001_sigla_uf")
-        .select(
+        .selectExpr(
             "tb004_cod_loja",
-            F.concat(F.lit("Loja "), F.col("tb004_cod_loja").cast("string")).alias("nome_loja"),
-            F.col("tb002_nome_cidade").alias("cidade"),
-            F.col("tb001_sigla_uf").alias("uf"),
+            "concat('Loja ', CAST(tb004_cod_loja AS string)) AS nome_loja",
+            "tb002_nome_cidade AS cidade",
+            "tb001_sigla_uf AS uf",
         )
     )
 

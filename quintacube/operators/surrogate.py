@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
-from quintacube.session import ensure_checkpoint_dir
+from quintacube.functions.sizing import cut
 
 _ROW_BITS = 33
 
@@ -18,8 +17,7 @@ def dense_ids(df: DataFrame, key: str, id_name: str) -> DataFrame:
     are fixed. A row's id is its place in its partition plus the size of the partitions before it;
     only one count per partition is ranked, never the rows themselves.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    fixed = df.repartitionByRange(F.asc(key)).sortWithinPartitions(F.asc(key)).checkpoint()
+    fixed = cut(df.repartitionByRange(F.asc(key)).sortWithinPartitions(F.asc(key)))
     placed = fixed.withColumn("_place", F.monotonically_increasing_id()).select(
         "*",
         F.shiftright("_place", _ROW_BITS).alias("_part"),

@@ -109,7 +109,7 @@ def full_run(
         dims = {name: spark.read.parquet(warehouse_path(out, name)) for name in DIMENSIONS}
         given = cube.cube_input(stg, dims, measures)
         save_table(cube.sales_grain(given), staging_path(out, "vendas_grao"))
-        fact = cube.build_cube(given, grain=saved("vendas_grao"))
+        fact = cube.build_cube(given, saved("vendas_grao"))
         save_table(fact, warehouse_path(out, FACT), partition_by="gid")
 
     def refresh_statistics() -> None:

@@ -73,6 +73,18 @@ class Model:
     def read(self, table: str) -> DataFrame:
         return standins.read(self.spark, self.sf_dir, table)
 
+    @cached_property
+    def report_dims(self) -> Dimensions:
+        """As `plain_dims`, with a calendar of all order days.
+
+        It holds every day of the sales, which is what the joins of a report need, and is read from
+        one column instead of from the joined sales.
+        """
+        dims = Dimensions(self.sources, self.stg)
+        days = self.read("orders").select(F.col("o_orderdate").alias("tb010_012_data"))
+        dims["Dim_Tempo"] = dimensions.with_all_member(dimensions.dim_date(days), "Dim_Tempo")
+        return dims
+
     @cached_property
     def cube_input(self) -> cube.CubeInput:
         return cube.cube_input(self.stg, self.plain_dims)
@@ -96,7 +108,7 @@ def _cube_set(letters: str):
 def _report(name: str):
     def run(m: Model) -> DataFrame:
         args = PERIOD if name == "q5_cliente_periodo" else ()
-        return reports.REPORTS[name](m.grouping(*reports.GROUPING[name]), m.plain_dims, *args)
+        return reports.REPORTS[name](m.grouping(*reports.GROUPING[name]), m.report_dims, *args)
 
     return run
 

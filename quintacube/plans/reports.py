@@ -10,7 +10,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quintacube.functions.expressions import date_key
+from quintacube.functions.expressions import DATE_KEY
 
 Dims = Mapping[str, DataFrame]
 
@@ -86,10 +86,10 @@ def by_client_in_period(
 
     The range is put on the day key of the fact as well, which reaches the scan before any join.
     """
-    start, end = F.lit(first).cast("date"), F.lit(last).cast("date")
-    days = dims["Dim_Tempo"].where(F.col("dataCompleta").between(start, end))
+    start, end = f"DATE '{first}'", f"DATE '{last}'"
+    days = dims["Dim_Tempo"].where(f"dataCompleta BETWEEN {start} AND {end}")
     return (
-        fact.where(F.col("idData").between(date_key(start), date_key(end)))
+        fact.where(f"idData BETWEEN {DATE_KEY.format(start)} AND {DATE_KEY.format(end)}")
         .join(days, "idData")
         .join(dims["Dim_Cliente"], "idCliente")
         .select(

@@ -46,20 +46,16 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.schema(INPUT_DDL[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
-def _price(column: str):
-    return F.col(column).cast("decimal(12,2)")
-
-
 def sold_lines(line: DataFrame, orders: DataFrame) -> DataFrame:
     sold = line.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    return sold.select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("tb010_012_cod_venda"),
-        F.col("o_custkey").alias("tb010_cpf"),
-        F.col("l_partkey").alias("tb012_cod_produto"),
-        F.col("l_suppkey").alias("tb005_matricula"),
-        F.col("o_orderdate").alias("tb010_012_data"),
-        F.col("l_quantity").cast("int").alias("tb010_012_quantidade"),
-        _price("l_extendedprice").alias("tb010_012_valor_unitario"),
+    return sold.selectExpr(
+        "l_orderkey * 10 + l_linenumber AS tb010_012_cod_venda",
+        "o_custkey AS tb010_cpf",
+        "l_partkey AS tb012_cod_produto",
+        "l_suppkey AS tb005_matricula",
+        "o_orderdate AS tb010_012_data",
+        "CAST(l_quantity AS int) AS tb010_012_quantidade",
+        "CAST(l_extendedprice AS decimal(12,2)) AS tb010_012_valor_unitario",
     )
 
 
@@ -104,53 +100,53 @@ class RetailTables(Mapping[str, DataFrame]):
         )
 
     def _states(self) -> DataFrame:
-        return self._read("region").select(
-            F.col("r_name").alias("tb001_sigla_uf"), F.col("r_name").alias("tb001_nome_estado")
+        return self._read("region").selectExpr(
+            "r_name AS tb001_sigla_uf", "r_name AS tb001_nome_estado"
         )
 
     def _cities(self) -> DataFrame:
-        return self._nations().select(
-            F.col("n_nationkey").alias("tb002_cod_cidade"),
-            F.col("r_name").alias("tb001_sigla_uf"),
-            F.col("n_name").alias("tb002_nome_cidade"),
+        return self._nations().selectExpr(
+            "n_nationkey AS tb002_cod_cidade",
+            "r_name AS tb001_sigla_uf",
+            "n_name AS tb002_nome_cidade",
         )
 
     def _addresses(self) -> DataFrame:
-        return self._nations().select(
-            F.col("n_nationkey").alias("tb003_cod_endereco"),
-            F.col("r_name").alias("tb001_sigla_uf"),
-            F.col("n_nationkey").alias("tb002_cod_cidade"),
+        return self._nations().selectExpr(
+            "n_nationkey AS tb003_cod_endereco",
+            "r_name AS tb001_sigla_uf",
+            "n_nationkey AS tb002_cod_cidade",
         )
 
     def _stores(self) -> DataFrame:
-        return self._read("nation").select(
-            F.col("n_nationkey").alias("tb004_cod_loja"),
-            F.col("n_nationkey").alias("tb003_cod_endereco"),
+        return self._read("nation").selectExpr(
+            "n_nationkey AS tb004_cod_loja",
+            "n_nationkey AS tb003_cod_endereco",
         )
 
     def _employees(self) -> DataFrame:
-        return self._read("supplier").select(
-            F.col("s_suppkey").alias("tb005_matricula"),
-            F.col("s_nationkey").alias("tb004_cod_loja"),
-            F.col("s_name").alias("tb005_nome_completo"),
-            F.col("s_suppkey").cast("string").alias("tb005_cpf"),
+        return self._read("supplier").selectExpr(
+            "s_suppkey AS tb005_matricula",
+            "s_nationkey AS tb004_cod_loja",
+            "s_name AS tb005_nome_completo",
+            "CAST(s_suppkey AS string) AS tb005_cpf",
         )
 
     def _job_history(self) -> DataFrame:
-        return self._read("events").select(
-            F.col("user_id").alias("tb005_matricula"),
-            F.col("event_type").alias("tb006_cod_cargo"),
-            F.col("ts").alias("tb005_006_data_promocao"),
+        return self._read("events").selectExpr(
+            "user_id AS tb005_matricula",
+            "event_type AS tb006_cod_cargo",
+            "ts AS tb005_006_data_promocao",
             "event_id",
         )
 
     def _jobs(self) -> DataFrame:
-        names = self._read("events").select(F.col("event_type").alias("tb006_cod_cargo"))
-        return names.distinct().withColumn("tb006_nome_cargo", F.col("tb006_cod_cargo"))
+        names = self._read("events").selectExpr("event_type AS tb006_cod_cargo")
+        return names.distinct().selectExpr("tb006_cod_cargo", "tb006_cod_cargo AS tb006_nome_cargo")
 
     def _clients(self) -> DataFrame:
-        return self._read("customer").select(
-            F.col("c_custkey").alias("tb010_cpf"), F.col("c_name").alias("tb010_nome")
+        return self._read("customer").selectExpr(
+            "c_custkey AS tb010_cpf", "c_name AS tb010_nome"
         )
 
     def _sales(self) -> DataFrame:
@@ -159,28 +155,28 @@ class RetailTables(Mapping[str, DataFrame]):
 
     def _purchases(self) -> DataFrame:
         bought = self._read("lineitem").where("l_returnflag = 'R' AND l_linenumber = 1")
-        return bought.select(
-            F.col("l_partkey").alias("tb012_cod_produto"),
-            _price("l_extendedprice").alias("tb012_017_valor_unitario"),
+        return bought.selectExpr(
+            "l_partkey AS tb012_cod_produto",
+            "CAST(l_extendedprice AS decimal(12,2)) AS tb012_017_valor_unitario",
         )
 
     def _products(self) -> DataFrame:
-        return self._read("part").select(
-            F.col("p_partkey").alias("tb012_cod_produto"),
-            F.col("p_brand").alias("tb013_cod_categoria"),
-            F.col("p_name").alias("tb012_descricao"),
+        return self._read("part").selectExpr(
+            "p_partkey AS tb012_cod_produto",
+            "p_brand AS tb013_cod_categoria",
+            "p_name AS tb012_descricao",
         )
 
     def _categories(self) -> DataFrame:
-        codes = self._read("part").select(F.col("p_brand").alias("tb013_cod_categoria"))
-        return codes.distinct().withColumn("tb013_descricao", F.col("tb013_cod_categoria"))
+        codes = self._read("part").selectExpr("p_brand AS tb013_cod_categoria")
+        return codes.distinct().selectExpr("tb013_cod_categoria", "tb013_cod_categoria AS tb013_descricao")
 
     def _details(self, condition: str, detail_id: str, detail: str, source: str) -> DataFrame:
         rows = self._read("part").where(condition)
-        return rows.select(
-            F.col("p_partkey").alias(detail_id),
-            F.col("p_partkey").alias("tb012_cod_produto"),
-            F.col(source).alias(detail),
+        return rows.selectExpr(
+            f"p_partkey AS {detail_id}",
+            "p_partkey AS tb012_cod_produto",
+            f"{source} AS {detail}",
         )
 
     def _food(self) -> DataFrame:
@@ -201,12 +197,11 @@ class RetailTables(Mapping[str, DataFrame]):
 
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run log: one state change per event; the user stands for the run."""
-    state = F.col("event_id") % 10
-    return read(spark, sf_dir, "events").select(
-        F.col("user_id").alias("id_log"),
-        F.col("event_id").alias("sequencia"),
-        F.col("ts").alias("data_execucao"),
-        F.col("event_type").alias("tipo_operacao"),
-        F.when(state == 0, "ERRO").when(state == 1, "INICIADO").otherwise("SUCESSO").alias("status"),
-        F.col("value").cast("int").alias("duracao"),
+    return read(spark, sf_dir, "events").selectExpr(
+        "user_id AS id_log",
+        "event_id AS sequencia",
+        "ts AS data_execucao",
+        "event_type AS tipo_operacao",
+        "CASE event_id % 10 WHEN 0 THEN 'ERRO' WHEN 1 THEN 'INICIADO' ELSE 'SUCESSO' END AS status",
+        "CAST(value AS int) AS duracao",
     )
