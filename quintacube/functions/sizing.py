@@ -1,7 +1,11 @@
-"""Size-checked broadcast and lineage cuts."""
+"""Size-checked broadcast, lineage cuts and unions."""
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +25,15 @@ def small_side(lookup: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Write the rows to the session's checkpoint folder and go on from there."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """Write the rows to a table in the session's checkpoint folder and go on from there.
+
+    Unlike a checkpoint, the table can be read column by column and its size is known.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/tables/{uuid.uuid4()}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def union_all(parts: Sequence[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)

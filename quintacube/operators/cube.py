@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quintacube.functions.expressions import ALL, DATE_KEY, line_profit, line_value
-from quintacube.functions.sizing import cut, small_side
+from quintacube.functions.sizing import cut, small_side, union_all
 from quintacube.operators.cost import COST_TYPE, average_cost
 
 KEYS = ("idData", "idCliente", "idFuncionario", "idLoja", "idProduto")
@@ -208,18 +208,31 @@ def sales_grain(m: CubeInput) -> DataFrame:
         F.sum(quantity).alias("quantidade"), F.sum(line_value(price, quantity)).alias("valor")
     )
     # A product may be known without ever being bought, or bought without being known.
-    product_lookup = m.products.join(cut(m.cost), "produto", "full")
+    product_lookup = cut(m.products.join(m.cost, "produto", "full"))
     rows = summed.join(small_side(product_lookup), "produto", "left").join(
         small_side(_employee_store(m)), "idFuncionario", "left"
     )
     return _grain_profit(rows).drop("custo_medio")
 
 
-def heavy_keys(rows: DataFrame, key: str, parts: int) -> list:
-    """Keys holding more than 1/parts of the rows: fewer than `parts` values, by arithmetic."""
-    counts = rows.dropna(subset=[key]).groupBy(key).agg(F.count("*").alias("_n"))
+def heavy_keys(rows: DataFrame, keys: Sequence[str], parts: int) -> dict[str, list]:
+    """For each key column, the values that hold more than 1/parts of the rows.
+
+    By arithmetic there are fewer than `parts` of them per column, so they may come to the driver.
+    """
     limit = rows.count() / parts
-    return [row[0] for row in counts.where(F.col("_n") > limit).select(key).collect()]
+    found = [
+        rows.dropna(subset=[key])
+        .groupBy(F.col(key).cast("bigint").alias("_value"))
+        .agg(F.count("*").alias("_n"))
+        .where(F.col("_n") > limit)
+        .select(F.lit(key).alias("_key"), "_value")
+        for key in keys
+    ]
+    heavy: dict[str, list] = {key: [] for key in keys}
+    for row in union_all(found).collect():
+        heavy[row["_key"]].append(row["_value"])
+    return heavy
 
 
 def _all_of(rows: DataFrame, key: str) -> str:
@@ -235,11 +248,10 @@ def _levels(rows: DataFrame, fixed: Sequence[str], free: Sequence[str]) -> DataF
     all_of = {k: _all_of(rows, k) for k in free}
 
     def level(used: set[str]) -> str:
-        shown = used | ({"idLoja"} if "idFuncionario" in used else set())
-        keys = [f"{k if k in shown else all_of[k]} AS {k}" for k in KEYS if k in free]
-        return f"struct({', '.join([f'{gid_of(shown)} AS gid', *keys])})"
+        keys = [f"{k if k in used else all_of[k]} AS {k}" for k in KEYS if k in free]
+        return f"struct({', '.join([f'{gid_of(used)} AS gid', *keys])})"
 
-    places = [(), ("idLoja",), ("idFuncionario",)]
+    places = [(), ("idLoja",), ("idFuncionario", "idLoja")]
     others = [[(), (k,)] for k in free if k not in ("idLoja", "idFuncionario")]
     copies = [level({*fixed, *sum(combo, ())}) for combo in product(places, *others)]
     kept = [c for c in rows.columns if c not in free]
@@ -263,18 +275,17 @@ def _sets_with(
     anchor: str,
     known: Callable[[DataFrame, DataFrame | None], DataFrame],
     free: Sequence[str],
+    heavy: list,
+    parts: int,
 ) -> DataFrame:
     """All groupings that contain the key found through `anchor`, from one shuffle of the rows.
 
     Rows are partitioned by the anchor once; every grouping then aggregates inside its partition.
-    Anchors too heavy for one task take the other way: their copies are combined before a shuffle
-    on the whole group key. `known` resolves the anchor to its dimension key; for heavy anchors it
-    is given their values.
+    Anchors heavier than an average partition take the other way: their copies are combined before
+    a shuffle on the whole group key. `known` resolves the anchor to its dimension key; for heavy
+    anchors it is given their values.
     """
     rows = rows.dropna(subset=[anchor])
-    spark = rows.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    heavy = heavy_keys(rows, anchor, parts)
 
     def summed(part: DataFrame) -> DataFrame:
         fixed = [k for k in KEYS if k in part.columns and k not in free]
@@ -286,7 +297,7 @@ def _sets_with(
     # copied once per grouping.
     if not heavy:
         return summed(known(rows.repartition(parts, anchor), None))
-    few = spark.createDataFrame(
+    few = rows.sparkSession.createDataFrame(
         [(value,) for value in heavy],
         T.StructType([T.StructField(anchor, rows.schema[anchor].dataType)]),
     )
@@ -299,11 +310,13 @@ def build_cube(m: CubeInput, rows: DataFrame | None = None) -> DataFrame:
     """All 32 groupings.
 
     `rows` may be the result of `sales_grain` read back from a written table; without it the grain
-    is checkpointed here. Either way every branch below starts from files: none of them repeats
-    the joins, and a lost executor costs a re-read.
+    is written here. Either way every branch below starts from files and reads only its columns:
+    none of them repeats the joins, and a lost executor costs a re-read.
     """
     rows = cut(sales_grain(m)) if rows is None else rows
     types = _key_types(m)
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    heavy_values = heavy_keys(rows, ("cpf", "produto"), parts)
     place = ["idData", "idFuncionario", "idLoja"]
     measures = list(MEASURES)
 
@@ -319,12 +332,16 @@ def build_cube(m: CubeInput, rows: DataFrame | None = None) -> DataFrame:
         "cpf",
         with_client,
         [*place, "idProduto"],
+        heavy_values["cpf"],
+        parts,
     )
     by_product = _sets_with(
         rows.dropna(subset=["idProduto"]).select("produto", "idProduto", *place, *measures),
         "produto",
         lambda part, heavy: part,
         place,
+        heavy_values["produto"],
+        parts,
     )
     rest = _levels(rows.groupBy(*place).agg(*_sums()), [], place)
     rest = rest.groupBy("gid", *place).agg(*_sums())
@@ -336,7 +353,7 @@ def build_cube(m: CubeInput, rows: DataFrame | None = None) -> DataFrame:
         )
         return _stored(_with_store_copies(filled), m.measures)
 
-    return complete(by_client).unionByName(complete(by_product)).unionByName(complete(rest))
+    return union_all([complete(part) for part in (by_client, by_product, rest)])
 
 
 def cube_slice(fact: DataFrame, keys: Iterable[str]) -> DataFrame:

@@ -6,7 +6,6 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quintacube.functions.expressions import ALL, DATE_KEY
 from quintacube.operators import staging
@@ -25,8 +24,12 @@ NO_DETAIL = "Sem descrição detalhada"
 
 
 def with_all_member(dim: DataFrame, name: str) -> DataFrame:
-    nullable = T.StructType([T.StructField(f.name, f.dataType) for f in dim.schema.fields])
-    return dim.unionByName(dim.sparkSession.createDataFrame([ALL_MEMBERS[name]], nullable))
+    """Add the "all" member as a literal row, which costs no job and drops out of filtered plans."""
+    columns = [
+        F.lit(value).cast(field.dataType).alias(field.name)
+        for value, field in zip(ALL_MEMBERS[name], dim.schema.fields, strict=True)
+    ]
+    return dim.unionByName(dim.sparkSession.sql("SELECT 1 AS one").select(*columns))
 
 
 def dim_date(stg_sales: DataFrame) -> DataFrame:

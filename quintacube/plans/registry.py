@@ -9,6 +9,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quintacube.functions.sizing import union_all
 from quintacube.operators import checks, cost, cube, dimensions, loads, runlog, staging
 from quintacube.plans import reports
 from quintacube.sources import standins
@@ -131,7 +132,7 @@ def dim_all_members(m: Model) -> DataFrame:
         )
         for name, (key, text) in label.items()
     ]
-    return checks.union_all(parts)
+    return union_all(parts)
 
 
 def insert_ignore(m: Model) -> DataFrame:
