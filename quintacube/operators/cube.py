@@ -101,8 +101,7 @@ def _stored(rows: DataFrame, measures: Measures) -> DataFrame:
         "gid",
         *KEYS,
         f"CAST(quantidade AS {measures.quantity}) AS quantidade",
-        f"CAST(valor AS {measures.money}) AS valor",
-        f"CAST(lucro AS {measures.money}) AS lucro",
+        *[f"CAST({c} AS {measures.money}) AS {c}" for c in ("valor", "lucro") if c in rows.columns],
     )
 
 
@@ -131,8 +130,8 @@ def _require_scale(rows: DataFrame, scale: int) -> None:
         raise ValueError("the profit would lose decimals: use a narrower cost type")
 
 
-def cube_set(m: CubeInput, keys: Sequence[str]) -> DataFrame:
-    """One grouping of the cube, straight from the sales.
+def cube_set(m: CubeInput, keys: Sequence[str], profit: bool = True) -> DataFrame:
+    """One grouping of the cube, straight from the sales; without `profit` no cost is computed.
 
     Lookups that are part of the key follow the aggregation, where fewer rows are left; the cost
     comes first only when the product is not in the key, so that the sums can combine before the
@@ -150,15 +149,17 @@ def cube_set(m: CubeInput, keys: Sequence[str]) -> DataFrame:
     value = F.sum(line_value(price, quantity)).alias("valor")
     if by_product:
         summed = rows.groupBy(*group).agg(F.sum(quantity).alias("quantidade"), value)
-        summed = _grain_profit(
-            summed.join(small_side(m.products), "produto").join(m.cost, "produto", "left")
-        )
+        summed = summed.join(small_side(m.products), "produto")
+        if profit:
+            summed = _grain_profit(summed.join(m.cost, "produto", "left"))
+    elif not profit:
+        summed = rows.groupBy(*group).agg(F.sum(quantity).alias("quantidade"), value)
     else:
-        profit = line_profit(price, F.col("custo_medio"), quantity)
+        gain = F.sum(line_profit(price, F.col("custo_medio"), quantity)).alias("lucro")
         summed = (
             rows.join(small_side(cut(m.cost)), "produto", "left")
             .groupBy(*group)
-            .agg(F.sum(quantity).alias("quantidade"), value, F.sum(profit).alias("lucro"))
+            .agg(F.sum(quantity).alias("quantidade"), value, gain)
         )
         _require_scale(summed, m.cost.schema["custo_medio"].dataType.scale)
     if "idCliente" in chosen:
@@ -168,7 +169,7 @@ def cube_set(m: CubeInput, keys: Sequence[str]) -> DataFrame:
     named = summed.selectExpr(
         f"{gid_of(chosen)} AS gid",
         *[k if k in chosen else rolled_up[k] for k in KEYS],
-        *MEASURES,
+        *[c for c in MEASURES if profit or c != "lucro"],
     )
     # No sales, no fact rows: a total over nothing would be a row of NULL measures.
     return _stored(named.dropna(subset=["quantidade"]) if not chosen else named, m.measures)

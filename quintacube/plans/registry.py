@@ -76,12 +76,15 @@ class Model:
 
     @cached_property
     def report_dims(self) -> Dimensions:
-        """As `plain_dims`, with a calendar of all order days.
+        """As `plain_dims`, cut to what the reports read.
 
-        It holds every day of the sales, which is what the joins of a report need, and is read from
-        one column instead of from the joined sales.
+        The calendar is made of all order days: it holds every day of the sales and is read from
+        one column instead of from the joined sales. Employees come without their jobs.
         """
         dims = Dimensions(self.sources, self.stg)
+        dims["Dim_Funcionario"] = self.stg["funcionarios"].selectExpr(
+            "tb005_matricula AS idFuncionario", "tb005_nome_completo AS nomeFuncionario"
+        )
         days = self.read("orders").select(F.col("o_orderdate").alias("tb010_012_data"))
         dims["Dim_Tempo"] = dimensions.with_all_member(dimensions.dim_date(days), "Dim_Tempo")
         return dims
@@ -94,8 +97,8 @@ class Model:
     def log(self) -> DataFrame:
         return standins.run_log(self.spark, self.sf_dir)
 
-    def grouping(self, *keys: str) -> DataFrame:
-        return cube.cube_set(self.cube_input, keys)
+    def grouping(self, *keys: str, profit: bool = False) -> DataFrame:
+        return cube.cube_set(self.cube_input, keys, profit)
 
 
 def _stg(name: str):
@@ -103,7 +106,7 @@ def _stg(name: str):
 
 
 def _cube_set(letters: str):
-    return lambda m: m.grouping(*keys_of(letters))
+    return lambda m: m.grouping(*keys_of(letters), profit=True)
 
 
 def _report(name: str):
@@ -296,7 +299,7 @@ def table_stats(m: Model) -> DataFrame:
             "Dim_Funcionario": d["Dim_Funcionario"],
             "Dim_Produto": d["Dim_Produto"],
             "Dim_Loja": d["Dim_Loja"],
-            "Fato_Vendas": m.grouping("idData", "idCliente"),
+            "Fato_Vendas": m.grouping("idData", "idCliente", profit=True),
         }
     )
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quintacube.functions.expressions import DATE_KEY
+from quintacube.functions.sizing import small_side
 
 Dims = Mapping[str, DataFrame]
 
@@ -27,11 +28,15 @@ GROUPING = {
 }
 
 
+def _employees(dims: Dims) -> DataFrame:
+    return small_side(dims["Dim_Funcionario"].select("idFuncionario", "nomeFuncionario"))
+
+
 def by_employee_and_day(fact: DataFrame, dims: Dims) -> DataFrame:
     """Value per employee and day; only year and month of the day are shown."""
     return (
-        fact.join(dims["Dim_Funcionario"], "idFuncionario")
-        .join(dims["Dim_Tempo"], "idData")
+        fact.join(_employees(dims), "idFuncionario")
+        .join(small_side(dims["Dim_Tempo"]), "idData")
         .select("ano", "mes", "nomeFuncionario", F.col("valor").alias("ValorTotalVendas"))
         .orderBy(*[F.asc_nulls_last(c) for c in ("ano", "mes", "nomeFuncionario")])
     )
@@ -39,7 +44,7 @@ def by_employee_and_day(fact: DataFrame, dims: Dims) -> DataFrame:
 
 def by_employee(fact: DataFrame, dims: Dims) -> DataFrame:
     return (
-        fact.join(dims["Dim_Funcionario"], "idFuncionario")
+        fact.join(_employees(dims), "idFuncionario")
         .select(
             "nomeFuncionario",
             F.col("quantidade").alias("TotalProdutosVendidos"),
@@ -51,8 +56,8 @@ def by_employee(fact: DataFrame, dims: Dims) -> DataFrame:
 
 def by_employee_and_store(fact: DataFrame, dims: Dims) -> DataFrame:
     return (
-        fact.join(dims["Dim_Funcionario"], "idFuncionario")
-        .join(dims["Dim_Loja"], "idLoja")
+        fact.join(_employees(dims), "idFuncionario")
+        .join(small_side(dims["Dim_Loja"]), "idLoja")
         .select(
             "nomeFuncionario",
             "nomeLoja",
@@ -73,7 +78,7 @@ def last_sale_of_client(fact: DataFrame, dims: Dims) -> DataFrame:
     )
     return (
         last.join(dims["Dim_Cliente"], "idCliente")
-        .join(dims["Dim_Tempo"], "idData")
+        .join(small_side(dims["Dim_Tempo"]), "idData")
         .select("nomeCliente", "valorTotal", "dataCompleta")
         .orderBy(F.asc_nulls_last("nomeCliente"))
     )
@@ -90,7 +95,7 @@ def by_client_in_period(
     days = dims["Dim_Tempo"].where(f"dataCompleta BETWEEN {start} AND {end}")
     return (
         fact.where(f"idData BETWEEN {DATE_KEY.format(start)} AND {DATE_KEY.format(end)}")
-        .join(days, "idData")
+        .join(small_side(days), "idData")
         .join(dims["Dim_Cliente"], "idCliente")
         .select(
             "nomeCliente",
@@ -104,7 +109,7 @@ def by_client_in_period(
 
 def by_category(fact: DataFrame, dims: Dims) -> DataFrame:
     return (
-        fact.join(dims["Dim_Produto"].select("idProduto", "categoria"), "idProduto")
+        fact.join(small_side(dims["Dim_Produto"].select("idProduto", "categoria")), "idProduto")
         .groupBy("categoria")
         .agg(F.sum("quantidade").alias("QuantidadeTotalVendida"))
         .orderBy(F.desc_nulls_first("QuantidadeTotalVendida"))
