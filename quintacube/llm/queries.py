@@ -2,10 +2,21 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quintacube.llm import mixing, quality_mil, quality_rules, sharding
+from quintacube.llm import (
+    decontamination,
+    license_scan,
+    mixing,
+    quality_mil,
+    quality_rules,
+    sharding,
+    simhash,
+    token_count,
+    token_shards,
+)
 
 SHARD_BYTES = 1 << 20
 
@@ -14,6 +25,10 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(_read(spark, sf_dir, "documents"), license_scan.templates(spark))
+
+
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
     held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
@@ -30,6 +45,29 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_read(spark, sf_dir, "documents"))
 
 
+def op5_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count.count_tokens(
+        _read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")
+    )
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_read(spark, sf_dir, "documents"))
+
+
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_leaks(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
+def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_shards.materialise(
+        _read(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+        token_shards.new_folder(spark),
+    )
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
@@ -39,10 +77,18 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_license_scan": op1_license_scan,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_source_mixing": op4_source_mixing,
+    "op5_token_count": op5_token_count,
+    "op6_simhash": op6_simhash,
+    "op7_benchmark_decontamination": op7_benchmark_decontamination,
+    "op8_token_shards": op8_token_shards,
     "op9_quality_rules": op9_quality_rules,
     "op10_sharding": op10_sharding,
 }
 
-ORACLE = {"op10_sharding": sharding.oracle_sql(SHARD_BYTES)}
+ORACLE = {
+    "op1_license_scan": license_scan.oracle_sql(),
+    "op10_sharding": sharding.oracle_sql(SHARD_BYTES),
+}
