@@ -23,11 +23,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quintacube.functions.sizing import cut, union_all
+from quintacube.llm.words import grams
 
 Q, EDITS_ONE_IN = 8, 12
 BLOCK_CHARS = 1 << 23
 CHUNK_CHARS = 1 << 19
-_BASE = 0x9E3779B97F4A7C15
 _TABLE_BITS = 22
 
 
@@ -39,24 +39,6 @@ def codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-def grams(chars: np.ndarray, q: int) -> np.ndarray:
-    """A 64-bit hash of the q characters from each position on."""
-    if len(chars) < q:
-        return np.zeros(0, np.uint64)
-    h, width = chars.astype(np.uint64), 1
-    out, done = None, 0
-    while True:  # q as a sum of powers of two; windows of twice the width from two of one width
-        if q & width:
-            part = h if out is None else h * np.uint64(pow(_BASE, done, 1 << 64))
-            out = part if out is None else out[: len(part) - done] + part[done:]
-            done += width
-        if done == q:
-            out = out[: len(chars) - q + 1]
-            return (out ^ (out >> np.uint64(32))) * np.uint64(_BASE)
-        h = h[:-width] + h[width:] * np.uint64(pow(_BASE, width, 1 << 64))
-        width *= 2
-
-
 class Index:
     """Positions of the q-grams of some benchmark items."""
 

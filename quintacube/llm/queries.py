@@ -14,6 +14,7 @@ from quintacube.llm import (
     quality_rules,
     sharding,
     simhash,
+    substring_dedup,
     token_count,
     token_shards,
 )
@@ -29,6 +30,17 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(_read(spark, sf_dir, "documents"), license_scan.templates(spark))
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.remove_repeats(_read(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
     held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
@@ -78,6 +90,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_license_scan": op1_license_scan,
+    "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_source_mixing": op4_source_mixing,
     "op5_token_count": op5_token_count,
@@ -90,5 +103,6 @@ QUERIES = {
 
 ORACLE = {
     "op1_license_scan": license_scan.oracle_sql(),
+    "op2_suffix_array_dedup": substring_dedup.oracle_sql(),
     "op10_sharding": sharding.oracle_sql(SHARD_BYTES),
 }

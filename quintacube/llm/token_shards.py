@@ -38,7 +38,7 @@ CACHED = 1 << 18
 
 # White space as the tokenizer's pattern has it. A text may be cut before a single space that a
 # visible character follows, and around other white space, without changing its tokens.
-_WS = r"\t-\r \x85\xa0  -     　"
+_WS = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _CHUNK = re.compile(f" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+")
 
 
