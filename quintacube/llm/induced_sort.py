@@ -38,13 +38,14 @@ def scratch(n: int, kind: type, memory: int) -> np.ndarray:
 class TupleQueue:
     """Monotone priority queue of (position, common prefix) tuples, keyed by symbol, then arrival."""
 
-    def __init__(self, memory: int = QUEUE_TUPLES):
+    def __init__(self, length: int, memory: int = QUEUE_TUPLES):
+        self._kind = np.dtype(np.int32 if length < 1 << 31 else np.int64)
         self._held: dict[int, list[np.ndarray]] = {}
         self._spilled: dict[int, list[tuple[int, int]]] = {}
         self._memory, self._size, self._file = memory, 0, None
 
     def push(self, symbol: int, position: np.ndarray, prefix: np.ndarray) -> None:
-        self._held.setdefault(symbol, []).append(np.stack([position, prefix]).astype(np.int64))
+        self._held.setdefault(symbol, []).append(np.stack([position, prefix]).astype(self._kind))
         self._size += len(position)
         if self._size > self._memory:
             self._spill()
@@ -71,11 +72,11 @@ class TupleQueue:
         parts = []
         for start, n in self._spilled.pop(symbol, ()):
             self._file.seek(start)
-            parts.append(np.frombuffer(self._file.read(16 * n), np.int64).reshape(2, n))
+            parts.append(np.frombuffer(self._file.read(2 * n * self._kind.itemsize), self._kind).reshape(2, n))
         held = self._held.pop(symbol, [])
         self._size -= sum(p.shape[1] for p in held)
         both = np.concatenate(parts + held, axis=1)
-        return both[0], both[1]
+        return both[0].astype(np.int64), both[1].astype(np.int64)
 
 
 class _Pass:
@@ -238,7 +239,7 @@ def suffixes(
         return
     small = _types(text, memory)
     star = np.flatnonzero(small[1:] & ~small[:-1]) + 1
-    seeds = TupleQueue(queue)
+    seeds = TupleQueue(n, queue)
     if len(star):
         names = _names(text, star, sigma)
         enough = -(-need // 2)  # every name stands for two symbols at least
@@ -259,13 +260,13 @@ def suffixes(
         bounds = np.flatnonzero(np.append(True, symbol[1:] != symbol[:-1])).tolist() + [len(sorted_)]
         for a, z in zip(bounds[:-1], bounds[1:], strict=True):
             seeds.push(int(symbol[a]), sorted_[a:z], prefix[a:z])
-    large = TupleQueue(queue)
-    for symbol, induced, position, prefix in _Pass(text, ~small, sigma, need, TupleQueue(queue)).run(True, seeds, np.array([n])):
+    large = TupleQueue(n, queue)
+    for symbol, induced, position, prefix in _Pass(text, ~small, sigma, need, TupleQueue(n, queue)).run(True, seeds, np.array([n])):
         if induced:
             large.push(symbol, position, prefix)
-    back = TupleQueue(queue)
+    back = TupleQueue(n, queue)
     for symbol in large.symbols():
         position, prefix = large.pop(symbol)
         back.push(symbol, position[::-1], np.append(0, prefix[:0:-1]))
-    for _, _, position, prefix in _Pass(text, small, sigma, need, TupleQueue(queue)).run(False, back, np.zeros(0, np.int64)):
+    for _, _, position, prefix in _Pass(text, small, sigma, need, TupleQueue(n, queue)).run(False, back, np.zeros(0, np.int64)):
         yield position, prefix

@@ -38,7 +38,7 @@ from quintacube.llm.induced_sort import MEMORY_SYMBOLS, QUEUE_TUPLES, scratch, s
 from quintacube.session import ensure_checkpoint_dir
 
 NEED, GRAM = 100, 24
-SHARD_BYTES = 1 << 23
+SHARD_BYTES = 1 << 22
 #: Longer texts are handled in overlapping pieces; a place in a piece must fit into these bits.
 PIECE_BITS = 25
 _LAST_ID = (1 << 63) - 1
