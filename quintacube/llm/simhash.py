@@ -133,7 +133,7 @@ def links(nodes: DataFrame, radius: int = RADIUS, dense: int = DENSE) -> DataFra
     if not full.isEmpty():
         near = cut(probes.join(full, "key", "left_semi").select("fp").distinct())
         entries, probes = (x.join(full, "key", "left_anti") for x in (entries, probes))
-    a, b = probes.toDF("a", "key"), entries.toDF("b", "key")
+    a, b = probes.select(F.col("fp").alias("a"), "key"), entries.select(F.col("fp").alias("b"), "key")
     close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius
     pairs = a.join(b, (a["key"] == b["key"]) & (F.col("a") != F.col("b")) & close).select("a", "b")
     if near is None:
