@@ -1,0 +1,269 @@
+"""SimHash, substring deduplication, decontamination and license scans."""
+
+import hashlib
+import random
+import re
+from collections import Counter
+
+import helpers
+import numpy as np
+import pytest
+import xxhash
+
+from quintacube.llm import components, decontamination, induced_sort, license_scan, queries, simhash, substring_dedup
+
+SF = "/root/testdata/sf0.01"
+
+
+def brute_fingerprint(text):
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", lowered)
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute_components(fingerprints, radius=4):
+    root = list(range(len(fingerprints)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(fingerprints):
+        for j in range(i):
+            if (a ^ fingerprints[j]).bit_count() <= radius:
+                a_root, b_root = find(i), find(j)
+                root[max(a_root, b_root)] = min(a_root, b_root)
+    return [find(i) for i in range(len(fingerprints))]
+
+
+def test_simhash_query_equals_brute_force(spark):
+    docs = sorted(spark.read.parquet(f"{SF}/documents.parquet").collect())
+    got = {r.doc_id: r for r in queries.op6_simhash(spark, SF).collect()}
+    fingerprints = [brute_fingerprint(d.text) for d in docs]
+    groups = brute_components(fingerprints)
+    assert len(got) == len(docs)
+    for d, f, g in zip(docs, fingerprints, groups, strict=True):
+        assert (got[d.doc_id].fingerprint, got[d.doc_id].component_id) == (f"{f:016x}", docs[g].doc_id)
+
+
+@pytest.mark.parametrize("dense", [2, 64])
+def test_links_connect_what_all_pairs_would(spark, dense):
+    rng = random.Random(dense)
+    codes = {rng.getrandbits(64) for _ in range(60)}
+    for base in list(codes)[:8]:  # clouds around some points, with points at four and five bits
+        for _ in range(25):
+            x = base
+            for b in rng.sample(range(64), rng.randrange(1, 6)):
+                x ^= 1 << b
+            codes.add(x)
+    codes = sorted(codes)
+    signed = [c - (1 << 64) if c >> 63 else c for c in codes]
+    nodes = spark.createDataFrame([(c,) for c in signed], "fp long")
+    pairs = simhash.links(nodes, dense=dense)
+    assert all(((a ^ b) & (1 << 64) - 1).bit_count() <= 4 for a, b in pairs.collect())
+    roots = dict(tuple(r) for r in components.components(pairs).collect())
+    mine = [roots.get(c, c) for c in signed]
+    wanted = brute_components(codes)
+    assert len(set(zip(mine, wanted, strict=True))) == len(set(mine)) == len(set(wanted))
+
+
+def test_components_of_paths_and_stars(spark):
+    edges = [(i, i + 1) for i in range(60)] + [(100, k) for k in range(200, 240)] + [(7, 7), (301, 300), (300, 301)]
+    found = dict(tuple(r) for r in components.components(spark.createDataFrame(edges, "x long, y long")).collect())
+    assert {found[i] for i in range(1, 61)} == {0} and {found[k] for k in range(200, 240)} == {100} and found[301] == 300
+    assert components.components(spark.createDataFrame([], "x long, y long")).count() == 0
+
+
+@pytest.mark.parametrize("extra", [False, True])
+def test_simhash_on_odd_rows(spark, extra):
+    docs = helpers.documents(spark, helpers.ODD, extra)
+    rows = simhash.near_duplicates(docs).collect()
+    assert len(rows) == len(helpers.ODD)
+    assert {r.component_id for r in rows if r.doc_id in (1, 2, 4)} == {1}
+    assert {r.fingerprint for r in rows if r.doc_id in (1, 2, 4)} == {"0" * 16}
+    assert simhash.near_duplicates(docs.where("false")).count() == 0
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "3", "5", "6", "None"]
+
+
+def check_suffixes(text, need, memory, queue):
+    got = [
+        (p, c)
+        for position, common in induced_sort.suffixes(text, int(text.max()) + 1, need, memory, queue)
+        for p, c in zip(position.tolist(), common.tolist(), strict=True)
+    ]
+    order = [p for p, _ in got]
+    assert sorted(order) == list(range(len(text)))
+    symbols = text.tolist()
+    cut = [tuple(symbols[i : i + need]) for i in range(len(symbols))]
+    assert all(cut[a] >= cut[b] for a, b in zip(order, order[1:], strict=False))
+    for (a, _), (b, common) in zip(got, got[1:], strict=False):
+        n = 0
+        while n < need and max(a, b) + n < len(symbols) and symbols[a + n] == symbols[b + n]:
+            n += 1
+        assert n == common
+
+
+def test_induced_sorting_in_memory_by_recursion_and_from_disk():
+    rng = np.random.default_rng(1)
+    for _ in range(200):
+        text = rng.integers(0, rng.integers(1, 5), rng.integers(1, 80)).astype(np.uint8)
+        check_suffixes(text, int(rng.choice([3, 10, 100])), int(rng.choice([1, 4, 1000])), int(rng.choice([1, 8, 10_000])))
+    for _ in range(10):
+        text = np.tile(rng.integers(0, 4, rng.integers(1, 30)), 20).astype(np.uint8)
+        check_suffixes(text, 50, 2, 100)
+
+
+def brute_removal(docs, need):
+    """Spans and kept bytes by id, from all strings of `need` bytes."""
+    seen, out = set(), {}
+    for i, text in docs:
+        data = (text or "").encode()
+        covered = bytearray(len(data))
+        for s in range(len(data) - need + 1):
+            if data[s : s + need] in seen:
+                covered[s : s + need] = b"\1" * need
+            seen.add(data[s : s + need])
+        spans = [(m.start(), m.end()) for m in re.finditer(b"\1+", bytes(covered))]
+        out[i] = (spans, bytes(b for b, c in zip(data, covered, strict=True) if not c))
+    return out
+
+
+@pytest.mark.parametrize(("need", "gram", "memory", "queue", "shard"), [(12, 5, 1 << 20, 1 << 20, 1 << 20), (20, 4, 8, 16, 500)])
+def test_substring_dedup_equals_brute_force(spark, need, gram, memory, queue, shard):
+    rng = random.Random(need)
+    passages = [helpers.prose(k, 9) for k in range(4)] + ["ab" * 40, "z" * 70, "éü" * 30]
+    docs = [(i, " ".join(rng.choice([helpers.prose(1000 + i + k, 6), rng.choice(passages)]) for k in range(rng.randrange(1, 6)))) for i in range(60)]
+    docs += [(60, docs[3][1]), (61, None), (62, ""), (63, docs[3][1] + "!")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    got = substring_dedup.remove_repeats(frame, need=need, gram=gram, memory=memory, queue=queue, shard_bytes=shard).collect()
+    wanted = brute_removal(docs, need)
+    assert {r.doc_id: ([tuple(s) for s in r.spans], bytes(r.kept)) for r in got} == wanted
+
+
+@pytest.mark.parametrize("extra", [False, True])
+def test_substring_dedup_on_odd_rows(spark, extra):
+    docs = helpers.documents(spark, [*helpers.ODD, (7, helpers.prose(5, 30), "c")], extra)
+    rows = {r.doc_id: r for r in substring_dedup.remove_repeats(docs).collect()}
+    assert len(rows) == 8 and bytes(rows[7].kept) == b"" and rows[1].n_bytes == 0
+    assert len(rows[5].kept) == rows[5].n_bytes
+    assert substring_dedup.remove_repeats(docs.where("false")).count() == 0
+
+
+def edit_distance_inside(item, text):
+    """Least edits of the item against any part of the text."""
+    row = [0] * (len(text) + 1)
+    for i, c in enumerate(item, 1):
+        new = [i]
+        for j, t in enumerate(text, 1):
+            new.append(min(row[j] + 1, new[j - 1] + 1, row[j - 1] + (c != t)))
+        row = new
+    return min(row)
+
+
+def test_decontamination_equals_edit_distances(spark):
+    rng = random.Random(8)
+    items = [(k, helpers.prose(50 + k, rng.randrange(4, 12))) for k in range(6)] + [(6, "short"), (7, None), (8, "exactly nine")]
+    docs = []
+    for i in range(40):
+        text = list(items[i % 6][1].upper() if i % 3 else items[i % 6][1])
+        for _ in range(rng.randrange(0, 16)):
+            at = rng.randrange(len(text))
+            kind = rng.randrange(3)
+            text[at : at + (kind > 0)] = rng.choice("xyz q") * (kind < 2)
+        docs.append((i, helpers.prose(i, 15) + "  \n " + "".join(text) + "\n" + helpers.prose(i + 500, 9)))
+    docs += [(40, None), (41, ""), (42, "exactly\tnine"), (43, helpers.prose(999, 4000) + " " + items[2][1])]
+    got = decontamination.find_leaks(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    ).collect()
+    wanted = {}
+    for i, text in docs[:-1]:
+        for k, item in items:
+            a, b = decontamination.normal(item), decontamination.normal(text)
+            if len(a) >= decontamination.Q:
+                budget = min(len(a) // decontamination.EDITS_ONE_IN, (len(a) - decontamination.Q) // decontamination.Q)
+                if b and (d := edit_distance_inside(a, b)) <= budget:
+                    wanted[i, k] = d
+    wanted[43, 2] = 0
+    assert {(r.doc_id, r.item_id): r.edits for r in got} == wanted
+    assert 8 < len(wanted) < 60 and any(wanted.values())
+
+
+def test_decontamination_finds_every_exact_passage(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    items = spark.read.parquet(f"{SF}/benchmark.parquet").collect()
+    exact = {(d.doc_id, b.item_id) for d in docs for b in items if decontamination.normal(b.text) in decontamination.normal(d.text)}
+    got = {(r.doc_id, r.item_id) for r in queries.op7_benchmark_decontamination(spark, SF).collect()}
+    assert exact and got == exact
+    table = spark.read.parquet(f"{SF}/documents.parquet")
+    kept = decontamination.without_leaks(table, spark.read.parquet(f"{SF}/benchmark.parquet"))
+    assert {d.doc_id for d in docs} - {r.doc_id for r in kept.collect()} == {i for i, _ in exact}
+
+
+def test_decontamination_in_several_blocks(spark, monkeypatch):
+    docs = helpers.documents(spark, [(i, helpers.prose(i, 30), "a") for i in range(12)], True)
+    items = spark.createDataFrame([(i, helpers.prose(i, 30)[:150]) for i in range(0, 12, 2)], "item_id long, text string")
+    monkeypatch.setattr(decontamination, "BLOCK_CHARS", 200)
+    assert {(r.doc_id, r.item_id) for r in decontamination.find_leaks(docs, items).collect()} == {(i, i) for i in range(0, 12, 2)}
+    kept = decontamination.without_leaks(docs, items)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == list(range(1, 12, 2))
+    assert decontamination.find_leaks(docs, items.where("false")).count() == 0
+    assert decontamination.find_leaks(docs.where("false"), items).count() == 0
+
+
+def brute_licenses(docs):
+    def shingles(text):
+        words = re.findall(r"[^\W_]+", (text or "").lower())
+        return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+    wanted = {k: shingles(t) for k, t in license_scan.TEMPLATES.items()}
+    for i, text in docs:
+        had = shingles(text)
+        for k, w in wanted.items():
+            if len(w & had) >= 0.8 * len(w):
+                yield i, k, len(w & had) / len(w)
+
+
+def test_license_scan_equals_brute_force(spark):
+    rng = random.Random(4)
+    docs = []
+    for i in range(150):
+        words = rng.choice(list(license_scan.TEMPLATES.values())).split()
+        for _ in range(rng.randrange(0, 4)):
+            words[rng.randrange(len(words))] = "changed"
+        docs.append((i, helpers.prose(i, rng.randrange(0, 40)) + " " + " ".join(words).upper() + ", " + helpers.prose(i + 7, rng.randrange(0, 9))))
+    docs += [(i, t) for i, (_, t) in enumerate(license_scan.TEMPLATES.items(), 200)] + [(300, None), (301, ""), (302, "mit"), (303, " - ")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {(r.doc_id, r.license, r.containment) for r in license_scan.scan(frame, license_scan.templates(spark)).collect()}
+    assert got == set(brute_licenses(docs)) and len(got) > 50
+
+
+@pytest.mark.parametrize("extra", [False, True])
+def test_license_scan_on_odd_rows(spark, extra):
+    docs = helpers.documents(spark, [*helpers.ODD, (None, license_scan.TEMPLATES["MIT"], "a")], extra)
+    notices = spark.createDataFrame([("short", "same row"), ("none", None), ("empty", " "), ("MIT", license_scan.TEMPLATES["MIT"])], "license string, text string")
+    rows = [(r.doc_id, r.license) for r in license_scan.scan(docs, notices).collect()]
+    assert Counter(rows) == Counter({(3, "short"): 2, (None, "MIT"): 1})
+    assert license_scan.scan(docs.where("false"), notices).count() == 0
+    assert license_scan.scan(docs, notices.where("false")).count() == 0
+
+
+def test_license_scan_stays_out_of_python(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    plan = license_scan.scan(docs, license_scan.templates(spark))._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_removed_digest_matches_kept_bytes(spark):
+    rows = queries.op2_suffix_array_dedup(spark, "/root/testdata/sf0.001").collect()
+    docs = sorted((r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect())
+    wanted = brute_removal(docs, 100)
+    for r in rows:
+        spans, kept = wanted[r.doc_id]
+        assert (r.n_spans, r.n_removed, r.kept_sha256) == (len(spans), r.n_bytes - len(kept), hashlib.sha256(kept).hexdigest())
