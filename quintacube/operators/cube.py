@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quintacube.functions.expressions import ALL, DATE_KEY, line_profit, line_value
-from quintacube.functions.sizing import cut, small_side, union_all
+from quintacube.functions.sizing import cut, size_in_bytes, small_side, union_all
 from quintacube.operators.cost import COST_TYPE, average_cost
 
 KEYS = ("idData", "idCliente", "idFuncionario", "idLoja", "idProduto")
@@ -27,6 +27,9 @@ MEASURES = ("quantidade", "valor", "lucro")
 COLUMNS = ("gid", *KEYS, *MEASURES)
 _BIT = {key: 1 << (len(KEYS) - 1 - i) for i, key in enumerate(KEYS)}
 
+#: Bytes of the written grain that one partition of the cube takes.
+GRAIN_BYTES_A_PARTITION = 16 << 20
+
 # Widths that keep the scale of `valor - custo * quantidade`: with a decimal(20,8) cost the product
 # is decimal(36,8) and the difference decimal(37,8). Wider ones pass 38 digits and lose decimals.
 _QUANTITY_AT_GRAIN = "decimal(15,0)"
@@ -149,15 +152,16 @@ def cube_set(m: CubeInput, keys: Sequence[str], profit: bool = True) -> DataFram
     value = F.sum(line_value(price, quantity)).alias("valor")
     if by_product:
         summed = rows.groupBy(*group).agg(F.sum(quantity).alias("quantidade"), value)
-        summed = summed.join(small_side(m.products), "produto")
+        lookup = m.products.join(m.cost, "produto", "left") if profit else m.products
+        summed = summed.join(small_side(lookup), "produto")
         if profit:
-            summed = _grain_profit(summed.join(m.cost, "produto", "left"))
+            summed = _grain_profit(summed)
     elif not profit:
         summed = rows.groupBy(*group).agg(F.sum(quantity).alias("quantidade"), value)
     else:
         gain = F.sum(line_profit(price, F.col("custo_medio"), quantity)).alias("lucro")
         summed = (
-            rows.join(small_side(cut(m.cost)), "produto", "left")
+            rows.join(small_side(m.cost), "produto", "left")
             .groupBy(*group)
             .agg(F.sum(quantity).alias("quantidade"), value, gain)
         )
@@ -209,7 +213,7 @@ def sales_grain(m: CubeInput) -> DataFrame:
         F.sum(quantity).alias("quantidade"), F.sum(line_value(price, quantity)).alias("valor")
     )
     # A product may be known without ever being bought, or bought without being known.
-    product_lookup = cut(m.products.join(m.cost, "produto", "full"))
+    product_lookup = m.products.join(m.cost, "produto", "full")
     rows = summed.join(small_side(product_lookup), "produto", "left").join(
         small_side(_employee_store(m)), "idFuncionario", "left"
     )
@@ -222,18 +226,12 @@ def heavy_keys(rows: DataFrame, keys: Sequence[str], parts: int) -> dict[str, li
     By arithmetic there are fewer than `parts` of them per column, so they may come to the driver.
     """
     limit = rows.count() / parts
-    found = [
-        rows.dropna(subset=[key])
-        .groupBy(F.col(key).cast("bigint").alias("_value"))
-        .agg(F.count("*").alias("_n"))
-        .where(F.col("_n") > limit)
-        .select(F.lit(key).alias("_key"), "_value")
-        for key in keys
-    ]
-    heavy: dict[str, list] = {key: [] for key in keys}
-    for row in union_all(found).collect():
-        heavy[row["_key"]].append(row["_value"])
-    return heavy
+
+    def of(key: str) -> list:
+        counted = rows.dropna(subset=[key]).groupBy(key).agg(F.count("*").alias("_n"))
+        return [row[key] for row in counted.where(F.col("_n") > limit).collect()]
+
+    return {key: of(key) for key in keys}
 
 
 def _all_of(rows: DataFrame, key: str) -> str:
@@ -316,7 +314,11 @@ def build_cube(m: CubeInput, rows: DataFrame | None = None) -> DataFrame:
     """
     rows = cut(sales_grain(m)) if rows is None else rows
     types = _key_types(m)
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Every row is copied up to 12 times in its partition, so the written grain sets their number.
+    parts = max(
+        int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+        -(-size_in_bytes(rows) // GRAIN_BYTES_A_PARTITION),
+    )
     heavy_values = heavy_keys(rows, ("cpf", "produto"), parts)
     place = ["idData", "idFuncionario", "idLoja"]
     measures = list(MEASURES)

@@ -1,5 +1,6 @@
-"""Run log: append-only states per run, and the queries over them.
+"""Run log: append-only states per run, and the queries over the current states.
 
+Except for `latest_state`, the functions take the log with one row per run, as `read_log` gives it.
 Every query takes the current time as an argument, so that a result can be repeated.
 """
 
@@ -30,14 +31,15 @@ def append_state(
     operation: str,
     status: str,
     message: str,
-    when: datetime,
+    began: datetime,
     run_id: str | None = None,
     took: timedelta | None = None,
     error: str | None = None,
 ) -> str:
-    """Append one state of a run and return its id."""
+    """Append one state of a run that began at the given time and return its id."""
     run_id = run_id or str(uuid.uuid4())
-    row = (run_id, when, operation, status, message, took, error, None)
+    at = began if took is None else began + took
+    row = (run_id, began, operation, status, message, took, error, None, at)
     spark.createDataFrame([row], LOG_DDL).coalesce(1).write.mode("append").parquet(path)
     return run_id
 
@@ -45,7 +47,8 @@ def append_state(
 def latest_state(log: DataFrame, *tie_break: Column) -> DataFrame:
     """The newest state of each run; on equal times a final state counts over the start."""
     final = (F.col("status") != STARTED).cast("int").desc()
-    return latest_per_key(log, "id_log", F.desc("data_execucao"), *(tie_break or (final,)))
+    newest = F.desc("data_estado" if "data_estado" in log.columns else "data_execucao")
+    return latest_per_key(log, "id_log", newest, *(tie_break or (final,)))
 
 
 def running(log: DataFrame, now, window: str = "1 hour") -> DataFrame:

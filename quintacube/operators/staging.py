@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quintacube.functions.sizing import small_side
+
 Tables = Mapping[str, DataFrame]
 
 
@@ -49,20 +51,29 @@ def latest_per_key(df: DataFrame, key: str, *order) -> DataFrame:
 
 
 def latest_jobs(t: Tables, tie_break: str = "tb006_cod_cargo") -> DataFrame:
-    """Most recent job of each employee; on equal promotion times the lowest tie-break wins."""
-    history = t["tb005_006_funcionarios_cargos"]
-    latest = latest_per_key(
-        history, "tb005_matricula", F.desc_nulls_last("tb005_006_data_promocao"), F.asc(tie_break)
-    )
-    return latest.join(t["tb006_cargos"], "tb006_cod_cargo").select(
-        "tb005_matricula", "tb006_nome_cargo"
+    """Most recent job of each employee; on equal promotion times the lowest tie-break wins.
+
+    An aggregation picks the job, so that the optimizer knows there is one row per employee and
+    leaves the whole branch out of queries that do not read the job. The few job names are looked
+    up before; an employee whose latest job has no name is left out.
+    """
+    names = small_side(t["tb006_cargos"].selectExpr("tb006_cod_cargo", "tb006_nome_cargo", "true AS _known"))
+    promoted = "timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01', tb005_006_data_promocao)"
+    newest_first = F.struct(F.expr(f"{promoted} IS NULL"), F.expr(f"-{promoted}"), F.col(tie_break))
+    return (
+        t["tb005_006_funcionarios_cargos"]
+        .join(names, "tb006_cod_cargo", "left")
+        .groupBy("tb005_matricula")
+        .agg(F.min_by(F.struct("tb006_nome_cargo", "_known"), newest_first).alias("_job"))
+        .where("_job._known")
+        .select("tb005_matricula", "_job.tb006_nome_cargo")
     )
 
 
 def products(t: Tables) -> DataFrame:
     return (
         t["tb012_produtos"]
-        .join(t["tb013_categorias"], "tb013_cod_categoria")
+        .join(small_side(t["tb013_categorias"]), "tb013_cod_categoria")
         .selectExpr("tb012_cod_produto", "tb012_descricao", "tb013_descricao AS categoria")
     )
 

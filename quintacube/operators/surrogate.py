@@ -32,5 +32,5 @@ def dense_ids(df: DataFrame, key: str, id_name: str) -> DataFrame:
     )
     # One row per partition of `fixed`: bounded by the partition count, not by the data.
     return placed.join(F.broadcast(offsets), "_part").select(
-        (F.col("_offset") + F.col("_row") + 1).cast("int").alias(id_name), *df.columns
+        (F.col("_offset") + F.col("_row") + 1).cast("bigint").alias(id_name), *df.columns
     )

@@ -2,19 +2,25 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quintacube.operators import checks, cube, runlog, staging
+from quintacube.functions.sizing import temporary_tables
+from quintacube.operators import checks, cube, loads, runlog, staging
 from quintacube.operators.dimensions import build_dimensions
+from quintacube.sources.files import remove, switch
 from quintacube.sources.schemas import LOG_DDL
 from quintacube.sources.tables import save_table
 
 # Names of the logged steps.
+CLEAR_STAGING = "LIMPAR_STAGING"
 LOAD_STAGING = "CARREGAR_STAGING"
+CLEAR_WAREHOUSE = "LIMPAR_DW"
 LOAD_DIMENSIONS = "CARREGAR_DIMENSOES"
 LOAD_FACT = "CARREGAR_FATO_OLAP"
 REFRESH_STATISTICS = "ATUALIZAR_ESTATISTICAS"
@@ -39,40 +45,63 @@ def warehouse_path(out: str, name: str) -> str:
     return f"{out}/dw/{name}"
 
 
+def next_path(out: str, name: str) -> str:
+    """Where a run builds a warehouse table until all of them are done."""
+    return f"{out}/dw_next/{name}"
+
+
 def log_path(out: str) -> str:
     return f"{out}/dw/etl_log"
 
 
-def read_log(spark: SparkSession, out: str) -> DataFrame:
+def read_states(spark: SparkSession, out: str) -> DataFrame:
+    """Every state of every run."""
     try:
         return spark.read.schema(LOG_DDL).parquet(log_path(out))
     except AnalysisException:
         return spark.createDataFrame([], LOG_DDL)
 
 
+def read_log(spark: SparkSession, out: str) -> DataFrame:
+    """The current state of every run, one row each, in the form all log functions take."""
+    return runlog.latest_state(read_states(spark, out))
+
+
+def purge_log(spark: SparkSession, out: str, now: datetime | None = None, older_than: str = "2 minutes") -> None:
+    """Remove runs from the stored log that were started but never finished, as after a crash.
+
+    The rest of the log is written beside it and then takes its place; no run may log meanwhile.
+    """
+    left = runlog.purge_stuck(read_log(spark, out), now or _now(), older_than).select("id_log")
+    kept = read_states(spark, out).join(left, "id_log", "left_semi")
+    beside = f"{log_path(out)}_{uuid.uuid4()}"
+    kept.write.parquet(beside)
+    switch(spark, beside, log_path(out))
+
+
 def read_warehouse(spark: SparkSession, out: str) -> dict[str, DataFrame]:
     return {name: spark.read.parquet(warehouse_path(out, name)) for name in (*DIMENSIONS, FACT)}
 
 
+def error_code(failure: Exception) -> str:
+    """The SQL state of a Spark error that has one, or else the kind of error."""
+    state = failure.getSqlState() if isinstance(failure, PySparkException) else None
+    return state or type(failure).__name__
+
+
 def _logged(spark: SparkSession, out: str, operation: str, work: Callable[[], None]) -> None:
     start = _now()
-    run_id = runlog.append_state(
-        spark, log_path(out), operation, runlog.STARTED, "Iniciado", start
-    )
+
+    def log(status: str, message: str, *more) -> str:
+        return runlog.append_state(spark, log_path(out), operation, status, message, start, *more)
+
+    run_id = log(runlog.STARTED, "Iniciado")
     try:
         work()
     except Exception as failure:
-        end = _now()
-        runlog.append_state(
-            spark, log_path(out), operation, runlog.FAILED, f"Erro: {failure}"[:2000], end,
-            run_id, end - start, type(failure).__name__,
-        )
+        log(runlog.FAILED, f"Erro: {failure}", run_id, _now() - start, error_code(failure))
         raise
-    end = _now()
-    runlog.append_state(
-        spark, log_path(out), operation, runlog.DONE, "Concluído com sucesso", end, run_id,
-        end - start,
-    )
+    log(runlog.DONE, "Concluído com sucesso", run_id, _now() - start)
 
 
 def full_run(
@@ -85,12 +114,12 @@ def full_run(
     """Reload the whole warehouse below `out`.
 
     Every stage reads what the stage before has written, so a lost executor costs a re-read of
-    files and not a recomputation of the run. With `catalog`, the warehouse tables are registered
-    in that database and their optimizer statistics refreshed.
+    files and not a recomputation of the run. The warehouse is built beside the one in use and takes
+    its place when it is complete, so a failed run leaves the old one. With `catalog`, the tables
+    are registered in that database and their optimizer statistics refreshed.
     """
-    now = _now()
-    if runlog.running(runlog.latest_state(read_log(spark, out)), now).first()["em_execucao"]:
-        raise AlreadyRunning("ETL já está em execução. Aguarde a conclusão.")
+    if runlog.running(read_log(spark, out), _now()).first()["em_execucao"]:
+        raise AlreadyRunning("a run that began within the past hour has not finished")
 
     def saved(name: str) -> DataFrame:
         return spark.read.parquet(staging_path(out, name))
@@ -102,15 +131,17 @@ def full_run(
     def load_dimensions() -> None:
         stg = {name: saved(name) for name in staging.BUILDERS}
         for name, rows in build_dimensions(sources, stg).items():
-            save_table(rows, warehouse_path(out, name))
+            save_table(rows, next_path(out, name))
 
     def load_fact() -> None:
         stg = {name: saved(name) for name in staging.BUILDERS}
-        dims = {name: spark.read.parquet(warehouse_path(out, name)) for name in DIMENSIONS}
+        dims = {name: spark.read.parquet(next_path(out, name)) for name in DIMENSIONS}
         given = cube.cube_input(stg, dims, measures)
         save_table(cube.sales_grain(given), staging_path(out, "vendas_grao"))
         fact = cube.build_cube(given, saved("vendas_grao"))
-        save_table(fact, warehouse_path(out, FACT), partition_by="gid")
+        save_table(fact, next_path(out, FACT), partition_by="gid")
+        for name in (*DIMENSIONS, FACT):
+            switch(spark, next_path(out, name), warehouse_path(out, name))
 
     def refresh_statistics() -> None:
         if catalog is None:
@@ -125,12 +156,32 @@ def full_run(
         checks.analyze_tables(spark, names)
 
     def everything() -> None:
+        _logged(spark, out, CLEAR_STAGING, lambda: remove(spark, f"{out}/stg"))
         _logged(spark, out, LOAD_STAGING, load_staging)
+        _logged(spark, out, CLEAR_WAREHOUSE, lambda: remove(spark, f"{out}/dw_next"))
         _logged(spark, out, LOAD_DIMENSIONS, load_dimensions)
         _logged(spark, out, LOAD_FACT, load_fact)
         _logged(spark, out, REFRESH_STATISTICS, refresh_statistics)
 
-    _logged(spark, out, runlog.FULL_RUN, everything)
+    with temporary_tables(spark):
+        _logged(spark, out, runlog.FULL_RUN, everything)
+
+
+def upsert_stored_fact(spark: SparkSession, out: str, delta: DataFrame) -> None:
+    """Put cube rows into the stored fact: those of the same keys are replaced.
+
+    Only the `gid` folders that `delta` has rows for are read and written, beside the table first;
+    there are 32 at most.
+    """
+    fact = spark.read.parquet(warehouse_path(out, FACT))
+    touched = [r["gid"] for r in delta.select("gid").distinct().collect()]
+    rows = loads.upsert_fact(fact.where(F.col("gid").isin(touched)), delta.select(*fact.columns))
+    beside = f"{next_path(out, FACT)}_{uuid.uuid4()}"
+    save_table(rows, beside, partition_by="gid")
+    for gid in touched:
+        switch(spark, f"{beside}/gid={gid}", f"{warehouse_path(out, FACT)}/gid={gid}")
+    remove(spark, beside)
+    spark.catalog.refreshByPath(warehouse_path(out, FACT))
 
 
 def run_status(spark: SparkSession, out: str) -> DataFrame:

@@ -6,7 +6,7 @@ Spark jobs compute them.
 
 from __future__ import annotations
 
-from quintacube.plans.registry import NOW, PERIOD, SET_ORDER, set_name
+from quintacube.plans.registry import CPF, NOW, PERIOD, SET_ORDER, set_name
 from quintacube.sources.standins import FULL_RUN
 
 _TABLES = {
@@ -103,6 +103,12 @@ def _report(letters: str, body: str, tables: str = "") -> str:
     return f"{base.rstrip()},\nfato AS ({_set(letters)})\n{body}"
 
 
+def _whole(body: str, tables: str = "") -> str:
+    """`body` over the whole fact, all groupings."""
+    base = _with(f"{_CUBE_TABLES} {tables}", "")
+    return f"{base.rstrip()},\nfato AS ({' UNION ALL '.join(_set(s) for s in SET_ORDER)})\n{body}"
+
+
 _DIM_PRODUTO = """
     SELECT CAST({id} AS {id_type}) AS idProduto, p_partkey AS codProdutoOrigem,
            p_name AS nomeProduto, p_brand AS categoria,
@@ -129,9 +135,13 @@ def _unique(name: str, source: str, keys: str) -> str:
 
 
 def _orphans(name: str, source: str, key: str, parent: str, parent_key: str) -> str:
+    """Rows of a source whose key, of one column or several, no parent row has."""
+    pairs = list(zip(key.split(), parent_key.split(), strict=True))
+    given = " AND ".join(f"a.{k} IS NOT NULL" for k, _ in pairs)
+    same = " AND ".join(f"a.{k} = b.{p}" for k, p in pairs)
     return (
-        f"SELECT '{name}' AS referencia, count(*) AS orfaos FROM {source} WHERE {key} IS NOT NULL "
-        f"AND {key} NOT IN (SELECT {parent_key} FROM {parent})"
+        f"SELECT '{name}' AS referencia, count(*) AS orfaos FROM {source} a WHERE {given} "
+        f"AND NOT EXISTS (SELECT 1 FROM {parent} b WHERE {same})"
     )
 
 
@@ -205,12 +215,12 @@ ORACLE: dict[str, str] = {
     ),
     "dim_tempo": _with("tempo", _DIM_TEMPO),
     "dim_cliente": _DIM_CLIENTE.format(
-        id="row_number() OVER (ORDER BY c_custkey)", id_type="INTEGER"
+        id="row_number() OVER (ORDER BY c_custkey)", id_type="BIGINT"
     ),
     "dim_funcionario": _with("func cargo", _DIM_FUNCIONARIO),
     "dim_produto": _with(
         "detalhe",
-        _DIM_PRODUTO.format(id="row_number() OVER (ORDER BY p_partkey)", id_type="INTEGER"),
+        _DIM_PRODUTO.format(id="row_number() OVER (ORDER BY p_partkey)", id_type="BIGINT"),
     ),
     "dim_loja": _with("loja", _DIM_LOJA),
     "dim_all_members": _with(
@@ -338,8 +348,7 @@ ORACLE: dict[str, str] = {
         "SELECT tipo_operacao, status, data_execucao FROM log "
         f"WHERE tipo_operacao = '{FULL_RUN}'",
     ),
-    "log_status": _report(
-        "tc",
+    "log_status": _whole(
         "SELECT max(data_execucao) AS ultima_execucao, max(status) AS status, "
         "(SELECT count(*) FROM fato) AS total_vendas, "
         "(SELECT count(*) + 1 FROM customer) AS total_clientes, "
@@ -364,15 +373,13 @@ ORACLE: dict[str, str] = {
         "SELECT (SELECT count(*) FROM fato) AS total_fatia, "
         "(SELECT count(*) FROM vendas) AS total_vendas",
     ),
-    "check_date_keys": _report(
-        "t",
-        "SELECT idData, 'fato' AS somente_em FROM fato WHERE idData NOT IN "
+    "check_date_keys": _whole(
+        "SELECT DISTINCT idData, 'fato' AS somente_em FROM fato WHERE idData <> -1 AND idData NOT IN "
         "(SELECT idData FROM tempo) UNION ALL SELECT idData, 'dimensao' FROM tempo "
         "WHERE idData NOT IN (SELECT idData FROM fato)",
         "tempo",
     ),
-    "check_unique": _report(
-        "tcp",
+    "check_unique": _whole(
         " UNION ALL ".join(
             [
                 _unique("tb010_012_vendas", "vendas", "cod"),
@@ -387,17 +394,44 @@ ORACLE: dict[str, str] = {
         ),
         "compras",
     ),
-    "check_fk": _with(
-        "vendas loja",
+    "check_client_by_cpf": f"SELECT * FROM ({_NATURAL_CLIENTE}) WHERE cpf = {CPF}",
+    "check_fk": _whole(
         " UNION ALL ".join(
             [
+                _orphans("cidade_uf", "loja", "uf", "region", "r_name"),
+                _orphans("endereco_cidade", "loja", "idLoja uf", "loja", "idLoja uf"),
+                _orphans("loja_endereco", "nation", "n_nationkey", "loja", "idLoja"),
+                _orphans("funcionario_loja", "supplier", "s_nationkey", "nation", "n_nationkey"),
+                _orphans("cargo_funcionario", "events", "user_id", "supplier", "s_suppkey"),
+                _orphans("cargo_cargo", "events", "event_type", "events", "event_type"),
+                _orphans("vendas_funcionario", "vendas", "matricula", "supplier", "s_suppkey"),
                 _orphans("vendas_cliente", "vendas", "cpf", "customer", "c_custkey"),
                 _orphans("vendas_produto", "vendas", "produto", "part", "p_partkey"),
-                _orphans("vendas_funcionario", "vendas", "matricula", "supplier", "s_suppkey"),
-                _orphans("funcionario_loja", "supplier", "s_nationkey", "loja", "idLoja"),
-                _orphans("cargo_funcionario", "events", "user_id", "supplier", "s_suppkey"),
+                _orphans("compras_produto", "compras", "produto", "part", "p_partkey"),
+                _orphans("produto_categoria", "part", "p_brand", "part", "p_brand"),
+                *[
+                    _orphans(
+                        f"{name}_produto", f"(SELECT * FROM part WHERE {sizes})", "p_partkey", "part", "p_partkey"
+                    )
+                    for name, sizes in (
+                        ("alimento", "p_size <= 20"),
+                        ("eletro", "p_size BETWEEN 15 AND 35"),
+                        ("vestuario", "p_size BETWEEN 30 AND 45"),
+                    )
+                ],
+                *[
+                    _orphans(f"fato_{key}", "fato", key, f"({dimension})", key)
+                    for key, dimension in (
+                        ("idData", _DIM_TEMPO),
+                        ("idCliente", _NATURAL_CLIENTE),
+                        ("idFuncionario", _DIM_FUNCIONARIO),
+                        ("idLoja", _DIM_LOJA),
+                        ("idProduto", _NATURAL_PRODUTO),
+                    )
+                ],
             ]
         ),
+        "compras tempo cargo detalhe",
     ),
     "check_sentinel_free": _with(
         "vendas",
@@ -447,8 +481,7 @@ ORACLE: dict[str, str] = {
         "JOIN func f ON v.matricula = f.matricula JOIN loja l ON f.loja = l.idLoja "
         "JOIN part ON v.produto = p_partkey",
     ),
-    "table_stats": _report(
-        "tc",
+    "table_stats": _whole(
         " UNION ALL ".join(
             [
                 _stats("Dim_Tempo", f"({_DIM_TEMPO})", "idData dataCompleta ano mes dia"),

@@ -9,13 +9,14 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quintacube.functions.sizing import union_all
+from quintacube.functions.sizing import cut, small_side, union_all
 from quintacube.operators import checks, cost, cube, dimensions, loads, runlog, staging
 from quintacube.plans import reports
 from quintacube.sources import standins
 
 NOW = "2024-01-15 12:00:00"
 PERIOD = ("1995-01-01", "1996-12-31")
+CPF = 7
 
 _LETTER = dict(zip(cube.KEYS, "tcflp", strict=True))
 
@@ -74,25 +75,15 @@ class Model:
     def read(self, table: str) -> DataFrame:
         return standins.read(self.spark, self.sf_dir, table)
 
-    @cached_property
-    def report_dims(self) -> Dimensions:
-        """As `plain_dims`, cut to what the reports read.
-
-        The calendar is made of all order days: it holds every day of the sales and is read from
-        one column instead of from the joined sales. Employees come without their jobs.
-        """
-        dims = Dimensions(self.sources, self.stg)
-        dims["Dim_Funcionario"] = self.stg["funcionarios"].selectExpr(
-            "tb005_matricula AS idFuncionario", "tb005_nome_completo AS nomeFuncionario"
-        )
-        days = self.read("orders").select(F.col("o_orderdate").alias("tb010_012_data"))
-        dims["Dim_Tempo"] = dimensions.with_all_member(dimensions.dim_date(days), "Dim_Tempo")
-        return dims
-
     @cached_property
     def cube_input(self) -> cube.CubeInput:
         return cube.cube_input(self.stg, self.plain_dims)
 
+    @cached_property
+    def fact(self) -> DataFrame:
+        """All 32 groupings, written once, one folder each."""
+        return cut(cube.build_cube(self.cube_input), partition_by="gid")
+
     @property
     def log(self) -> DataFrame:
         return standins.run_log(self.spark, self.sf_dir)
@@ -112,7 +103,7 @@ def _cube_set(letters: str):
 def _report(name: str):
     def run(m: Model) -> DataFrame:
         args = PERIOD if name == "q5_cliente_periodo" else ()
-        return reports.REPORTS[name](m.grouping(*reports.GROUPING[name]), m.report_dims, *args)
+        return reports.REPORTS[name](m.grouping(*reports.GROUPING[name]), m.plain_dims, *args)
 
     return run
 
@@ -172,12 +163,12 @@ def upsert_fact(m: Model) -> DataFrame:
 def log_status(m: Model) -> DataFrame:
     dims = m.plain_dims
     return runlog.status_summary(
-        m.log, m.grouping("idData", "idCliente"), dims["Dim_Cliente"], dims["Dim_Produto"]
+        m.log, m.fact, dims["Dim_Cliente"], dims["Dim_Produto"]
     )
 
 
 def check_counts(m: Model) -> DataFrame:
-    """Staged tables keep every source row; details fan out to at least one row per product."""
+    """Staged tables keep every source row."""
     names = {
         "vendas": "tb010_012_vendas",
         "compras": "tb012_017_compras",
@@ -200,26 +191,35 @@ def check_unique(m: Model) -> DataFrame:
             "tb005_funcionarios": (s["tb005_funcionarios"], ["tb005_matricula"]),
             "tb012_produtos": (s["tb012_produtos"], ["tb012_cod_produto"]),
             "tb012_017_compras": (s["tb012_017_compras"], ["tb012_cod_produto"]),
-            "Fato_Vendas": (m.grouping("idData", "idCliente", "idProduto"), cube.KEYS),
+            "Fato_Vendas": (m.fact, cube.KEYS),
         }
     )
 
 
 def check_fk(m: Model) -> DataFrame:
+    """Every declared reference between the source tables that are read, and those of the fact."""
     s, d = m.sources, m.plain_dims
-    sales, jobs = s["tb010_012_vendas"], s["tb005_006_funcionarios_cargos"]
+    product, city = "tb012_cod_produto", ["tb002_cod_cidade", "tb001_sigla_uf"]
+    declared = {
+        "cidade_uf": ("tb002_cidades", "tb001_sigla_uf", "tb001_uf"),
+        "endereco_cidade": ("tb003_enderecos", city, "tb002_cidades"),
+        "loja_endereco": ("tb004_lojas", "tb003_cod_endereco", "tb003_enderecos"),
+        "funcionario_loja": ("tb005_funcionarios", "tb004_cod_loja", "tb004_lojas"),
+        "cargo_funcionario": ("tb005_006_funcionarios_cargos", "tb005_matricula", "tb005_funcionarios"),
+        "cargo_cargo": ("tb005_006_funcionarios_cargos", "tb006_cod_cargo", "tb006_cargos"),
+        "vendas_funcionario": ("tb010_012_vendas", "tb005_matricula", "tb005_funcionarios"),
+        "vendas_cliente": ("tb010_012_vendas", "tb010_cpf", "tb010_clientes"),
+        "vendas_produto": ("tb010_012_vendas", product, "tb012_produtos"),
+        "compras_produto": ("tb012_017_compras", product, "tb012_produtos"),
+        "produto_categoria": ("tb012_produtos", "tb013_cod_categoria", "tb013_categorias"),
+        "alimento_produto": ("tb014_prd_alimentos", product, "tb012_produtos"),
+        "eletro_produto": ("tb015_prd_eletros", product, "tb012_produtos"),
+        "vestuario_produto": ("tb016_prd_vestuarios", product, "tb012_produtos"),
+    }
+    dimension = dict(zip(cube.KEYS, reports.DIMENSION_OF_KEY, strict=True))
     return checks.foreign_keys(
-        {
-            "vendas_cliente": (sales, "tb010_cpf", d["Dim_Cliente"], "idCliente"),
-            "vendas_produto": (sales, "tb012_cod_produto", d["Dim_Produto"], "idProduto"),
-            "vendas_funcionario": (sales, "tb005_matricula", d["Dim_Funcionario"], "idFuncionario"),
-            "funcionario_loja": (
-                s["tb005_funcionarios"], "tb004_cod_loja", d["Dim_Loja"], "idLoja",
-            ),
-            "cargo_funcionario": (
-                jobs, "tb005_matricula", d["Dim_Funcionario"], "idFuncionario",
-            ),
-        }
+        {name: (s[child], key, s[parent], key) for name, (child, key, parent) in declared.items()}
+        | {f"fato_{key}": (m.fact, key, d[name], key) for key, name in dimension.items()}
     )
 
 
@@ -276,9 +276,9 @@ def join_star(m: Model) -> DataFrame:
         F.col("tb004_cod_loja").alias("idLoja"),
     ).join(d["Dim_Loja"].select("idLoja", "nomeLoja"), "idLoja")
     return (
-        sales.join(d["Dim_Cliente"].select("cpf", "nomeCliente"), "cpf")
-        .join(employee, "idFuncionario")
-        .join(d["Dim_Produto"].select("codProdutoOrigem", "nomeProduto"), "codProdutoOrigem")
+        sales.join(small_side(d["Dim_Cliente"].select("cpf", "nomeCliente")), "cpf")
+        .join(small_side(employee), "idFuncionario")
+        .join(small_side(d["Dim_Produto"].select("codProdutoOrigem", "nomeProduto")), "codProdutoOrigem")
         .select(
             "tb010_012_cod_venda",
             "nomeCliente",
@@ -299,7 +299,7 @@ def table_stats(m: Model) -> DataFrame:
             "Dim_Funcionario": d["Dim_Funcionario"],
             "Dim_Produto": d["Dim_Produto"],
             "Dim_Loja": d["Dim_Loja"],
-            "Fato_Vendas": m.grouping("idData", "idCliente", profit=True),
+            "Fato_Vendas": m.fact,
         }
     )
 
@@ -329,9 +329,7 @@ QUERIES: dict[str, Callable[[Model], DataFrame]] = {
         m.stg["vendas"], cost.average_cost(m.stg["compras"])
     ).select("tb010_012_cod_venda", "tb012_cod_produto", "valor", "lucro"),
     "fato_cube": lambda m: cube.build_cube(m.cube_input),
-    "cube_slice": lambda m: cube.cube_slice(
-        cube.build_cube(m.cube_input), ("idCliente", "idLoja")
-    ),
+    "cube_slice": lambda m: cube.cube_slice(m.fact, ("idCliente", "idLoja")),
     **{set_name(i, s): _cube_set(s) for i, s in enumerate(SET_ORDER, start=1)},
     "insert_ignore": insert_ignore,
     "upsert_fact": upsert_fact,
@@ -348,7 +346,8 @@ QUERIES: dict[str, Callable[[Model], DataFrame]] = {
     "check_slice_count": lambda m: checks.slice_count(
         m.grouping("idData", "idCliente"), m.stg["vendas"]
     ),
-    "check_date_keys": lambda m: checks.date_keys(m.grouping("idData"), m.plain_dims["Dim_Tempo"]),
+    "check_date_keys": lambda m: checks.date_keys(m.fact, m.plain_dims["Dim_Tempo"]),
+    "check_client_by_cpf": lambda m: checks.client_by_cpf(m.plain_dims["Dim_Cliente"], CPF),
     "check_unique": check_unique,
     "check_fk": check_fk,
     "check_sentinel_free": check_sentinel_free,

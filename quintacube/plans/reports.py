@@ -15,6 +15,14 @@ from quintacube.functions.sizing import small_side
 
 Dims = Mapping[str, DataFrame]
 
+# Texts that the reports show.
+ONLINE_STORE = "Loja Virtual"
+TOTAL_OF_CATEGORIES = "Total por Categoria"
+TOTAL_OF_SALES = "Total de Vendas"
+
+#: Dimension of each key of the fact, in the order of the keys.
+DIMENSION_OF_KEY = ("Dim_Tempo", "Dim_Cliente", "Dim_Funcionario", "Dim_Loja", "Dim_Produto")
+
 # Grouping each report reads.
 GROUPING = {
     "q1_func_tempo": ("idData", "idFuncionario"),
@@ -77,7 +85,7 @@ def last_sale_of_client(fact: DataFrame, dims: Dims) -> DataFrame:
         F.max_by("valor", "idData").alias("valorTotal"), F.max("idData").alias("idData")
     )
     return (
-        last.join(dims["Dim_Cliente"], "idCliente")
+        last.join(small_side(dims["Dim_Cliente"].select("idCliente", "nomeCliente")), "idCliente")
         .join(small_side(dims["Dim_Tempo"]), "idData")
         .select("nomeCliente", "valorTotal", "dataCompleta")
         .orderBy(F.asc_nulls_last("nomeCliente"))
@@ -96,11 +104,11 @@ def by_client_in_period(
     return (
         fact.where(f"idData BETWEEN {DATE_KEY.format(start)} AND {DATE_KEY.format(end)}")
         .join(small_side(days), "idData")
-        .join(dims["Dim_Cliente"], "idCliente")
+        .join(small_side(dims["Dim_Cliente"].select("idCliente", "nomeCliente")), "idCliente")
         .select(
             "nomeCliente",
             F.col("valor").alias("ValorAcumulado"),
-            F.lit("Loja Virtual").alias("tipo_loja"),
+            F.lit(ONLINE_STORE).alias("tipo_loja"),
             "dataCompleta",
         )
         .orderBy(F.desc_nulls_first("ValorAcumulado"))
@@ -118,14 +126,14 @@ def by_category(fact: DataFrame, dims: Dims) -> DataFrame:
 
 def total(fact: DataFrame, dims: Dims) -> DataFrame:
     return fact.select(
-        F.lit("Total por Categoria").alias("categoria"),
+        F.lit(TOTAL_OF_CATEGORIES).alias("categoria"),
         F.col("quantidade").alias("QuantidadeTotalVendida"),
     )
 
 
 def total_sales(fact: DataFrame, dims: Dims) -> DataFrame:
     return fact.select(
-        F.lit("Total de Vendas").alias("descricao"), F.col("quantidade").alias("Quantidade")
+        F.lit(TOTAL_OF_SALES).alias("descricao"), F.col("quantidade").alias("Quantidade")
     )
 
 

@@ -72,7 +72,9 @@ SOURCE_DDL = {
 }
 
 # The run id is made by the driver of the run, so it is text rather than a database sequence.
+# `data_execucao` is when the run began, in each of its states; `data_estado` is when it got there.
 LOG_DDL = (
     "id_log string not null, data_execucao timestamp_ntz, tipo_operacao string, status string, "
-    "mensagem string, duracao interval day to second, erro_detalhado string, linha_erro int"
+    "mensagem string, duracao interval day to second, erro_detalhado string, linha_erro int, "
+    "data_estado timestamp_ntz"
 )

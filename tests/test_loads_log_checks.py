@@ -36,7 +36,7 @@ def test_delete_keeps_rows_with_an_unknown_condition(spark):
 
 def log_of(spark, *states):
     rows_ = [
-        (run, NOW - timedelta(minutes=ago), operation, status, None, None, None, None)
+        (run, NOW - timedelta(minutes=ago), operation, status, None, None, None, None, NOW - timedelta(minutes=ago))
         for run, ago, operation, status in states
     ]
     from quintacube.sources.schemas import LOG_DDL
@@ -100,6 +100,18 @@ def test_unique_and_foreign_key_checks(spark):
     assert rows(checks.foreign_keys({"r": (parent, "p", parent, "p")})) == [("r", 0)]
 
 
+def test_foreign_keys_of_several_columns(spark):
+    child = spark.createDataFrame([(1, "a"), (1, "b"), (2, "b"), (2, "b"), (3, None)], "k int, s string")
+    parent = spark.createDataFrame([(1, "a"), (2, "a"), (1, "b")], "k int, s string")
+    assert rows(checks.foreign_keys({"r": (child, ["k", "s"], parent, ["k", "s"])})) == [("r", 2)]
+
+
+def test_client_by_cpf(spark):
+    clients = spark.createDataFrame([(1, 11, "a"), (2, 22, "b")], "idCliente int, cpf int, nomeCliente string")
+    assert rows(checks.client_by_cpf(clients, 22)) == [(2, 22, "b")]
+    assert rows(checks.client_by_cpf(clients, 33)) == []
+
+
 def test_date_key_check_reports_both_sides(spark):
     fact = spark.createDataFrame([(-1,), (1,), (2,), (2,)], "idData int")
     dates = spark.createDataFrame([(-1,), (2,), (3,)], "idData int")

@@ -1,4 +1,4 @@
-from datetime import date
+from datetime import date, timedelta
 
 import pytest
 import world
@@ -103,14 +103,27 @@ def test_by_category_and_totals(dw):
     assert report(dw, "q7_total_vendas") == [("Total de Vendas", total)]
 
 
+STEPS = (
+    runlog.FULL_RUN, runs.CLEAR_STAGING, runs.LOAD_STAGING, runs.CLEAR_WAREHOUSE, runs.LOAD_DIMENSIONS,
+    runs.LOAD_FACT, runs.REFRESH_STATISTICS,
+)
+
+
+def test_last_run_lists_every_step_in_order(spark, out):
+    steps = runlog.last_run_steps(runs.read_log(spark, out)).collect()
+    assert [r["tipo_operacao"] for r in steps] == list(STEPS)
+    assert all(r["duracao"] > timedelta(0) for r in steps)
+    assert not runlog.running(runs.read_log(spark, out), runs._now()).first()[0]
+    assert sorted(tuple(r) for r in runlog.counts(runs.read_log(spark, out)).collect()) == sorted(
+        (step, "SUCESSO", 1) for step in STEPS
+    )
+    assert runs.read_states(spark, out).count() == 2 * len(STEPS)
+
+
 def test_log_and_status_after_a_run(spark, out, dw):
-    log = runlog.latest_state(runs.read_log(spark, out))
+    log = runs.read_log(spark, out)
     states = {r["tipo_operacao"]: r["status"] for r in log.collect()}
-    assert states == dict.fromkeys(
-        (runs.LOAD_STAGING, runs.LOAD_DIMENSIONS, runs.LOAD_FACT, runs.REFRESH_STATISTICS,
-         runlog.FULL_RUN),
-        "SUCESSO",
-    )
+    assert states == dict.fromkeys(STEPS, "SUCESSO")
     assert all(r["duracao"].total_seconds() > 0 for r in log.collect())
     status = runs.run_status(spark, out).first()
     assert status["status"] == "SUCESSO"
@@ -140,8 +153,68 @@ def test_failure_is_logged_and_raised(spark, shop, tmp_path):
     )
     with pytest.raises(Exception, match="broken source"):
         runs.full_run(spark, broken, str(tmp_path))
-    log = runlog.latest_state(runs.read_log(spark, str(tmp_path)))
-    assert {r["status"] for r in log.collect()} == {"ERRO"}
+    log = runs.read_log(spark, str(tmp_path)).collect()
+    states = {r["tipo_operacao"]: r["status"] for r in log}
+    assert states == {runlog.FULL_RUN: "ERRO", runs.CLEAR_STAGING: "SUCESSO", runs.LOAD_STAGING: "ERRO"}
+    assert all(r["erro_detalhado"] for r in log if r["status"] == "ERRO")
+
+
+def test_a_long_error_is_kept_whole_and_the_warehouse_stays(spark, shop, out, tmp_path):
+    folder = str(tmp_path)
+    runs.full_run(spark, shop, folder)
+    text = "x" * 5000
+    broken = dict(shop)
+    broken["tb012_produtos"] = shop["tb012_produtos"].selectExpr(
+        "* EXCEPT (tb012_descricao)", f"CAST(raise_error('{text}') AS string) AS tb012_descricao"
+    )
+    with pytest.raises(Exception, match="xxxx"):
+        runs.full_run(spark, broken, folder)
+    failed = [r for r in runs.read_log(spark, folder).collect() if r["status"] == "ERRO"]
+    assert failed and all(text in r["mensagem"] for r in failed)
+    dw = runs.read_warehouse(spark, folder)
+    assert world.natural(dw[runs.FACT], dw) == world.cube()
+
+
+def test_purge_of_the_stored_log_lets_the_next_run_start(spark, shop, tmp_path):
+    folder = str(tmp_path)
+    began = runs._now() - timedelta(minutes=10)
+    runlog.append_state(spark, runs.log_path(folder), "X", runlog.STARTED, "x", began)
+    done = runlog.append_state(spark, runs.log_path(folder), "Y", runlog.STARTED, "y", began)
+    runlog.append_state(spark, runs.log_path(folder), "Y", runlog.DONE, "y", began, done, timedelta(minutes=1))
+    with pytest.raises(runs.AlreadyRunning):
+        runs.full_run(spark, shop, folder)
+    runs.purge_log(spark, folder)
+    assert [(r["tipo_operacao"], r["status"]) for r in runs.read_log(spark, folder).collect()] == [("Y", "SUCESSO")]
+    runs.full_run(spark, shop, folder)
+
+
+def test_upsert_of_the_stored_fact(spark, out, shop, tmp_path):
+    folder = str(tmp_path)
+    runs.full_run(spark, shop, folder)
+    before = runs.read_warehouse(spark, folder)[runs.FACT]
+    total = cube.cube_slice(before, ()).first()
+    wanted = sorted(map(str, before.where("gid <> 31").collect()))
+    delta = before.where("gid = 31").withColumn("quantidade", F.col("quantidade") + 5)
+    delta = delta.unionByName(before.where("gid = 23 AND idCliente > 0").limit(1).withColumn("idCliente", F.lit(-7).cast("bigint")))
+    from quintacube.functions.sizing import cut
+
+    delta = cut(delta)
+    runs.upsert_stored_fact(spark, folder, delta)
+    after = spark.read.parquet(runs.warehouse_path(folder, runs.FACT))
+    assert cube.cube_slice(after, ()).first()["quantidade"] == total["quantidade"] + 5
+    rest = sorted(map(str, after.where("gid <> 31 AND idCliente <> -7").select(*before.columns).collect()))
+    assert rest == wanted and after.where("idCliente = -7").count() == 1
+
+
+def test_no_temporary_table_is_left_after_a_run(spark, shop, tmp_path):
+    from pathlib import Path
+
+    from quintacube.session import ensure_checkpoint_dir
+
+    tables = Path(ensure_checkpoint_dir(spark).removeprefix("file:")) / "tables"
+    before = set(tables.iterdir()) if tables.exists() else set()
+    runs.full_run(spark, shop, str(tmp_path))
+    assert (set(tables.iterdir()) if tables.exists() else set()) <= before
 
 
 def test_a_live_run_blocks_the_next(spark, shop, tmp_path):

@@ -15,15 +15,15 @@ def rows(df, *columns):
 def test_month_first_text_becomes_a_timestamp(shop):
     history = shop["tb005_006_funcionarios_cargos"]
     days = {str(r[0])[:10] for r in history.select("tb005_006_data_promocao").collect()}
-    assert days == {"2008-01-02", "2008-10-03", "2008-02-10", "2008-09-30"}
+    assert days == {"2015-03-04", "2016-07-08", "2015-05-06", "2016-06-09"}
 
 
 def test_latest_job_breaks_ties_by_lowest_code(shop):
     # Employee 4 has only a job that is not in the job table.
     assert rows(staging.latest_jobs(shop), "tb005_matricula", "tb006_nome_cargo") == [
-        (1, "Gerente"),
-        (2, "Caixa"),
-        (3, "Gerente"),
+        (1, "Estoque"),
+        (2, "Balcão"),
+        (3, "Estoque"),
     ]
 
 
@@ -58,9 +58,9 @@ def test_dimensions(shop):
     ]
     assert rows(dims["Dim_Funcionario"], "idFuncionario", "cargo")[:6] == [
         (-1, "Total"),
-        (1, "Gerente"),
-        (2, "Caixa"),
-        (3, "Gerente"),
+        (1, "Estoque"),
+        (2, "Balcão"),
+        (3, "Estoque"),
         (4, "Cargo Não Definido"),
         (5, "Cargo Não Definido"),
     ]

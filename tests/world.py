@@ -83,16 +83,16 @@ def tables(spark) -> dict:
         "tb005_006_funcionarios_cargos": t(
             "tb005_006_funcionarios_cargos",
             [
-                (1, 1, "10.00", "0", "1/2/2008"),
-                (1, 2, "10.00", "0", "10/3/2008"),
-                (2, 1, "10.00", "0", "2/10/2008"),
-                (3, 3, "10.00", "0", "10/3/2008"),
-                (3, 2, "10.00", "0", "10/3/2008"),
-                (3, 1, "10.00", "0", "9/30/2008"),
-                (4, 9, "10.00", "0", "9/30/2008"),
+                (1, 1, "10.00", "0", "3/4/2015"),
+                (1, 2, "10.00", "0", "7/8/2016"),
+                (2, 1, "10.00", "0", "5/6/2015"),
+                (3, 3, "10.00", "0", "7/8/2016"),
+                (3, 2, "10.00", "0", "7/8/2016"),
+                (3, 1, "10.00", "0", "6/9/2016"),
+                (4, 9, "10.00", "0", "6/9/2016"),
             ],
         ),
-        "tb006_cargos": t("tb006_cargos", [("Caixa",), ("Gerente",), ("Diretor",)],
+        "tb006_cargos": t("tb006_cargos", [("Balcão",), ("Estoque",), ("Turno",)],
                           "tb006_cod_cargo"),
         "tb010_clientes": t(
             "tb010_clientes", [(c, f"Cliente {c}", "1", None) for c in CLIENTS]
