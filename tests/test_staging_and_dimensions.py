@@ -29,7 +29,10 @@ def test_latest_job_breaks_ties_by_lowest_code(shop):
 
 def test_latest_job_limits_rows_before_the_shuffle(shop):
     plan = staging.latest_jobs(shop)._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan
+    assert "partial_min_by" in plan and "Window" not in plan
+    history = shop["tb005_006_funcionarios_cargos"]
+    latest = staging.latest_per_key(history, "tb005_matricula", "tb006_cod_cargo")
+    assert "WindowGroupLimit" in latest._jdf.queryExecution().executedPlan().toString()
 
 
 def test_store_needs_a_matching_address(shop):
