@@ -7,9 +7,10 @@ further left in the same one. Every byte of a repeat is removed; repeats are jud
    if several are equal, depends on the string alone. Starts that share an anchor form a range.
 2. Candidates. Anchors found once in the corpus cannot belong to a repeat and go.
 3. Shards. The bytes around each remaining range go to the shard of its anchor's hash, where all
-   equal strings meet. Inside a task, equal pieces go as one. Each shard's suffixes are sorted by
-   external induced sorting; neighbours with `NEED` bytes in common are one string, and all its
-   starts but the earliest are repeats.
+   equal strings meet. Before and after that shuffle equal pieces are combined into their earliest,
+   so that what a hot passage sends grows with the tasks, not with the documents. The suffixes of
+   each shard's different pieces are sorted by external induced sorting; neighbours with `NEED`
+   bytes in common are one string, and all its starts but the earliest are repeats.
 4. Removal. Each document gets its repeats and is cut.
 
 Texts are read in place three times and never shuffled: ranges and repeats are written by input
@@ -224,19 +225,32 @@ def repeats(
 
 
 def _sort_shard(need: int, memory: int, queue: int):
+    def all_repeat(c: dict[str, np.ndarray]) -> pa.RecordBatch:
+        """Of pieces equal to an earlier one."""
+        return _repeat_batch(c["block"], c["row"], c["first"], c["first"] + c["starts"] - 1 + need)
+
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data, parts = [], []
         for batch in batches:
             whole = batch.column("data").is_valid().to_numpy(zero_copy_only=False)
-            columns = {c: batch.column(c).to_numpy() for c in _PIECE_NAMES[1:-1]}
-            if not whole.all():  # equal to an earlier piece of its task: all starts repeat
-                c = {n: v[~whole] for n, v in columns.items()}
-                yield _repeat_batch(c["block"], c["row"], c["first"], c["first"] + c["starts"] - 1 + need)
+            columns = {c: batch.column(c).to_numpy() for c in _PIECE_NAMES[:-1]}
+            if not whole.all():
+                yield all_repeat({n: v[~whole] for n, v in columns.items()})
             data += [d.as_py() for d in batch.column("data").filter(pa.array(whole))]
             parts.append({n: v[whole] for n, v in columns.items()})
         if not data:
             return
         c = {n: np.concatenate([p[n] for p in parts]) for n in parts[0]}
+        first_seen: set[tuple[int, bytes]] = set()
+        whole = np.ones(len(data), bool)
+        for k in np.lexsort((c["first"], c["row"], c["block"], c["doc_id"])).tolist():
+            mark = (int(c["key"][k]), data[k])
+            whole[k] = mark not in first_seen
+            first_seen.add(mark)
+        del first_seen
+        if not whole.all():
+            yield all_repeat({n: v[~whole] for n, v in c.items()})
+            data, c = [data[k] for k in np.flatnonzero(whole)], {n: v[whole] for n, v in c.items()}
         piece, start = repeats(data, (c["doc_id"], c["block"], c["row"], c["first"]), c["starts"].astype(np.int64), need, memory, queue)
         if len(piece):
             fresh = np.append(True, (piece[1:] != piece[:-1]) | (np.diff(start) != 1))
@@ -323,7 +337,9 @@ def remove_repeats(
         F.sum(F.col("starts") + (need - 1))
     ).first()[0]
     shards = -(-(size or 1) // shard_bytes)
-    pieces = rows.mapInArrow(_cut_pieces(by_block, need), _PIECE).repartition(shards, "key")
+    # A piece that is known to repeat needs no shard; it must not follow its hot key into one.
+    place = F.when(F.col("data").isNull(), F.xxhash64("block", "row", "first")).otherwise(F.col("key"))
+    pieces = rows.mapInArrow(_cut_pieces(by_block, need), _PIECE).repartition(shards, place)
     removed = _write_by_block(pieces.mapInArrow(_sort_shard(need, memory, queue), _REPEAT), f"{folder}/repeats")
     return rows.mapInArrow(_remove(removed), _RESULT)
 
@@ -331,8 +347,9 @@ def remove_repeats(
 def oracle_sql(need: int = NEED) -> str:
     """The digests of the query in DuckDB SQL: every string of `need` bytes of every document."""
     return f"""
-    WITH d AS (SELECT doc_id, hex(encode(COALESCE(text, ''))) AS h FROM documents),
-    w AS (SELECT doc_id, s, md5_number(substr(h, (2 * s + 1)::INTEGER, {2 * need})) AS g
+    WITH d AS (SELECT doc_id, encode(COALESCE(text, '')) AS bytes, hex(encode(COALESCE(text, ''))) AS h
+               FROM documents),
+    w AS (SELECT doc_id, s, array_slice(bytes, s + 1, s + {need}) AS g
           FROM d, LATERAL (SELECT unnest(range(0, greatest(0, len(h) // 2 - {need - 1}))) AS s)),
     r AS (SELECT doc_id, s FROM w QUALIFY ROW_NUMBER() OVER (PARTITION BY g ORDER BY doc_id, s) > 1),
     i AS (SELECT doc_id, s, CASE WHEN s <= LAG(s) OVER (PARTITION BY doc_id ORDER BY s) + {need} THEN 0 ELSE 1 END AS f FROM r),
