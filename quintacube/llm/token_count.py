@@ -23,7 +23,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-FREQUENT, TRACKED = 8192, 32768
+from quintacube.functions.sizing import cut
+
+FREQUENT, TRACKED = 8192, 16384
+#: Sketches that are left for the last merge.
+SKETCHES = 64
 CACHED = 1 << 19
 LIMIT = 4096
 
@@ -86,8 +90,17 @@ def load_model(path: str):
 
 def frequent_pieces(docs: DataFrame, text: str, k: int = FREQUENT, tracked: int = TRACKED) -> list[str]:
     """The most frequent pre-tokens that stand behind one space, by a sketch over all texts."""
-    found = docs.select(F.explode(F.split(text, "[ \n]")).alias("w")).agg(
-        F.expr(f"approx_top_k(w, {k}, {tracked})").alias("top")
+    words = docs.select(F.explode(F.split(text, "[ \n]")).alias("w"))
+    # Merged in two steps, so that the last task gets a fixed number of sketches.
+    some = cut(
+        words.groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCHES)).alias("part")).agg(
+            F.expr(f"approx_top_k_accumulate(w, {tracked})").alias("sketch")
+        )
+    )
+    if some.isEmpty():
+        return []
+    found = some.agg(F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch")).select(
+        F.expr(f"approx_top_k_estimate(sketch, {k})").alias("top")
     )
     top = found.first()["top"] or []
     return [SPACE + r["item"] for r in top if r["item"] is not None and SPACE not in r["item"]]
