@@ -8,18 +8,23 @@ from pyspark.sql import functions as F
 from quintacube.functions.sizing import cut
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
+#: Edges in one partition; many nearly empty tasks would take longer than their work.
+EDGES_A_PARTITION = 200_000
+
+
+def _star(edges: DataFrame, large: bool, parts: int) -> DataFrame:
     """Every node's larger (or smaller) neighbours are linked to its smallest neighbour instead.
 
     `edges` has each edge once, as a > b. Minima are written before they are joined, so that a hub's
     edges come straight from a shuffle and can be split.
     """
     seen = edges.unionAll(edges.select("b", "a")).toDF("u", "v") if large else edges.toDF("u", "v")
-    least = cut(seen.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
+    least = cut(seen.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")).coalesce(parts))
     moved = seen.join(least, "u").where("v > u" if large else "v <> m").select(F.col("v").alias("a"), F.col("m").alias("b"))
     if not large:
         moved = moved.unionAll(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
-    return moved.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    moved = moved.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    return cut(moved.distinct().coalesce(parts))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -35,4 +40,5 @@ def components(edges: DataFrame) -> DataFrame:
         if now == before or not now[0]:
             return state.toDF("node", "root")
         before = now
-        state = cut(_star(cut(_star(state, large=True)), large=False))
+        parts = 1 + now[0] // EDGES_A_PARTITION
+        state = _star(_star(state, True, parts), False, parts)

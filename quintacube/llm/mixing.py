@@ -163,7 +163,8 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     )
     id_col = options.get("id_col", "doc_id")
     return (
-        docs.join(cut(copies), docs[id_col].eqNullSafe(F.col("_id")))
+        # The copies grow with the documents: merged with them at every size, never broadcast.
+        docs.join(cut(copies).hint("merge"), docs[id_col].eqNullSafe(F.col("_id")))
         .where("_copies > 0")
         .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
         .select(*[docs[c] for c in docs.columns])

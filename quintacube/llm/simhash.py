@@ -166,7 +166,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Dat
     """
     groups = cut(near_duplicates(docs.where(F.col(id_col).isNotNull()), id_col, text))
     stay = cut(groups.where("doc_id = component_id").groupBy(F.col("doc_id").alias("_id")).count())
-    rows = docs.join(stay, docs[id_col] == F.col("_id"), "left_semi")
+    # The ids grow with the documents, so they are merged with them at every size, never broadcast.
+    rows = docs.join(stay.hint("merge"), docs[id_col] == F.col("_id"), "left_semi")
     if not stay.where("count > 1").isEmpty():
         rows = rows.dropDuplicates([id_col])
     return rows.unionByName(docs.where(F.col(id_col).isNull()))
