@@ -51,20 +51,25 @@ def shingle_hashes(data: bytes, width: int = SHINGLE) -> list[int]:
     return [digest(joined[s:e], seed) for s, e in zip(starts.tolist(), ends[width - 1 :].tolist(), strict=True)]
 
 
+def majorities(flat: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Majority of each bit over consecutive runs of `counts` values; zero for empty runs."""
+    out = np.zeros(len(counts), np.uint64)
+    full = np.flatnonzero(counts)
+    if len(full):
+        bits = np.unpackbits(flat.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        ones = np.add.reduceat(bits, (np.cumsum(counts) - counts)[full], axis=0, dtype=np.int32)
+        major = np.packbits(2 * ones > counts[full, None], axis=1, bitorder="little")
+        out[full] = major.view(np.uint64)[:, 0]
+    return out
+
+
 def fingerprints(texts: list[str | None], width: int = SHINGLE) -> np.ndarray:
     out = np.zeros(len(texts), np.uint64)
     for first, held in words.chunks(texts):
         hashes = [shingle_hashes(data, width) for data in held]
         counts = np.fromiter(map(len, hashes), np.int64, len(held))
-        if not counts.any():
-            continue
         flat = np.fromiter((h for some in hashes for h in some), np.uint64, int(counts.sum()))
-        bits = np.unpackbits(flat.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        full = np.flatnonzero(counts)
-        starts = (np.cumsum(counts) - counts)[full]
-        ones = np.add.reduceat(bits, starts, axis=0, dtype=np.int32)
-        major = np.packbits(2 * ones > counts[full, None], axis=1, bitorder="little")
-        out[first + full] = major.view(np.uint64)[:, 0]
+        out[first : first + len(held)] = majorities(flat, counts)
     return out
 
 
@@ -159,15 +164,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """The document with the smallest id of each group, all columns.
+    """One row, the one with the smallest id, of each group of `near_copies`, all columns."""
+    from quintacube.llm import near_copies
 
-    Rows that repeat an id count as one document, of which one row stays. Rows without an id cannot
-    be told apart from each other, and all stay.
-    """
-    groups = cut(near_duplicates(docs.where(F.col(id_col).isNotNull()), id_col, text))
-    stay = cut(groups.where("doc_id = component_id").groupBy(F.col("doc_id").alias("_id")).count())
-    # The ids grow with the documents, so they are merged with them at every size, never broadcast.
-    rows = docs.join(stay.hint("merge"), docs[id_col] == F.col("_id"), "left_semi")
-    if not stay.where("count > 1").isEmpty():
-        rows = rows.dropDuplicates([id_col])
-    return rows.unionByName(docs.where(F.col(id_col).isNull()))
+    return near_copies.keep_one(docs, id_col, text)

@@ -1,0 +1,48 @@
+"""Near copies of the pipeline against brute force on five-word shingles."""
+
+import random
+
+import helpers
+import pytest
+
+import corpus_pipeline
+from quintacube.llm import near_copies
+
+
+def brute_groups(texts):
+    sets = []
+    for t in texts:
+        w = (t or "").lower().split()
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if 5 * len(a & b) >= 4 * len(a | b):
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+    return [find(i) for i in range(len(texts))]
+
+
+def edited(text, seed, places):
+    rng, w = random.Random(seed), text.split()
+    for k in range(places):
+        w[rng.randrange(len(w))] = f"edit{seed}x{k}"
+    return " ".join(w)
+
+
+@pytest.mark.parametrize("dense", [2, 8])
+def test_stage_keeps_one_of_each_group_of_similar_texts(spark, monkeypatch, dense):
+    monkeypatch.setattr(near_copies, "DENSE", dense)
+    texts = [helpers.prose(k, 120) for k in range(30)]
+    texts += [edited(texts[k], 100 + k, k % 5) for k in range(30)]
+    texts += [edited(texts[0], 300 + k, k % 3) for k in range(60)] + [texts[1].upper(), None, "", "two words", "two  words"]
+    docs = spark.createDataFrame([(i, t, "a") for i, t in enumerate(texts)], "doc_id long, text string, source string").repartition(3)
+    wanted = sorted(set(brute_groups(texts)))
+    kept = corpus_pipeline.near_duplicates(spark, docs, None)
+    assert sorted(r.doc_id for r in kept.collect()) == wanted and 20 < len(wanted) < 60
