@@ -1,7 +1,7 @@
 """Mixing sources to target weights by Sainte-Laguë apportionment.
 
-The corpus is dealt by a hash of the document id into shards of about `SHARD_WORDS` words. In each
-shard every source stands for its share of its target, and equal blocks of `BLOCK_WORDS` words go
+The corpus is dealt by a hash of id and text, for rows that repeat both also of their place, into
+shards of about `SHARD_WORDS` words. In each shard every source stands for its share of its target, and equal blocks of `BLOCK_WORDS` words go
 to the highest quotients share / (2k + 1): integer quotas per shard and source. Then blocks are
 selected: the documents of a cell (shard, source) lie end to end in a seeded order, whole passes are
 taken first, and the rest of the quota is a run of blocks from a seeded place, around the end.
@@ -22,7 +22,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quintacube.functions.sizing import cut
+from quintacube.functions.sizing import cut, small_side
+from quintacube.llm.places import placed
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -102,15 +103,37 @@ def mix(
 
     `weights` repeat over the sources in code point order.
     """
-    spark = docs.sparkSession
+    rows = placed(docs, list(dict.fromkeys([id_col, text, source])))
+    return _mixed(rows, weights, id_col, text, source, block, shard_words, seed).drop("_file", "_row")
+
+
+def _mixed(
+    rows: DataFrame,
+    weights: Sequence[float] = WEIGHTS,
+    id_col: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+    block: int = BLOCK_WORDS,
+    shard_words: int = SHARD_WORDS,
+    seed: int = SEED,
+) -> DataFrame:
+    """The mix of placed rows, with their places."""
+    spark = rows.sparkSession
     rows = cut(
-        docs.select(
+        rows.select(
+            "_file",
+            "_row",
+            F.xxhash64(F.lit(seed), F.col(id_col), F.col(text)).alias("_order"),
             F.col(id_col).alias("doc_id"),
             # A prefix keeps null apart from every name.
             F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit("")).alias("_source"),
             F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
         )
     )
+    again = cut(rows.groupBy("_order").count().where("count > 1").select("_order", F.lit(True).alias("_again")))
+    if not again.isEmpty():  # equal rows are dealt apart; others keep their hash, however they are stored
+        apart = F.when(F.col("_again"), F.xxhash64("_order", "_file", "_row")).otherwise(F.col("_order"))
+        rows = cut(rows.join(small_side(again), "_order", "left").withColumn("_order", apart).drop("_again"))
     found = rows.groupBy("_source").agg(F.sum("size").alias("n")).collect()
     found.sort(key=lambda r: (r["_source"] == "", r["_source"].encode()))
     sizes = [r["n"] for r in found]
@@ -122,8 +145,7 @@ def mix(
         )
     )
     shards = max(1, math.ceil(sum(sizes) / shard_words))
-    order = F.xxhash64(F.lit(seed), F.col("doc_id"))
-    dealt = rows.withColumn("_order", order).withColumn(
+    dealt = rows.withColumn(
         "_shard", F.pmod(F.xxhash64(F.lit(seed + 1), "_order"), F.lit(shards))
     )
     share = F.when(F.col("source_size") > 0, F.col("target") * F.col("_cell") / F.col("source_size"))
@@ -135,10 +157,10 @@ def mix(
         .groupBy("_shard")
         .applyInPandas(_quotas(block), "_shard long, _source string, _cell long, _quota long")
     )
-    line = Window.partitionBy("_shard", "_source").orderBy("_order", "doc_id", "size")
+    line = Window.partitionBy("_shard", "_source").orderBy("_order", "doc_id", "size", "_file", "_row")
     n = F.col("_blocks")
     first, rest = F.col("_first"), F.col("_quota") % n
-    placed = (
+    line_up = (
         dealt.repartition("_shard")
         .withColumn("_end", F.sum("size").over(line.rowsBetween(Window.unboundedPreceding, 0)))
         .withColumn("_start", F.col("_end") - F.col("size"))
@@ -151,21 +173,22 @@ def mix(
         F.lit(0), F.greatest(F.lit(0), first + rest - n) * block
     )
     taken = (F.floor(F.col("_quota") / n) * F.col("size") + extra).cast("long")
-    return placed.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
+    return line_up.select("_file", "_row", "doc_id", "size", "source_size", "target", taken.alias("taken"))
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """Documents in the mix's proportions: each is repeated by its passes, a part from one half up
-    counting as a pass. Input columns stay as they are; ids must be unique here."""
-    copies = mix(docs, **options).select(
-        F.col("doc_id").alias("_id"),
+    counting as a pass. Input columns stay as they are; copies belong to rows, whatever their ids."""
+    rows = placed(docs)
+    copies = _mixed(rows, **options).select(
+        "_file",
+        "_row",
         F.expr("CASE WHEN size > 0 THEN CAST(round(taken / size) AS int) ELSE 0 END").alias("_copies"),
     )
-    id_col = options.get("id_col", "doc_id")
     return (
         # The copies grow with the documents: merged with them at every size, never broadcast.
-        docs.join(cut(copies).hint("merge"), docs[id_col].eqNullSafe(F.col("_id")))
+        rows.join(cut(copies).hint("merge"), ["_file", "_row"])
         .where("_copies > 0")
         .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-        .select(*[docs[c] for c in docs.columns])
+        .select(*docs.columns)
     )

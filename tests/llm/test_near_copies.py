@@ -1,12 +1,13 @@
 """Near copies of the pipeline against brute force on five-word shingles."""
 
 import random
+from collections import Counter
 
 import helpers
 import pytest
 
 import corpus_pipeline
-from quintacube.llm import near_copies
+from quintacube.llm import mixing, near_copies
 
 
 def brute_groups(texts):
@@ -46,3 +47,16 @@ def test_stage_keeps_one_of_each_group_of_similar_texts(spark, monkeypatch, dens
     wanted = sorted(set(brute_groups(texts)))
     kept = corpus_pipeline.near_duplicates(spark, docs, None)
     assert sorted(r.doc_id for r in kept.collect()) == wanted and 20 < len(wanted) < 60
+
+
+def test_mixing_stage_copies_rows_with_null_and_repeated_ids_at_most_three_times(spark):
+    rows = [(None, helpers.prose(k, 40), "a") for k in range(20)] + [(7, helpers.prose(k, 40), "b") for k in range(50, 60)]
+    rows += [(k, helpers.prose(k, 40), "c") for k in range(100, 140)] + [(200, "same row " * 20, "a")] * 5
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = corpus_pipeline.mix(spark, docs, None)
+    assert out.columns == docs.columns
+    copies = Counter(tuple(r) for r in out.collect())
+    given = Counter(rows)
+    assert set(copies) <= set(given) and all(n <= mixing.MOST_PASSES * given[r] for r, n in copies.items())
+    mixed = mixing.mix(docs, shard_words=200)
+    assert mixed.count() == len(rows) and mixed.where("taken > 3 * size").count() == 0
