@@ -60,3 +60,11 @@ def test_mixing_stage_copies_rows_with_null_and_repeated_ids_at_most_three_times
     assert set(copies) <= set(given) and all(n <= mixing.MOST_PASSES * given[r] for r, n in copies.items())
     mixed = mixing.mix(docs, shard_words=200)
     assert mixed.count() == len(rows) and mixed.where("taken > 3 * size").count() == 0
+
+
+def test_stage_decides_by_row_where_ids_repeat_or_are_missing(spark):
+    one, two, near = helpers.prose(1, 90), helpers.prose(2, 90), edited(helpers.prose(2, 90), 5, 1)
+    rows = [(1, two), (5, one), (5, near), (None, near + " end"), (None, helpers.prose(3, 90)), (None, helpers.prose(3, 90))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.near_duplicates(spark, docs, None).collect()
+    assert Counter(tuple(r) for r in kept) == Counter([rows[0], rows[1], rows[4]])
