@@ -13,8 +13,10 @@ further left in the same one. Every byte of a repeat is removed; repeats are jud
    bytes in common are one string, and all its starts but the earliest are repeats.
 4. Removal. Each document gets its repeats and is cut.
 
-Texts are read in place three times and never shuffled: ranges and repeats are written by input
-block (file and offset), and the task that reads a block loads its own.
+Texts are read in place three times and never shuffled: ranges and repeats are written by block
+(file and `BLOCK_ROWS` rows of it), and a task that reads rows of a block loads what is stored for it.
+Rows are addressed by file and number, so each read may split the files in its own way. Ranges
+that a read does not cut out, and stored spans that reach beyond a row's text, are errors.
 
 Null and empty texts have nothing to remove. A null id comes after all others. Rows that repeat an
 id are ordered by their place in the files. An empty table gives no rows. Columns are read by name;
@@ -36,10 +38,13 @@ from pyspark.sql import functions as F
 from quintacube.functions.sizing import cut
 from quintacube.llm import words
 from quintacube.llm.induced_sort import MEMORY_SYMBOLS, QUEUE_TUPLES, scratch, suffixes
+from quintacube.llm.places import placed
 from quintacube.session import ensure_checkpoint_dir
 
 NEED, GRAM = 100, 24
 SHARD_BYTES = 1 << 22
+#: Rows of a file whose ranges and repeats are stored together.
+BLOCK_ROWS = 1 << 14
 #: Longer texts are handled in overlapping pieces; a place in a piece must fit into these bits.
 PIECE_BITS = 25
 _LAST_ID = (1 << 63) - 1
@@ -85,21 +90,6 @@ def _pieces(data: bytes, need: int) -> Iterator[tuple[int, bytes]]:
         yield at, data[at : at + size + need - 1]
 
 
-class Rows:
-    """Numbers the rows of each input block as its batches arrive."""
-
-    def __init__(self):
-        self._seen: dict[int, int] = {}
-
-    def of(self, blocks: list[int]) -> list[int]:
-        out = []
-        for b in blocks:
-            n = self._seen.get(b, 0)
-            self._seen[b] = n + 1
-            out.append(n)
-        return out
-
-
 def _bytes(batch: pa.RecordBatch) -> list[bytes]:
     return [t.encode("utf-8", "surrogatepass") if t else b"" for t in batch.column("text").to_pylist()]
 
@@ -109,8 +99,6 @@ _RANGE = "key long, block long, row int, first int, starts int"
 
 def _find_anchors(need: int, gram: int):
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers = Rows()
-
         def batch_of(parts: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
             owner, first, count, key = anchors([p[3] for p in parts], need, gram)
             block, row, offset = (np.array([p[k] for p in parts], np.int64) for k in range(3))
@@ -118,9 +106,8 @@ def _find_anchors(need: int, gram: int):
             return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "block", "row", "first", "starts"])
 
         for batch in batches:
-            blocks = batch.column("block").to_pylist()
             held, size = [], 0
-            for block, row, data in zip(blocks, numbers.of(blocks), _bytes(batch), strict=True):
+            for block, row, data in zip(batch.column("block").to_pylist(), batch.column("row").to_pylist(), _bytes(batch), strict=True):
                 for at, piece in _pieces(data, need):
                     held.append((block, row, at, piece))
                     size += len(piece)
@@ -167,17 +154,19 @@ def _cut_pieces(folder: str, need: int):
     """Bytes around each candidate range; a piece equal to an earlier one of its batch goes without."""
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, stored = Rows(), Stored(folder, ["row", "first", "starts", "key"])
+        stored = Stored(folder, ["row", "first", "starts", "key"])
         for batch in batches:
             ids, blocks = batch.column("doc_id").to_pylist(), batch.column("block").to_pylist()
             order = [_LAST_ID if i is None else i for i in ids]
-            rows, texts = numbers.of(blocks), _bytes(batch)
+            rows, texts = batch.column("row").to_pylist(), _bytes(batch)
             seen: set[tuple[int, bytes]] = set()
             out = []
             for k in sorted(range(len(ids)), key=lambda k: (order[k], blocks[k], rows[k])):
                 r = stored.rows(blocks[k], rows[k])
                 for first, starts, key in zip(r["first"].tolist(), r["starts"].tolist(), r["key"].tolist(), strict=True):
                     data = texts[k][first : first + starts + need - 1]
+                    if len(data) < starts + need - 1:
+                        raise RuntimeError(f"row {rows[k]} of block {blocks[k]} has changed since its ranges were written")
                     again = (key, data) in seen
                     seen.add((key, data))
                     out.append((key, order[k], blocks[k], rows[k], first, starts, None if again else data))
@@ -230,14 +219,19 @@ def _sort_shard(need: int, memory: int, queue: int):
         return _repeat_batch(c["block"], c["row"], c["first"], c["first"] + c["starts"] - 1 + need)
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        data, parts = [], []
+        data, parts, received = [], [], 0
         for batch in batches:
+            received += len(batch)
             whole = batch.column("data").is_valid().to_numpy(zero_copy_only=False)
             columns = {c: batch.column(c).to_numpy() for c in _PIECE_NAMES[:-1]}
             if not whole.all():
                 yield all_repeat({n: v[~whole] for n, v in columns.items()})
             data += [d.as_py() for d in batch.column("data").filter(pa.array(whole))]
             parts.append({n: v[whole] for n, v in columns.items()})
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([None], pa.int64()), pa.array([None], pa.int32()), pa.array([received], pa.int32()), pa.array([None], pa.int32())],
+            ["block", "row", "first", "end"],
+        )
         if not data:
             return
         c = {n: np.concatenate([p[n] for p in parts]) for n in parts[0]}
@@ -275,12 +269,14 @@ _SPAN = pa.struct([("start", pa.int32()), ("end", pa.int32())])
 
 def _remove(folder: str):
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, stored = Rows(), Stored(folder, ["row", "first", "end"])
+        stored = Stored(folder, ["row", "first", "end"])
         for batch in batches:
             blocks, texts, spans, kept = batch.column("block").to_pylist(), _bytes(batch), [], []
-            for block, row, data in zip(blocks, numbers.of(blocks), texts, strict=True):
+            for block, row, data in zip(blocks, batch.column("row").to_pylist(), texts, strict=True):
                 r = stored.rows(block, row)
                 first, end = r["first"], r["end"]
+                if len(end) and end.max() > len(data):
+                    raise RuntimeError(f"row {row} of block {block} has changed since its repeats were written")
                 mine, parts, at = [], [], 0
                 if len(first):
                     reach = np.maximum.accumulate(end)
@@ -301,13 +297,12 @@ def _remove(folder: str):
 
 
 def _placed(docs: DataFrame, id_col: str, text: str) -> DataFrame:
-    """Id, text and input block; anything but a plain table read is written first."""
-    if docs._jdf.queryExecution().analyzed().children().nonEmpty() or not docs.inputFiles():
-        docs = cut(docs.select(id_col, text))
-    return docs.select(
+    """Id, text, block and row in it; the same in every read of the table."""
+    return placed(docs, list(dict.fromkeys([id_col, text]))).select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.col(text).cast("string").alias("text"),
-        F.xxhash64("_metadata.file_path", "_metadata.file_block_start").alias("block"),
+        F.xxhash64("_file", F.floor(F.col("_row") / BLOCK_ROWS)).alias("block"),
+        (F.col("_row") % BLOCK_ROWS).cast("int").alias("row"),
     )
 
 
@@ -333,14 +328,19 @@ def remove_repeats(
     again = cut(found.groupBy("key").count().where("count > 1").select("key"))
     ranges = found.join(again, "key")
     by_block = _write_by_block(ranges.select("block", "row", "first", "starts", "key"), f"{folder}/ranges")
-    size = docs.sparkSession.read.schema("block long, row int, first int, starts int, key long").parquet(by_block).agg(
-        F.sum(F.col("starts") + (need - 1))
-    ).first()[0]
+    size, expected = docs.sparkSession.read.schema("block long, row int, first int, starts int, key long").parquet(by_block).agg(
+        F.sum(F.col("starts") + (need - 1)), F.count("*")
+    ).first()
     shards = -(-(size or 1) // shard_bytes)
     # A piece that is known to repeat needs no shard; it must not follow its hot key into one.
     place = F.when(F.col("data").isNull(), F.xxhash64("block", "row", "first")).otherwise(F.col("key"))
     pieces = rows.mapInArrow(_cut_pieces(by_block, need), _PIECE).repartition(shards, place)
-    removed = _write_by_block(pieces.mapInArrow(_sort_shard(need, memory, queue), _REPEAT), f"{folder}/repeats")
+    found = cut(pieces.mapInArrow(_sort_shard(need, memory, queue), _REPEAT))
+    # Every shard reports the number of its pieces in a row of its own, without a block.
+    cut_out = found.where("block IS NULL").agg(F.sum("first")).first()[0] or 0
+    if cut_out != expected:
+        raise RuntimeError(f"{expected} ranges were written, {cut_out} were cut out of the texts")
+    removed = _write_by_block(found.where("block IS NOT NULL"), f"{folder}/repeats")
     return rows.mapInArrow(_remove(removed), _RESULT)
 
 
