@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 
 from quintacube.llm import (
     decontamination,
+    fill_in_middle,
+    filter_audit,
     license_scan,
     mixing,
+    piece_ids,
     quality_mil,
     quality_rules,
     sharding,
@@ -88,6 +91,34 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_read(spark, sf_dir, "documents"), SHARD_BYTES, keep=["doc_id"])
 
 
+def op11_piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    coded = piece_ids.encode(_read(spark, sf_dir, "documents"), model)
+    return piece_ids.decode(coded, model).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fill_in_middle.restored(fill_in_middle.fill_in_middle(_read(spark, sf_dir, "documents")))
+    return rows.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(F.col("restored").cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
@@ -99,10 +130,15 @@ QUERIES = {
     "op8_token_shards": op8_token_shards,
     "op9_quality_rules": op9_quality_rules,
     "op10_sharding": op10_sharding,
+    "op11_piece_round_trip": op11_piece_round_trip,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 ORACLE = {
     "op1_license_scan": license_scan.oracle_sql(),
     "op2_suffix_array_dedup": substring_dedup.oracle_sql(),
     "op10_sharding": sharding.oracle_sql(SHARD_BYTES),
+    "op12_fill_in_middle": fill_in_middle.oracle_sql(),
+    "op13_filter_audit": filter_audit.oracle_sql(),
 }
