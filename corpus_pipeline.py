@@ -6,9 +6,11 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quintacube.llm import decontamination, mixing, near_copies, quality_mil, sharding
+from quintacube.llm import decontamination, mixing, quality_mil, sharding, simhash
 from quintacube.llm.queries import SHARD_BYTES
+from quintacube.functions.sizing import temporary_tables
 from quintacube.session import ensure_checkpoint_dir
+from quintacube.sources.files import remove
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,8 +20,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the smallest id, of each group with five-word similarities of 0.8 or more."""
-    return near_copies.keep_one(docs)
+    """One document, the one with the smallest id, of each group that SimHash links (four-word shingles, four bits)."""
+    return simhash.keep_one(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,6 +55,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     folder = f"{ensure_checkpoint_dir(spark)}/pipeline/{uuid.uuid4()}"
     for number, (_, stage) in enumerate(STAGES):
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{number}")
+        with temporary_tables(spark):
+            stage(spark, docs, sf_dir).write.parquet(f"{folder}/{number}")
         docs = spark.read.parquet(f"{folder}/{number}")
+        if number:
+            remove(spark, f"{folder}/{number - 1}")
     return docs
