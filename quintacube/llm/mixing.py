@@ -1,13 +1,14 @@
 """Mixing sources to target weights by Sainte-Laguë apportionment.
 
-The corpus is dealt by a hash of id and text, for rows that repeat both also of their place, into
-shards of about `SHARD_WORDS` words. In each shard every source stands for its share of its target, and equal blocks of `BLOCK_WORDS` words go
+The corpus is dealt by a hash of id, text and source, for rows that repeat also of all they hold and
+of their number among their equals, into shards of about `SHARD_WORDS` words. In each shard every source stands for its share of its target, and equal blocks of `BLOCK_WORDS` words go
 to the highest quotients share / (2k + 1): integer quotas per shard and source. Then blocks are
 selected: the documents of a cell (shard, source) lie end to end in a seeded order, whole passes are
 taken first, and the rest of the quota is a run of blocks from a seeded place, around the end.
 
 Null source: a source of its own, after all others. Null or empty text: size 0, nothing taken.
-Repeated rows are rows of their own. An empty table gives no rows. The sources are listed on the
+Repeated rows are rows of their own; as equal rows differ by their number only, the mix depends on
+what the rows hold and not on where they are stored. An empty table gives no rows. The sources are listed on the
 driver, one row each, as the weights are. Nothing else leaves the executors.
 """
 
@@ -22,8 +23,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quintacube.functions.sizing import cut, small_side
-from quintacube.llm.places import placed
+from quintacube.functions.sizing import cut
+from quintacube.llm.places import content, numbered_among_equals, placed
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -104,7 +105,7 @@ def mix(
     `weights` repeat over the sources in code point order.
     """
     rows = placed(docs, list(dict.fromkeys([id_col, text, source])))
-    return _mixed(rows, weights, id_col, text, source, block, shard_words, seed).drop("_file", "_row")
+    return _mixed(rows, weights, id_col, text, source, block, shard_words, seed).drop("file", "at")
 
 
 def _mixed(
@@ -119,21 +120,24 @@ def _mixed(
 ) -> DataFrame:
     """The mix of placed rows, with their places."""
     spark = rows.sparkSession
+    row = F.col("row")
     rows = cut(
         rows.select(
-            "_file",
-            "_row",
-            F.xxhash64(F.lit(seed), F.col(id_col), F.col(text)).alias("_order"),
-            F.col(id_col).alias("doc_id"),
+            "file",
+            "at",
+            F.xxhash64(F.lit(seed), row[id_col], row[text], row[source]).alias("_order"),
+            content(rows).alias("_whole"),
+            row[id_col].alias("doc_id"),
             # A prefix keeps null apart from every name.
-            F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit("")).alias("_source"),
-            F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+            F.coalesce(F.concat(F.lit("="), row[source].cast("string")), F.lit("")).alias("_source"),
+            F.coalesce(F.regexp_count(row[text], F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
         )
     )
-    again = cut(rows.groupBy("_order").count().where("count > 1").select("_order", F.lit(True).alias("_again")))
-    if not again.isEmpty():  # equal rows are dealt apart; others keep their hash, however they are stored
-        apart = F.when(F.col("_again"), F.xxhash64("_order", "_file", "_row")).otherwise(F.col("_order"))
-        rows = cut(rows.join(small_side(again), "_order", "left").withColumn("_order", apart).drop("_again"))
+    again = cut(rows.groupBy("_order").count().where("count > 1").select("_order"))
+    if not again.isEmpty():  # rows that repeat are dealt apart by all they hold and by their number among equals
+        numbers = cut(numbered_among_equals(rows.join(again.hint("merge"), "_order", "left_semi"), "_whole")).hint("merge")
+        apart = F.when(F.col("nth").isNotNull(), F.xxhash64("_order", "_whole", "nth")).otherwise(F.col("_order"))
+        rows = cut(rows.join(numbers, ["file", "at"], "left").withColumn("_order", apart).drop("nth"))
     found = rows.groupBy("_source").agg(F.sum("size").alias("n")).collect()
     found.sort(key=lambda r: (r["_source"] == "", r["_source"].encode()))
     sizes = [r["n"] for r in found]
@@ -157,7 +161,7 @@ def _mixed(
         .groupBy("_shard")
         .applyInPandas(_quotas(block), "_shard long, _source string, _cell long, _quota long")
     )
-    line = Window.partitionBy("_shard", "_source").orderBy("_order", "doc_id", "size", "_file", "_row")
+    line = Window.partitionBy("_shard", "_source").orderBy("_order", "doc_id", "size", "file", "at")
     n = F.col("_blocks")
     first, rest = F.col("_first"), F.col("_quota") % n
     line_up = (
@@ -173,7 +177,7 @@ def _mixed(
         F.lit(0), F.greatest(F.lit(0), first + rest - n) * block
     )
     taken = (F.floor(F.col("_quota") / n) * F.col("size") + extra).cast("long")
-    return line_up.select("_file", "_row", "doc_id", "size", "source_size", "target", taken.alias("taken"))
+    return line_up.select("file", "at", "doc_id", "size", "source_size", "target", taken.alias("taken"))
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
@@ -181,14 +185,13 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     counting as a pass. Input columns stay as they are; copies belong to rows, whatever their ids."""
     rows = placed(docs)
     copies = _mixed(rows, **options).select(
-        "_file",
-        "_row",
-        F.expr("CASE WHEN size > 0 THEN CAST(round(taken / size) AS int) ELSE 0 END").alias("_copies"),
+        "file",
+        "at",
+        F.expr("CASE WHEN size > 0 THEN CAST(round(taken / size) AS int) ELSE 0 END").alias("copies"),
     )
     return (
         # The copies grow with the documents: merged with them at every size, never broadcast.
-        rows.join(cut(copies).hint("merge"), ["_file", "_row"])
-        .where("_copies > 0")
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-        .select(*docs.columns)
+        rows.join(cut(copies.where("copies > 0")).hint("merge"), ["file", "at"])
+        .select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+        .select("row.*")
     )

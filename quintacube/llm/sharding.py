@@ -1,9 +1,9 @@
 """Sharding by extendible hashing, in DataFrame expressions only.
 
-Every row has a 62-bit address: 32 bits of the key's MD5, then 30 bits of a row number's MD5. The
+Every row has a 62-bit address: 32 bits of the key's MD5, then 30 bits of a hash of all it holds. The
 directory is indexed by address prefixes. Only buckets over the byte limit are split on one more
-bit, until each fits. Rows that repeat one key are told apart by the row number, so a hot key is
-split like anything else.
+bit, until each fits. Rows that repeat one key differ in the lower bits, and equal rows by their
+number among each other, so a hot key is split like anything else, and the same way in every run.
 
 Null or repeated keys and null or empty texts are ordinary rows (null text: no bytes). A single row
 over the limit has a shard of its own, marked `oversized`. An empty table gives no rows. Columns of
@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quintacube.functions.sizing import cut, small_side, union_all
+from quintacube.llm.places import content, numbered_among_equals, placed
 
 ADDRESS_BITS, KEY_BITS = 62, 32
 #: Bits examined beyond the ones that an even spread would need; deeper buckets take another round.
@@ -32,22 +33,31 @@ def _bits(text: Column, digits: int) -> Column:
 
 def _prefix(bits: int | Column) -> Column:
     bits = F.lit(bits) if isinstance(bits, int) else bits
-    return F.call_function("shiftright", F.col("_address"), (F.lit(ADDRESS_BITS) - bits).cast("int"))
+    return F.call_function("shiftright", F.col("address"), (F.lit(ADDRESS_BITS) - bits).cast("int"))
 
 
 def addressed(docs: DataFrame, key: str, text: str, keep: list[str]) -> DataFrame:
-    """Rows with their size and address, written once: row numbers must not change later."""
-    low = F.pmod(
-        _bits(F.monotonically_increasing_id().cast("string"), 8), F.lit(1 << (ADDRESS_BITS - KEY_BITS))
-    )
-    high = _bits(F.coalesce(F.col(key).cast("string"), F.lit("")), 8)
-    return cut(
-        docs.select(
-            *[F.col(c) for c in keep if c not in ADDED],
-            F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("bytes"),
-            (high * (1 << (ADDRESS_BITS - KEY_BITS)) + low).alias("_address"),
+    """`row` (the columns to keep), `bytes` and `address` of every row, written once."""
+    low_bits = ADDRESS_BITS - KEY_BITS
+    rows = placed(docs, list(dict.fromkeys([*keep, key, text])))
+    row = F.col("row")
+    high = _bits(F.coalesce(row[key].cast("string"), F.lit("")), 8)
+    rows = cut(
+        rows.select(
+            F.struct(*[row[c].alias(c) for c in keep if c not in ADDED]).alias("row") if set(keep) - set(ADDED) else F.lit(None).alias("row"),
+            F.coalesce(F.octet_length(row[text]), F.lit(0)).cast("long").alias("bytes"),
+            (high * (1 << low_bits) + F.pmod(content(rows), F.lit(1 << low_bits))).alias("address"),
+            "file",
+            "at",
         )
     )
+    again = cut(rows.groupBy("address").count().where("count > 1").select("address"))
+    if not again.isEmpty():
+        numbers = cut(numbered_among_equals(rows.join(again.hint("merge"), "address", "left_semi"), "address"))
+        apart = F.pmod(F.xxhash64("address", "nth"), F.lit(1 << low_bits)) + F.shiftright("address", low_bits) * (1 << low_bits)
+        address = F.when(F.col("nth") > 0, apart).otherwise(F.col("address"))
+        rows = cut(rows.join(numbers.hint("merge"), ["file", "at"], "left").withColumn("address", address).drop("nth"))
+    return rows.drop("file", "at")
 
 
 def _round(rows: DataFrame, depth: int, bits: int, limit: int) -> DataFrame:
@@ -76,6 +86,11 @@ def _round(rows: DataFrame, depth: int, bits: int, limit: int) -> DataFrame:
     return cut(leaves.select("_leaf").join(fits, "_leaf", "left"))
 
 
+def _kept(rows: DataFrame) -> list[str]:
+    kind = rows.schema["row"].dataType
+    return kind.fieldNames() if hasattr(kind, "fieldNames") else []
+
+
 def assign(rows: DataFrame, limit: int) -> DataFrame:
     """Addressed rows with shard (its address prefix as a bit string), depth and sizes."""
     total = rows.agg(F.sum("bytes")).first()[0] or 0
@@ -88,7 +103,8 @@ def assign(rows: DataFrame, limit: int) -> DataFrame:
         found = rows.withColumn("_leaf", _prefix(depth + step)).join(small_side(directory), "_leaf")
         done.append(
             found.where("_fit IS NOT NULL").select(
-                *[c for c in rows.columns if c != "_address"],
+                *[F.col("row")[c].alias(c) for c in _kept(rows)],
+                "bytes",
                 F.expr("lpad(bin(_fit._bucket), _fit._depth, '0')").alias("shard"),
                 F.col("_fit._depth").cast("int").alias("depth"),
                 F.col("_fit.shard_bytes").alias("shard_bytes"),

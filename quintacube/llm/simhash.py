@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from quintacube.functions.sizing import cut
 from quintacube.llm import words
 from quintacube.llm.components import components
+from quintacube.llm.places import content, placed
 
 SHINGLE, HASH_SEED, RADIUS, DENSE = 4, 42, 4, 64
 #: Above so many fingerprints, two segments of 32 bits make fewer chance meetings than three of 21.
@@ -148,23 +149,45 @@ def links(nodes: DataFrame, radius: int = RADIUS, dense: int = DENSE) -> DataFra
     return pairs.unionAll(points.join(least, "at").where("fp <> b").select(F.col("fp").alias("a"), "b"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """Id, fingerprint (16 hex digits) and component_id (smallest id of its group) of every row."""
-    marked = cut(fingerprint_table(docs, id_col, text))
+def grouped(marked: DataFrame) -> DataFrame:
+    """fp, root (the smallest fingerprint of its group) and component_id of every fingerprint of `marked` (doc_id, fp)."""
     nodes = cut(marked.groupBy("fp").agg(F.min("doc_id").alias("first")))
     roots = components(links(nodes.select("fp")))
     rooted = cut(
         nodes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     )
     groups = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    found = cut(rooted.join(groups, "root").select("fp", "component_id"))
-    return marked.join(found, "fp").select(
+    return cut(rooted.join(groups, "root").select("fp", "root", "component_id"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """Id, fingerprint (16 hex digits) and component_id (smallest id of its group) of every row."""
+    marked = cut(fingerprint_table(docs, id_col, text))
+    return marked.join(grouped(marked), "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
+def _fingerprint_placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = pa.array(fingerprints(batch.column(4).to_pylist()).view(np.int64))
+        yield pa.RecordBatch.from_arrays([*batch.columns[:4], found], ["doc_id", "tie", "file", "at", "fp"])
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row, the one with the smallest id, of each group of `near_copies`, all columns."""
-    from quintacube.llm import near_copies
+    """One row of each group of near-duplicates, all columns: the one with the smallest id.
 
-    return near_copies.keep_one(docs, id_col, text)
+    Rows without an id come after all others. Where ids repeat, the smallest hash of the whole row
+    decides; rows that are equal in everything leave one.
+    """
+    rows = placed(docs)
+    row = F.col("row")
+    texts = rows.select(
+        row[id_col].cast("long").alias("doc_id"), content(rows).alias("tie"), "file", "at", row[text].cast("string").alias("text")
+    )
+    marked = cut(texts.mapInArrow(_fingerprint_placed, "doc_id long, tie long, file long, at long, fp long"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tie", "file", "at"))
+    # What stays grows with the documents, so it is merged with them at every size, never broadcast.
+    rooted = marked.join(grouped(marked).hint("merge"), "fp")
+    stay = cut(rooted.groupBy("root").agg(first.alias("first")).select("first.file", "first.at"))
+    return rows.join(stay.hint("merge"), ["file", "at"], "left_semi").select("row.*")
