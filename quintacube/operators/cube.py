@@ -202,24 +202,34 @@ def _key_types(m: CubeInput) -> dict:
 # ---------------------------------------------------------------------------------------------
 
 
-def sales_grain(m: CubeInput) -> DataFrame:
-    """Sales summed by their keys, with store, product key and profit looked up.
-
-    Copies of one sale combine before the shuffle, and the lookups meet the summed rows only.
-    Unknown stores and products stay as NULL.
-    """
+def summed_sales(m: CubeInput) -> DataFrame:
+    """Sales summed by their keys; copies of one sale combine before the shuffle."""
     price, quantity = F.col("unitario"), F.col("quantidade")
-    summed = m.sales.groupBy("idData", "cpf", "idFuncionario", "produto").agg(
+    return m.sales.groupBy("idData", "cpf", "idFuncionario", "produto").agg(
         F.sum(quantity).alias("quantidade"), F.sum(line_value(price, quantity)).alias("valor")
     )
-    # A product may be known without ever being bought, or bought without being known.
-    product_lookup = m.products.join(m.cost, "produto", "full")
-    rows = summed.join(small_side(product_lookup), "produto", "left").join(
-        small_side(_employee_store(m)), "idFuncionario", "left"
-    )
+
+
+def product_lookup(m: CubeInput) -> DataFrame:
+    """Key and cost by product code; a product may be known without ever being bought, or bought unknown."""
+    return m.products.join(m.cost, "produto", "full")
+
+
+def store_lookup(m: CubeInput) -> DataFrame:
+    return _employee_store(m)
+
+
+def looked_up(summed: DataFrame, products: DataFrame, stores: DataFrame) -> DataFrame:
+    """Summed sales with store, product key and profit. Unknown stores and products stay as NULL."""
+    rows = summed.join(small_side(products), "produto", "left").join(small_side(stores), "idFuncionario", "left")
     return _grain_profit(rows).drop("custo_medio")
 
 
+def sales_grain(m: CubeInput) -> DataFrame:
+    """Sales summed by their keys, with store, product key and profit; lookups meet the summed rows only."""
+    return looked_up(summed_sales(m), product_lookup(m), store_lookup(m))
+
+
 def heavy_keys(rows: DataFrame, keys: Sequence[str], parts: int) -> dict[str, list]:
     """For each key column, the values that hold more than 1/parts of the rows.
 
@@ -366,3 +376,30 @@ def cube_slice(fact: DataFrame, keys: Iterable[str]) -> DataFrame:
     for key in KEYS:
         condition &= (F.col(key) != ALL) if key in chosen else (F.col(key) == ALL)
     return fact.where(condition)
+
+
+# ---------------------------------------------------------------------------------------------
+# Stored cube: unrounded sums beside the rounded ones
+# ---------------------------------------------------------------------------------------------
+
+EXACT = {"valor": "valor_exato", "lucro": "lucro_exato"}
+
+
+def exact_measures(grain: DataFrame, measures: Measures) -> Measures:
+    """Types that keep every decimal of the grain's profit."""
+    return Measures(measures.quantity, f"decimal(38,{grain.schema['lucro'].dataType.scale})")
+
+
+def with_rounded(exact: DataFrame, measures: Measures) -> DataFrame:
+    """Unrounded cube rows as they are stored: rounded once, the unrounded sums beside them."""
+    return exact.selectExpr(
+        "gid",
+        *KEYS,
+        f"CAST(quantidade AS {measures.quantity}) AS quantidade",
+        *[f"CAST({c} AS {measures.money}) AS {c}" for c in EXACT],
+        *[f"{c} AS {kept}" for c, kept in EXACT.items()],
+    )
+
+
+def unrounded(stored: DataFrame) -> DataFrame:
+    return stored.selectExpr("gid", *KEYS, "quantidade", *[f"{kept} AS {c}" for c, kept in EXACT.items()])

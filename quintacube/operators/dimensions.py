@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quintacube.functions.expressions import ALL, DATE_KEY
 from quintacube.operators import staging
-from quintacube.operators.surrogate import dense_ids
+from quintacube.operators.surrogate import continued_ids, dense_ids
 
 # The "all" member of every dimension, and the default texts.
 ALL_MEMBERS = {
@@ -19,6 +19,14 @@ ALL_MEMBERS = {
     "Dim_Produto": (ALL, ALL, "Todos os Produtos", "Total", "Agregado de todos os produtos"),
     "Dim_Loja": (ALL, "Todas as Lojas", "Total", "TT"),
 }
+#: Business key and id of each dimension; they are the same where the source's key is kept.
+KEY_AND_ID = {
+    "Dim_Tempo": ("idData", "idData"),
+    "Dim_Cliente": ("cpf", "idCliente"),
+    "Dim_Funcionario": ("idFuncionario", "idFuncionario"),
+    "Dim_Produto": ("codProdutoOrigem", "idProduto"),
+    "Dim_Loja": ("idLoja", "idLoja"),
+}
 NO_JOB = "Cargo Não Definido"
 NO_DETAIL = "Sem descrição detalhada"
 
@@ -104,3 +112,14 @@ def build_dimensions(
     t: staging.Tables, stg: Mapping[str, DataFrame], surrogate: bool = True
 ) -> dict[str, DataFrame]:
     return {name: build_dimension(name, t, stg, surrogate) for name in ALL_MEMBERS}
+
+
+def new_members(stored: DataFrame, name: str, t: staging.Tables, stg: Mapping[str, DataFrame]) -> DataFrame:
+    """Members that a stored dimension lacks; known ones keep their ids and their first texts."""
+    key, id_name = KEY_AND_ID[name]
+    rows = build_dimension(name, t, stg, surrogate=False).where(f"{id_name} <> {ALL}")
+    if key == id_name:
+        return rows.join(stored.select(key), key, "left_anti").select(*stored.columns)
+    return continued_ids(stored, rows.drop(id_name), key, id_name).select(
+        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in stored.schema.fields]
+    )

@@ -34,3 +34,14 @@ def dense_ids(df: DataFrame, key: str, id_name: str) -> DataFrame:
     return placed.join(F.broadcast(offsets), "_part").select(
         (F.col("_offset") + F.col("_row") + 1).cast("bigint").alias(id_name), *df.columns
     )
+
+
+def continued_ids(known: DataFrame, df: DataFrame, key: str, id_name: str) -> DataFrame:
+    """The rows of `df` whose key `known` lacks, numbered on from its greatest id in order of `key`.
+
+    `known` keeps its ids; `df` has each key once. With every load the ids stay dense: the first load
+    numbers from 1, and a key that comes back later has the id that it always had.
+    """
+    new = df.join(known.select(key), key, "left_anti")
+    last = known.agg(F.coalesce(F.greatest(F.max(id_name), F.lit(0)), F.lit(0)).alias("last")).scalar()
+    return dense_ids(new, key, id_name).withColumn(id_name, (F.col(id_name) + last).cast("bigint")).select(id_name, *df.columns)

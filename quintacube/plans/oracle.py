@@ -261,6 +261,16 @@ ORACLE: dict[str, str] = {
         f"WHERE NOT EXISTS (SELECT 1 FROM vendas b JOIN customer ON b.cpf = c_custkey "
         "WHERE b.estado = 'O' AND b.cpf = a.idCliente AND b.matricula = a.idFuncionario)",
     ),
+    "fato_incremental": _with(_CUBE_TABLES, " UNION ALL ".join(_set(s) for s in SET_ORDER)),
+    "dim_cliente_continuado": (
+        "SELECT row_number() OVER (ORDER BY c_mktsegment <> 'BUILDING', c_custkey) AS idCliente, "
+        "c_custkey AS cpf, c_name AS nomeCliente FROM customer"
+    ),
+    "fato_sem_periodo": _with(
+        _CUBE_TABLES,
+        f"SELECT idData, idCliente, quantidade, valor FROM ({_set('tc')}) "
+        "WHERE NOT coalesce(idData BETWEEN 19950101 AND 19951231, false)",
+    ),
     "q1_func_tempo": _report(
         "tf",
         "SELECT d.ano, d.mes, e.nome AS nomeFuncionario, f.valor AS ValorTotalVendas "

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections import UserDict
 from collections.abc import Callable
+from dataclasses import replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quintacube.functions.sizing import cut, small_side, union_all
-from quintacube.operators import checks, cost, cube, dimensions, loads, runlog, staging
+from quintacube.operators import checks, cost, cube, dimensions, increment, loads, runlog, staging
+from quintacube.operators.surrogate import continued_ids, dense_ids
 from quintacube.plans import reports
 from quintacube.sources import standins
 
@@ -160,6 +162,38 @@ def upsert_fact(m: Model) -> DataFrame:
     return loads.upsert_fact(part("F"), part("O"))
 
 
+def _exact(m: Model, given: cube.CubeInput) -> tuple[cube.CubeInput, DataFrame]:
+    """The input with types that keep every decimal, and its written grain."""
+    grain = cut(cube.sales_grain(given))
+    return replace(given, measures=cube.exact_measures(grain, cube.Measures())), grain
+
+
+def fato_incremental(m: Model) -> DataFrame:
+    """The cube of the finished lines with the open lines added to it: no finished line is read again."""
+    def part(state: str) -> DataFrame:
+        lines = m.read("lineitem").where(f"l_returnflag <> 'R' AND l_linestatus = '{state}'")
+        sold = staging.sales({"tb010_012_vendas": standins.sold_lines(lines, m.read("orders"))})
+        given, grain = _exact(m, cube.cube_input({**_needed(m), "vendas": sold}, m.plain_dims))
+        return cube.build_cube(given, grain)
+
+    stored = cube.unrounded(cut(cube.with_rounded(part("F"), cube.Measures()), partition_by="gid"))
+    return cube.with_rounded(increment.merged(stored, part("O")), cube.Measures()).select(*cube.COLUMNS)
+
+
+def dim_cliente_continuado(m: Model) -> DataFrame:
+    """Clients of one market segment first; those of the others get the following ids."""
+    columns = [F.col("c_custkey").alias("cpf"), F.col("c_name").alias("nomeCliente")]
+    customer = m.read("customer")
+    first = cut(dense_ids(customer.where("c_mktsegment = 'BUILDING'").select(*columns), "cpf", "idCliente"))
+    return first.unionByName(continued_ids(first, customer.select(*columns), "cpf", "idCliente"))
+
+
+def fato_sem_periodo(m: Model) -> DataFrame:
+    """What a delete of one year leaves of the written client-day groups; unknown counts as not deleted."""
+    groups = cut(m.grouping("idData", "idCliente"))
+    return loads.delete_where(groups, F.col("idData").between(19950101, 19951231)).select("idData", "idCliente", "quantidade", "valor")
+
+
 def log_status(m: Model) -> DataFrame:
     dims = m.plain_dims
     return runlog.status_summary(
@@ -249,7 +283,7 @@ def join_inner(m: Model) -> DataFrame:
 
 def join_composite(m: Model) -> DataFrame:
     """Client-day groups joined with each client's last day on both keys."""
-    fact = m.grouping("idData", "idCliente")
+    fact = cut(m.grouping("idData", "idCliente"))  # both sides read the written groups, not the sales twice
     last = fact.groupBy("idCliente").agg(F.max("idData").alias("idData"))
     return fact.join(last, ["idCliente", "idData"]).select("idCliente", "idData", "valor")
 
@@ -333,6 +367,9 @@ QUERIES: dict[str, Callable[[Model], DataFrame]] = {
     **{set_name(i, s): _cube_set(s) for i, s in enumerate(SET_ORDER, start=1)},
     "insert_ignore": insert_ignore,
     "upsert_fact": upsert_fact,
+    "fato_incremental": fato_incremental,
+    "dim_cliente_continuado": dim_cliente_continuado,
+    "fato_sem_periodo": fato_sem_periodo,
     **{name: _report(name) for name in reports.REPORTS},
     "log_latest_state": lambda m: runlog.latest_state(m.log, F.desc("sequencia")),
     "log_purge_stuck": lambda m: runlog.purge_stuck(m.log, NOW),

@@ -200,7 +200,7 @@ def test_upsert_of_the_stored_fact(spark, out, shop, tmp_path):
 
     delta = cut(delta)
     runs.upsert_stored_fact(spark, folder, delta)
-    after = spark.read.parquet(runs.warehouse_path(folder, runs.FACT))
+    after = runs.read_warehouse(spark, folder)[runs.FACT]
     assert cube.cube_slice(after, ()).first()["quantidade"] == total["quantidade"] + 5
     rest = sorted(map(str, after.where("gid <> 31 AND idCliente <> -7").select(*before.columns).collect()))
     assert rest == wanted and after.where("idCliente = -7").count() == 1
