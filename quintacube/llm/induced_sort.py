@@ -21,8 +21,8 @@ from collections.abc import Iterator
 
 import numpy as np
 
-MEMORY_SYMBOLS = 1 << 23
-QUEUE_TUPLES = 1 << 22
+MEMORY_SYMBOLS = 1 << 21
+QUEUE_TUPLES = 1 << 20
 _FAR = np.int32(1 << 30)
 
 
@@ -182,7 +182,8 @@ def _names(text: np.ndarray, start: np.ndarray, sigma: int) -> np.ndarray:
         counts = np.diff(np.append(np.flatnonzero(fresh), len(order)))
         tied = np.repeat(counts > 1, counts)
         left = open_[order[tied]]
-        open_ = left[start[left] + offset <= end[left]]
+        # One that has just ended is held against the others once more: there it is the greater.
+        open_ = left[start[left] + offset <= end[left] + 1]
     return np.unique(name, return_inverse=True)[1]
 
 

@@ -6,14 +6,18 @@ further left in the same one. Every byte of a repeat is removed; repeats are jud
 1. Anchors. The smallest hash of the `GRAM`-byte grams inside a string of `NEED` bytes, the leftmost
    if several are equal, depends on the string alone. Starts that share an anchor form a range.
 2. Candidates. Anchors found once in the corpus cannot belong to a repeat and go.
-3. Shards. The bytes around each remaining range go to the shard of its anchor's hash, where all
+3. Wide anchors. An anchor with more than `WIDE` different pieces around it, such as a common line
+   that is shorter than `NEED` bytes, is taken apart: each of its strings gets the string's own hash
+   for an anchor, and those found once go too. So no shard has to hold all that surrounds a common line.
+4. Shards. The bytes around each remaining range go to the shard of its anchor's hash, where all
    equal strings meet. Before and after that shuffle equal pieces are combined into their earliest,
-   so that what a hot passage sends grows with the tasks, not with the documents. The suffixes of
-   each shard's different pieces are sorted by external induced sorting; neighbours with `NEED`
-   bytes in common are one string, and all its starts but the earliest are repeats.
-4. Removal. Each document gets its repeats and is cut.
+   so that what a hot passage sends grows with the tasks, not with the documents. Strings of one
+   range differ, so an anchor that is left with one piece is done. The suffixes of the other
+   pieces of a shard are sorted by external induced sorting; neighbours with `NEED` bytes in common
+   are one string, and all its starts but the earliest are repeats.
+5. Removal. Each document gets its repeats and is cut.
 
-Texts are read in place three times and never shuffled: ranges and repeats are written by block
+Texts are read in place three times, or four if there are wide anchors, and never shuffled: ranges and repeats are written by block
 (file and `BLOCK_ROWS` rows of it), and a task that reads rows of a block loads what is stored for it.
 Rows are addressed by file and number, so each read may split the files in its own way. Ranges
 that a read does not cut out, and stored spans that reach beyond a row's text, are errors.
@@ -25,17 +29,20 @@ others are ignored.
 
 from __future__ import annotations
 
+import hashlib
+import tempfile
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.dataset as ds
 from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quintacube.functions.sizing import cut
+from quintacube.functions.sizing import cut, small_side
 from quintacube.llm import words
 from quintacube.llm.induced_sort import MEMORY_SYMBOLS, QUEUE_TUPLES, scratch, suffixes
 from quintacube.llm.places import placed
@@ -47,6 +54,10 @@ SHARD_BYTES = 1 << 22
 BLOCK_ROWS = 1 << 14
 #: Longer texts are handled in overlapping pieces; a place in a piece must fit into these bits.
 PIECE_BITS = 25
+#: Different pieces around one anchor, beyond which its strings are told apart: about an eighth of a shard.
+WIDE = SHARD_BYTES >> 10
+#: Bytes that a task hands on at once, and that one which sorts holds in memory before it uses a file.
+BATCH_BYTES, SPOOLED_BYTES = 1 << 21, 1 << 25
 _LAST_ID = (1 << 63) - 1
 
 
@@ -62,11 +73,11 @@ def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchors(texts: list[bytes], need: int = NEED, gram: int = GRAM) -> tuple[np.ndarray, ...]:
-    """(text, first start, number of starts, anchor hash) of all ranges in some texts."""
+    """(text, first start, number of starts, anchor hash, hash of all bytes) of all ranges in some texts."""
     data = np.frombuffer(b"".join(texts), np.uint8)
     none = np.zeros(0, np.int64)
     if len(data) < need:
-        return none, none, none, none
+        return none, none, none, none, none
     h = words.grams(data, gram)
     below = np.uint64((1 << (PIECE_BITS + 1)) - 1)
     least = _sliding_min((h & ~below) | np.arange(len(h), dtype=np.uint64), need - gram + 1)
@@ -76,12 +87,13 @@ def anchors(texts: list[bytes], need: int = NEED, gram: int = GRAM) -> tuple[np.
     text = np.repeat(np.arange(len(texts)), sizes)[: len(place)]
     start = np.flatnonzero(np.arange(len(place)) + need <= ends[text])
     if not len(start):
-        return none, none, none, none
+        return none, none, none, none, none
     fresh = np.append(True, (place[start[1:]] != place[start[:-1]]) | (np.diff(start) != 1))
     begin = np.flatnonzero(fresh)
     first, count = start[begin], np.diff(np.append(begin, len(start)))
     owner = text[first]
-    return owner, first - (ends - sizes)[owner], count, h[place[first]].view(np.int64)
+    whole = words.span_hashes(data, first, first + count + (need - 1))
+    return owner, first - (ends - sizes)[owner], count, h[place[first]].view(np.int64), whole.view(np.int64)
 
 
 def _pieces(data: bytes, need: int) -> Iterator[tuple[int, bytes]]:
@@ -90,20 +102,27 @@ def _pieces(data: bytes, need: int) -> Iterator[tuple[int, bytes]]:
         yield at, data[at : at + size + need - 1]
 
 
-def _bytes(batch: pa.RecordBatch) -> list[bytes]:
-    return [t.encode("utf-8", "surrogatepass") if t else b"" for t in batch.column("text").to_pylist()]
+def _encoded(text: str | None) -> bytes:
+    return text.encode("utf-8", "surrogatepass") if text else b""
 
 
-_RANGE = "key long, block long, row int, first int, starts int"
+def _bytes(batch: pa.RecordBatch) -> Iterator[bytes]:
+    """The texts one by one: a batch may hold many times the bytes that a task should."""
+    return (_encoded(t.as_py()) for t in batch.column("text"))
+
+
+_RANGE = "key long, block long, row int, first int, starts int, piece long"
+_RANGE_KINDS = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64()]
+_RANGE_NAMES = ["key", "block", "row", "first", "starts", "piece"]
 
 
 def _find_anchors(need: int, gram: int):
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def batch_of(parts: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
-            owner, first, count, key = anchors([p[3] for p in parts], need, gram)
+            owner, first, count, key, whole = anchors([p[3] for p in parts], need, gram)
             block, row, offset = (np.array([p[k] for p in parts], np.int64) for k in range(3))
-            columns = [key, block[owner], row[owner].astype(np.int32), (first + offset[owner]).astype(np.int32), count.astype(np.int32)]
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "block", "row", "first", "starts"])
+            columns = [key, block[owner], row[owner].astype(np.int32), (first + offset[owner]).astype(np.int32), count.astype(np.int32), whole]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], _RANGE_NAMES)
 
         for batch in batches:
             held, size = [], 0
@@ -145,33 +164,91 @@ class Stored:
         return {c: v[a:z] for c, v in held.items()}
 
 
-_PIECE = "key long, doc_id long, block long, row int, first int, starts int, data binary"
-_PIECE_KINDS = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
-_PIECE_NAMES = ["key", "doc_id", "block", "row", "first", "starts", "data"]
+_PIECE = "key long, doc_id long, block long, row int, first int, starts int, ranges int, data binary"
+_PIECE_KINDS = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+_PIECE_NAMES = ["key", "doc_id", "block", "row", "first", "starts", "ranges", "data"]
+
+
+def _wide_starts(folder: str, need: int):
+    """Every start of the stored ranges as a range of its own, under the hash of its string."""
+
+    def starts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stored = Stored(folder, ["row", "first", "starts"])
+        for batch in batches:
+            parts, size = [], 0
+            for block, row, text in zip(batch.column("block").to_pylist(), batch.column("row").to_pylist(), batch.column("text"), strict=True):
+                r = stored.rows(block, row)
+                if len(r["row"]):
+                    data = np.frombuffer(_encoded(text.as_py()), np.uint8)
+                    n = r["starts"].astype(np.int64)
+                    at = np.repeat(r["first"] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                    key = words.span_hashes(data, at, at + need).view(np.int64)
+                    parts.append((key, np.full(len(at), block, np.int64), np.full(len(at), row), at, np.ones(len(at)), words.window_hashes(data, need)[at].view(np.int64)))
+                    size += 36 * len(at)
+                if parts and size >= BATCH_BYTES:
+                    yield _range_batch(parts)
+                    parts, size = [], 0
+            if parts:
+                yield _range_batch(parts)
+
+    return starts_of
+
+
+def _range_batch(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
+    return pa.RecordBatch.from_arrays([pa.array(c.astype(t.to_pandas_dtype())) for c, t in zip(columns, _RANGE_KINDS, strict=True)], _RANGE_NAMES)
+
+
+def _digest(key: int, data: bytes) -> bytes:
+    return hashlib.blake2b(data, digest_size=16, salt=key.to_bytes(8, "little", signed=True)).digest()
 
 
 def _cut_pieces(folder: str, need: int):
-    """Bytes around each candidate range; a piece equal to an earlier one of its batch goes without."""
+    """Bytes around each candidate range.
+
+    Of equal pieces of one batch (equal hashes of anchor and bytes, 128 bits) the first goes with its
+    bytes. The others are known to repeat; they go without, neighbouring ones of a text as one.
+    """
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        stored = Stored(folder, ["row", "first", "starts", "key"])
+        stored = Stored(folder, ["row", "first", "starts", "key", "piece"])
         for batch in batches:
-            ids, blocks = batch.column("doc_id").to_pylist(), batch.column("block").to_pylist()
-            order = [_LAST_ID if i is None else i for i in ids]
-            rows, texts = batch.column("row").to_pylist(), _bytes(batch)
-            seen: set[tuple[int, bytes]] = set()
-            out = []
-            for k in sorted(range(len(ids)), key=lambda k: (order[k], blocks[k], rows[k])):
-                r = stored.rows(blocks[k], rows[k])
-                for first, starts, key in zip(r["first"].tolist(), r["starts"].tolist(), r["key"].tolist(), strict=True):
-                    data = texts[k][first : first + starts + need - 1]
-                    if len(data) < starts + need - 1:
-                        raise RuntimeError(f"row {rows[k]} of block {blocks[k]} has changed since its ranges were written")
-                    again = (key, data) in seen
-                    seen.add((key, data))
-                    out.append((key, order[k], blocks[k], rows[k], first, starts, None if again else data))
-            columns = list(zip(*out, strict=True)) or [()] * len(_PIECE_NAMES)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _PIECE_KINDS, strict=True)], _PIECE_NAMES)
+            blocks, rows = batch.column("block").to_numpy(), batch.column("row").to_numpy()
+            ids = batch.column("doc_id").fill_null(_LAST_ID).to_numpy()
+            order = np.lexsort((rows, blocks, ids))
+            held = [stored.rows(block, row) for block, row in zip(blocks[order].tolist(), rows[order].tolist(), strict=True)]
+            counts = np.fromiter((len(h["row"]) for h in held), np.int64, len(held))
+            if not counts.sum():
+                continue
+            c = {n: np.concatenate([h[n] for h in held]) for n in ("first", "starts", "key", "piece")}
+            text = np.repeat(order, counts)
+            n, starts = len(text), c["starts"].astype(np.int64)
+            line = np.lexsort((np.arange(n), c["piece"], c["key"]))
+            same = (c["key"][line[1:]] == c["key"][line[:-1]]) & (c["piece"][line[1:]] == c["piece"][line[:-1]])
+            again = np.zeros(n, bool)
+            again[line[1:][same]] = True
+            end = c["first"] + starts + (need - 1)
+            joins = again & (np.append(False, again[:-1] & (text[1:] == text[:-1]) & (c["first"][1:] <= end[:-1])))
+            begin = np.flatnonzero(~joins)
+            stop = np.maximum.reduceat(end, begin)  # of a text's neighbours the last reaches furthest
+            combined = np.diff(np.append(begin, n)).astype(np.int32)
+            owner, first = text[begin], c["first"][begin].astype(np.int64)
+            columns = [c["key"][begin], ids[owner], blocks[owner], rows[owner], first, stop - first - (need - 1), combined]
+            yield from _with_bytes(batch.column("text"), owner, first, stop, again[begin], columns)
+
+    def _with_bytes(texts, owner, first, stop, again, columns) -> Iterator[pa.RecordBatch]:
+        now, whole, data, size, done = -1, b"", [], 0, 0
+        for k, (o, a, z, known) in enumerate(zip(owner.tolist(), first.tolist(), stop.tolist(), again.tolist(), strict=True)):
+            if o != now:
+                now, whole = o, _encoded(texts[o].as_py())
+                if z > len(whole):
+                    raise RuntimeError("a text has changed since its ranges were written")
+            data.append(None if known else whole[a:z])
+            size += 64 if known else 64 + z - a
+            if size >= BATCH_BYTES or k + 1 == len(owner):
+                part = [pa.array(v[done : k + 1].astype(t.to_pandas_dtype())) for v, t in zip(columns, _PIECE_KINDS, strict=False)]
+                yield pa.RecordBatch.from_arrays([*part, pa.array(data, pa.binary())], _PIECE_NAMES)
+                data, size, done = [], 0, k + 1
 
     return cut_out
 
@@ -180,20 +257,16 @@ _REPEAT = "block long, row int, first int, end int"
 
 
 def repeats(
-    data: list[bytes], order: tuple[np.ndarray, ...], starts: np.ndarray, need: int = NEED, memory: int = MEMORY_SYMBOLS, queue: int = QUEUE_TUPLES
+    text: np.ndarray, sizes: np.ndarray, order: tuple[np.ndarray, ...], starts: np.ndarray, need: int = NEED, memory: int = MEMORY_SYMBOLS, queue: int = QUEUE_TUPLES
 ) -> tuple[np.ndarray, np.ndarray]:
     """(piece, start in it) of every start whose string of `need` bytes starts earlier.
 
-    `order` holds the sort columns of the pieces, most significant first; `starts` their numbers of
-    starts, below `need` + 1 each.
+    `text` holds the pieces end to end, `order` their sort columns, most significant first, `starts`
+    their numbers of starts, below `need` + 1 each.
     """
-    sizes = np.fromiter(map(len, data), np.int64, len(data))
-    text = scratch(int(sizes.sum()), np.uint8, memory)
     begin = np.cumsum(sizes) - sizes
-    for at, piece in zip(begin.tolist(), data, strict=True):
-        text[at : at + len(piece)] = np.frombuffer(piece, np.uint8)
-    rank = np.empty(len(data), np.int64)
-    rank[np.lexsort(order[::-1])] = np.arange(len(data))
+    rank = np.empty(len(sizes), np.int64)
+    rank[np.lexsort(order[::-1])] = np.arange(len(sizes))
     found, group, kept = [], 0, []
     for position, prefix in suffixes(text, 256, need, memory, queue):
         groups = group + np.cumsum(prefix < need)
@@ -219,33 +292,52 @@ def _sort_shard(need: int, memory: int, queue: int):
         return _repeat_batch(c["block"], c["row"], c["first"], c["first"] + c["starts"] - 1 + need)
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        data, parts, received = [], [], 0
+        # Bytes go to a file of the task once there are many; a piece keeps 64 bytes of numbers in memory.
+        spool = tempfile.SpooledTemporaryFile(SPOOLED_BYTES)
+        parts, marks, received = [], [], 0
         for batch in batches:
-            received += len(batch)
+            received += pc.sum(batch.column("ranges")).as_py() or 0
             whole = batch.column("data").is_valid().to_numpy(zero_copy_only=False)
             columns = {c: batch.column(c).to_numpy() for c in _PIECE_NAMES[:-1]}
             if not whole.all():
                 yield all_repeat({n: v[~whole] for n, v in columns.items()})
-            data += [d.as_py() for d in batch.column("data").filter(pa.array(whole))]
-            parts.append({n: v[whole] for n, v in columns.items()})
+            if whole.any():
+                columns = {n: v[whole].copy() for n, v in columns.items()}
+                digests = []
+                for key, piece in zip(columns["key"].tolist(), batch.column("data").filter(pa.array(whole)), strict=True):
+                    data = piece.as_py()
+                    digests.append(_digest(key, data))
+                    spool.write(data)
+                parts.append(columns)
+                marks.append(np.frombuffer(b"".join(digests), np.uint64).reshape(-1, 2))
         yield pa.RecordBatch.from_arrays(
             [pa.array([None], pa.int64()), pa.array([None], pa.int32()), pa.array([received], pa.int32()), pa.array([None], pa.int32())],
             ["block", "row", "first", "end"],
         )
-        if not data:
+        if not parts:
             return
         c = {n: np.concatenate([p[n] for p in parts]) for n in parts[0]}
-        first_seen: set[tuple[int, bytes]] = set()
-        whole = np.ones(len(data), bool)
-        for k in np.lexsort((c["first"], c["row"], c["block"], c["doc_id"])).tolist():
-            mark = (int(c["key"][k]), data[k])
-            whole[k] = mark not in first_seen
-            first_seen.add(mark)
-        del first_seen
-        if not whole.all():
-            yield all_repeat({n: v[~whole] for n, v in c.items()})
-            data, c = [data[k] for k in np.flatnonzero(whole)], {n: v[whole] for n, v in c.items()}
-        piece, start = repeats(data, (c["doc_id"], c["block"], c["row"], c["first"]), c["starts"].astype(np.int64), need, memory, queue)
+        mark = np.concatenate(marks)
+        sizes = c["starts"].astype(np.int64) + (need - 1)
+        at = np.cumsum(sizes) - sizes
+        line = np.lexsort((c["first"], c["row"], c["block"], c["doc_id"], mark[:, 1], mark[:, 0]))
+        equal = (mark[line[1:]] == mark[line[:-1]]).all(axis=1)
+        again = line[1:][equal]
+        if len(again):
+            yield all_repeat({n: v[again] for n, v in c.items()})
+        line = np.sort(line[np.append(True, ~equal)])
+        _, which, pieces = np.unique(c["key"][line], return_inverse=True, return_counts=True)
+        line = line[pieces[which] > 1]
+        if not len(line):
+            return
+        c, sizes, at = {n: v[line] for n, v in c.items()}, sizes[line], at[line]
+        text, end = scratch(int(sizes.sum()), np.uint8, memory), 0
+        for where, size in zip(at.tolist(), sizes.tolist(), strict=True):
+            spool.seek(where)
+            text[end : end + size] = np.frombuffer(spool.read(size), np.uint8)
+            end += size
+        spool.close()
+        piece, start = repeats(text, sizes, (c["doc_id"], c["block"], c["row"], c["first"]), c["starts"].astype(np.int64), need, memory, queue)
         if len(piece):
             fresh = np.append(True, (piece[1:] != piece[:-1]) | (np.diff(start) != 1))
             begin = np.flatnonzero(fresh)
@@ -270,9 +362,14 @@ _SPAN = pa.struct([("start", pa.int32()), ("end", pa.int32())])
 def _remove(folder: str):
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stored = Stored(folder, ["row", "first", "end"])
+        def batch_of(ids: pa.Array, sizes: list[int], spans: list, kept: list[bytes]) -> pa.RecordBatch:
+            columns = [ids, pa.array(sizes, pa.int64()), pa.array(spans, pa.list_(_SPAN)), pa.array(kept, pa.binary())]
+            return pa.RecordBatch.from_arrays(columns, ["doc_id", "n_bytes", "spans", "kept"])
+
         for batch in batches:
-            blocks, texts, spans, kept = batch.column("block").to_pylist(), _bytes(batch), [], []
-            for block, row, data in zip(blocks, batch.column("row").to_pylist(), texts, strict=True):
+            blocks, rows, ids = batch.column("block").to_pylist(), batch.column("row").to_pylist(), batch.column("doc_id")
+            sizes, spans, kept, held, done = [], [], [], 0, 0
+            for k, (block, row, data) in enumerate(zip(blocks, rows, _bytes(batch), strict=True)):
                 r = stored.rows(block, row)
                 first, end = r["first"], r["end"]
                 if len(end) and end.max() > len(data):
@@ -286,23 +383,25 @@ def _remove(folder: str):
                         mine.append({"start": a, "end": z})
                         parts.append(data[at:a])
                         at = z
+                sizes.append(len(data))
                 spans.append(mine)
                 kept.append(b"".join(parts) + data[at:])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(map(len, texts), pa.int64()), pa.array(spans, pa.list_(_SPAN)), pa.array(kept, pa.binary())],
-                ["doc_id", "n_bytes", "spans", "kept"],
-            )
+                held += len(kept[-1]) + 200
+                if held >= BATCH_BYTES or k + 1 == len(batch):
+                    yield batch_of(ids[done : k + 1], sizes, spans, kept)
+                    sizes, spans, kept, held, done = [], [], [], 0, k + 1
 
     return remove
 
 
 def _placed(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     """Id, text, block and row in it; the same in every read of the table."""
+    row = F.col("row")
     return placed(docs, list(dict.fromkeys([id_col, text]))).select(
-        F.col(id_col).cast("long").alias("doc_id"),
-        F.col(text).cast("string").alias("text"),
-        F.xxhash64("_file", F.floor(F.col("_row") / BLOCK_ROWS)).alias("block"),
-        (F.col("_row") % BLOCK_ROWS).cast("int").alias("row"),
+        row[id_col].cast("long").alias("doc_id"),
+        row[text].cast("string").alias("text"),
+        F.xxhash64("file", F.floor(F.col("at") / BLOCK_ROWS)).alias("block"),
+        (F.col("at") % BLOCK_ROWS).cast("int").alias("row"),
     )
 
 
@@ -320,15 +419,26 @@ def remove_repeats(
     shard_bytes: int = SHARD_BYTES,
     memory: int = MEMORY_SYMBOLS,
     queue: int = QUEUE_TUPLES,
+    wide: int = WIDE,
 ) -> DataFrame:
     """Id, n_bytes, the maximal removed spans and the kept bytes of every row's UTF-8 text."""
     folder = f"{ensure_checkpoint_dir(docs.sparkSession)}/substring-dedup/{uuid.uuid4()}"
     rows = _placed(docs, id_col, text)
     found = cut(rows.mapInArrow(_find_anchors(need, gram), _RANGE))
-    again = cut(found.groupBy("key").count().where("count > 1").select("key"))
-    ranges = found.join(again, "key")
-    by_block = _write_by_block(ranges.select("block", "row", "first", "starts", "key"), f"{folder}/ranges")
-    size, expected = docs.sparkSession.read.schema("block long, row int, first int, starts int, key long").parquet(by_block).agg(
+    again = cut(found.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
+    ranges = found.join(again.select("key"), "key")
+    hot = again.where(F.col("n") > wide).select("key")
+    if not hot.isEmpty():
+        kinds = found.join(small_side(hot), "key", "left_semi").select("key", "piece").distinct()
+        broad = cut(kinds.groupBy("key").count().where(F.col("count") > wide).select("key"))
+        if not broad.isEmpty():
+            # Few keys by arithmetic: each has more than `wide` ranges.
+            apart = ranges.join(small_side(broad), "key", "left_semi").select("block", "row", "first", "starts")
+            starts = cut(rows.mapInArrow(_wide_starts(_write_by_block(apart, f"{folder}/wide"), need), _RANGE))
+            met = starts.groupBy("key").count().where("count > 1").select("key")
+            ranges = ranges.join(small_side(broad), "key", "left_anti").unionByName(starts.join(met, "key", "left_semi"))
+    by_block = _write_by_block(ranges.select("block", "row", "first", "starts", "key", "piece"), f"{folder}/ranges")
+    size, expected = docs.sparkSession.read.schema("block long, row int, first int, starts int").parquet(by_block).agg(
         F.sum(F.col("starts") + (need - 1)), F.count("*")
     ).first()
     shards = -(-(size or 1) // shard_bytes)

@@ -120,6 +120,22 @@ class Texts:
         return np.bincount(text, minlength=n) - np.bincount(text[first], minlength=n)
 
 
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each span of some bytes."""
+    n = len(data)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(_VALUE[data] * _power(_BASE, n), out=sums[1:])
+    h = (sums[end] - sums[start]) * _power(_INVERSE, n + 1)[start]
+    h ^= h >> np.uint64(29)
+    h = h * _MIX[0] + (end - start).astype(np.uint64)
+    return (h ^ (h >> np.uint64(32))) * _MIX[1]
+
+
+def window_hashes(data: np.ndarray, width: int) -> np.ndarray:
+    """A 64-bit hash of the `width` bytes from each position on, by other values than `span_hashes` takes."""
+    return grams(_VALUE[data] ^ (_VALUE[data] >> np.uint64(31)), width)
+
+
 def grams(chars: np.ndarray, q: int) -> np.ndarray:
     """A 64-bit hash of the q characters from each position on."""
     if len(chars) < q:

@@ -135,18 +135,66 @@ def brute_removal(docs, need):
     return out
 
 
-@pytest.mark.parametrize(("need", "gram", "memory", "queue", "shard"), [(12, 5, 1 << 20, 1 << 20, 1 << 20), (20, 4, 8, 16, 500)])
-def test_substring_dedup_equals_brute_force(spark, need, gram, memory, queue, shard):
+def test_names_of_substrings_that_end_with_a_block_of_symbols():
+    # Ends at a multiple of the symbols compared at once were taken for equal to longer substrings.
+    rng = np.random.default_rng(2)
+    for sigma, n, memory in ((2, 4000, 60), (3, 4000, 100), (200, 6000, 200), (4, 20_000, 1 << 20)):
+        text = rng.integers(0, sigma, n).astype(np.uint8)
+        text = np.concatenate([text, text[n // 3 : n // 2], text[: n // 4]])
+        check_suffixes(text, 40, memory, 500)
+
+
+@pytest.mark.parametrize(
+    ("need", "gram", "memory", "queue", "shard", "wide"),
+    [(12, 5, 1 << 20, 1 << 20, 1 << 20, 1 << 20), (20, 4, 8, 16, 500, 1 << 20), (12, 5, 1 << 20, 1 << 20, 1 << 20, 2), (20, 4, 8, 16, 1 << 20, 4)],
+)
+def test_substring_dedup_equals_brute_force(spark, monkeypatch, need, gram, memory, queue, shard, wide):
+    monkeypatch.setattr(substring_dedup, "BATCH_BYTES", 3000)
+    monkeypatch.setattr(substring_dedup, "SPOOLED_BYTES", 100)
     rng = random.Random(need)
     passages = [helpers.prose(k, 9) for k in range(4)] + ["ab" * 40, "z" * 70, "éü" * 30]
     docs = [(i, " ".join(rng.choice([helpers.prose(1000 + i + k, 6), rng.choice(passages)]) for k in range(rng.randrange(1, 6)))) for i in range(60)]
     docs += [(60, docs[3][1]), (61, None), (62, ""), (63, docs[3][1] + "!")]
     frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
-    got = substring_dedup.remove_repeats(frame, need=need, gram=gram, memory=memory, queue=queue, shard_bytes=shard).collect()
+    got = substring_dedup.remove_repeats(frame, need=need, gram=gram, memory=memory, queue=queue, shard_bytes=shard, wide=wide).collect()
     wanted = brute_removal(docs, need)
     assert {r.doc_id: ([tuple(s) for s in r.spans], bytes(r.kept)) for r in got} == wanted
 
 
+def test_a_common_line_with_other_neighbours_in_every_document_is_taken_apart(spark, monkeypatch):
+    line = "All contents of this page are provided as they are."
+    docs = [(k, f"{helpers.prose(k, 12)}\n{line}\n{helpers.prose(500 + k, 12)}") for k in range(300)]
+    docs += [(300 + k, docs[k][1][20:]) for k in range(0, 300, 50)]
+    made = []
+    whole = substring_dedup._wide_starts
+    monkeypatch.setattr(substring_dedup, "_wide_starts", lambda *a: made.append(a) or whole(*a))
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    got = substring_dedup.remove_repeats(frame, wide=50).collect()
+    assert made and {r.doc_id: ([tuple(s) for s in r.spans], bytes(r.kept)) for r in got} == brute_removal(docs, 100)
+
+
+def test_a_shard_of_many_times_its_memory_budget():
+    rng = random.Random(11)
+    passages = [helpers.prose(900 + k, 30).encode() for k in range(60)]
+    pieces = []
+    for _ in range(1500):
+        a, b = rng.sample(passages, 2)
+        pieces.append((a[rng.randrange(60) :] + b)[: 100 + rng.randrange(70)])
+    sizes = np.array(list(map(len, pieces)))
+    text = np.frombuffer(b"".join(pieces), np.uint8)
+    memory, queue = len(text) // 10, len(text) // 40
+    order = (np.arange(len(pieces))[::-1].copy(),)
+    found = substring_dedup.repeats(text, sizes, order, sizes - 99, 100, memory, queue)
+    seen, wanted = set(), []
+    for k in reversed(range(len(pieces))):
+        for s in range(sizes[k] - 99):
+            string = pieces[k][s : s + 100]
+            if string in seen:
+                wanted.append((k, s))
+            seen.add(string)
+    assert sorted(zip(found[0].tolist(), found[1].tolist(), strict=True)) == sorted(wanted) and wanted
+
+
 @pytest.mark.parametrize("extra", [False, True])
 def test_substring_dedup_on_odd_rows(spark, extra):
     docs = helpers.documents(spark, [*helpers.ODD, (7, helpers.prose(5, 30), "c")], extra)
