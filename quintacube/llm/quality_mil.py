@@ -5,8 +5,8 @@ word statistics go through a learned layer. Learned gated attention, softmax(w .
 sigmoid(U h))), weighs the passages, and the weighted sum of their encodings is scored by a logistic
 output. All weights are learned together from document labels.
 
-At most `FIT_DOCS` labelled documents, in the order of a hash of their id, are learned from, each
-with at most `FIT_PASSAGES` passages evenly spaced over the text; scoring uses all passages. Null
+At most `FIT_DOCS` labelled documents, in the order of a hash of their id, are learned from, rows that
+repeat an id included; every passage of theirs counts, in learning as in scoring. Null
 and empty texts are one passage without words. Repeated rows get equal scores. Without labels of
 both kinds every score is the share of good labels, or 0.5 without labels. An empty table gives no
 rows. Only ids and texts are read; other columns are ignored.
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from quintacube.llm import words
 
 PASSAGE_WORDS = 64
-FIT_DOCS, FIT_PASSAGES = 4000, 256
+FIT_DOCS = 4000
 HIDDEN, ATTENTION, STEPS, RATE, DECAY, SEED = 16, 8, 200, 0.02, 1e-4, 3
 
 _CLASSES = (
@@ -148,8 +148,7 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         x, counts = passages(batch.column(1).to_pylist())
         bags = []
         for start, n in zip((np.cumsum(counts) - counts).tolist(), counts.tolist(), strict=True):
-            chosen = start + np.unique(np.linspace(0, n - 1, min(n, FIT_PASSAGES)).astype(np.int64))
-            bags.append(x[chosen].tobytes())
+            bags.append(x[start : start + n].tobytes())
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bags, pa.binary())], ["y", "bag"])
 
 
@@ -162,6 +161,8 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
         .join(F.broadcast(chosen), "_id")
         .select("_y", "_text")
         .mapInArrow(_bags, "y double, bag binary")
+        .orderBy(F.xxhash64("y", "bag"), "y", "bag")
+        .limit(fit_docs)  # rows that repeat a chosen id do not add to the bound
         .collect()
     )
     rows.sort(key=lambda r: (r["y"], bytes(r["bag"])))  # the same order whichever task is first

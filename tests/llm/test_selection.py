@@ -211,3 +211,17 @@ def test_shards_of_odd_rows_and_a_hot_key(spark, extra, tmp_path):
 def test_sharding_stays_out_of_python(spark):
     plan = sharding.shard_documents(spark.read.parquet(f"{SF}/documents.parquet"), 1 << 16)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_rows_that_repeat_a_labelled_id_stay_within_the_bound_of_learning(spark, monkeypatch):
+    from quintacube.llm import quality_mil
+
+    seen = []
+    learned = quality_mil.Model.learn
+    monkeypatch.setattr(quality_mil.Model, "learn", lambda self, x, counts, y: seen.append(counts) or learned(self, x, counts, y))
+    docs = spark.createDataFrame([(1, "good words " * k) for k in range(1, 60)] + [(2, "bad #$% " * 40_000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    quality_mil.learn(docs, labels, fit_docs=20)
+    assert len(seen[0]) == 20
+    quality_mil.learn(docs.where("doc_id = 2"), labels)
+    assert seen[1].tolist() == [80_000 // quality_mil.PASSAGE_WORDS]
