@@ -20,7 +20,7 @@ def _star(edges: DataFrame, large: bool, parts: int) -> DataFrame:
     """
     seen = edges.unionAll(edges.select("b", "a")).toDF("u", "v") if large else edges.toDF("u", "v")
     least = cut(seen.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")).coalesce(parts))
-    moved = seen.join(least, "u").where("v > u" if large else "v <> m").select(F.col("v").alias("a"), F.col("m").alias("b"))
+    moved = seen.join(least.hint("merge"), "u").where("v > u" if large else "v <> m").select(F.col("v").alias("a"), F.col("m").alias("b"))
     if not large:
         moved = moved.unionAll(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
     moved = moved.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))

@@ -137,16 +137,17 @@ def links(nodes: DataFrame, radius: int = RADIUS, dense: int = DENSE) -> DataFra
     full = cut(entries.groupBy("key").count().where(F.col("count") > dense).select("key"))
     near = None
     if not full.isEmpty():
+        full = full.hint("merge")  # like all that grows with the documents, never broadcast
         near = cut(probes.join(full, "key", "left_semi").select("fp").distinct())
         entries, probes = (x.join(full, "key", "left_anti") for x in (entries, probes))
     a, b = probes.select(F.col("fp").alias("a"), "key"), entries.select(F.col("fp").alias("b"), "key")
     close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius
-    pairs = a.join(b, (a["key"] == b["key"]) & (F.col("a") != F.col("b")) & close).select("a", "b")
+    pairs = a.join(b.hint("merge"), (a["key"] == b["key"]) & (F.col("a") != F.col("b")) & close).select("a", "b")
     if near is None:
         return pairs
     points = near.select("fp", F.explode(_xor(F.col("fp"), ball(64, radius // 2))).alias("at"))
     least = cut(points.groupBy("at").agg(F.min("fp").alias("b"), F.count("*").alias("n")).where("n > 1").drop("n"))
-    return pairs.unionAll(points.join(least, "at").where("fp <> b").select(F.col("fp").alias("a"), "b"))
+    return pairs.unionAll(points.join(least.hint("merge"), "at").where("fp <> b").select(F.col("fp").alias("a"), "b"))
 
 
 def grouped(marked: DataFrame) -> DataFrame:
@@ -154,16 +155,16 @@ def grouped(marked: DataFrame) -> DataFrame:
     nodes = cut(marked.groupBy("fp").agg(F.min("doc_id").alias("first")))
     roots = components(links(nodes.select("fp")))
     rooted = cut(
-        nodes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+        nodes.join(roots.hint("merge"), F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     )
     groups = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    return cut(rooted.join(groups, "root").select("fp", "root", "component_id"))
+    return cut(rooted.join(groups.hint("merge"), "root").select("fp", "root", "component_id"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """Id, fingerprint (16 hex digits) and component_id (smallest id of its group) of every row."""
     marked = cut(fingerprint_table(docs, id_col, text))
-    return marked.join(grouped(marked), "fp").select(
+    return marked.join(grouped(marked).hint("merge"), "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
