@@ -24,7 +24,7 @@ def size_in_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def _is_read(df: DataFrame) -> bool:
+def is_read(df: DataFrame) -> bool:
     """Whether the rows come from files with no more than columns picked and renamed."""
     plan = df._jdf.queryExecution().optimizedPlan()
     while plan.nodeName() == "Project":
@@ -74,7 +74,7 @@ def small_side(lookup: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame
     join; read from a file, it comes straight from its own shuffle, so adaptive execution can split
     a hot key of the other side.
     """
-    if not _is_read(lookup):
+    if not is_read(lookup):
         lookup = cut(lookup)
     return F.broadcast(lookup) if size_in_bytes(lookup) <= max_bytes else lookup
 

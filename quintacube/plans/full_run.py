@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quintacube.functions.sizing import cut, temporary_tables, union_all
-from quintacube.operators import checks, cube, increment, loads, runlog, staging
+from quintacube.operators import checks, cube, increment, layout, loads, runlog, staging
 from quintacube.operators.dimensions import build_dimensions, new_members
 from quintacube.sources import versions
 from quintacube.sources.files import remove, switch
@@ -36,6 +36,8 @@ DIMENSIONS = ("Dim_Tempo", "Dim_Cliente", "Dim_Funcionario", "Dim_Produto", "Dim
 FACT = "Fato_Vendas"
 #: What an increment needs beside them: the summed sales, and the lookups that they were loaded with.
 GRAIN, PRODUCT_LOOKUP, STORE_LOOKUP = "vendas_grao", "produto_custo", "funcionario_loja"
+#: Tables made from one state of the fact; a version with another fact does not list them.
+DERIVED = "resumo"
 
 
 class AlreadyRunning(RuntimeError):
@@ -91,6 +93,15 @@ def read_warehouse(spark: SparkSession, out: str, version: versions.Version | No
     return {**tables, FACT: tables[FACT].select(*cube.COLUMNS)}
 
 
+def _write_fact(rows: DataFrame, root: str) -> versions.Table:
+    return versions.write(layout.clustered(rows), root, FACT, partition_by="gid")
+
+
+def _publish(spark: SparkSession, root: str, before: versions.Version, built: Mapping[str, versions.Table]) -> None:
+    stale = [name for name in before.tables if name.startswith(DERIVED)] if FACT in built else []
+    versions.publish(spark, root, before, {**dict.fromkeys(stale), **built})
+
+
 def error_code(failure: Exception) -> str:
     """The SQL state of a Spark error that has one, or else the kind of error."""
     state = failure.getSqlState() if isinstance(failure, PySparkException) else None
@@ -154,8 +165,8 @@ def full_run(
         built[GRAIN] = versions.write(cube.looked_up(cube.summed_sales(given), products, stores), root, GRAIN)
         grain = versions.read(spark, root, versions.Version(0, dict(built)), GRAIN)
         exact = cube.build_cube(replace(given, measures=cube.exact_measures(grain, measures)), grain)
-        built[FACT] = versions.write(cube.with_rounded(exact, measures), root, FACT, partition_by="gid")
-        versions.publish(spark, root, before, built)
+        built[FACT] = _write_fact(cube.with_rounded(exact, measures), root)
+        _publish(spark, root, before, built)
 
     def refresh_statistics() -> None:
         if catalog is None:
@@ -249,8 +260,8 @@ def _increment(spark: SparkSession, sources: Mapping[str, DataFrame], out: str,
     old = cube.unrounded(versions.read(spark, root, before, FACT, hits))
     rows = cube.with_rounded(increment.merged(old, delta), measures).select(*fact.columns)
     if not delta.isEmpty():
-        built[FACT] = versions.replaced(spark, root, before, FACT, hits, versions.write(rows, root, FACT, partition_by="gid"))
-    versions.publish(spark, root, before, built)
+        built[FACT] = versions.replaced(spark, root, before, FACT, hits, _write_fact(rows, root))
+    _publish(spark, root, before, built)
 
 
 def _rewritten(spark: SparkSession, out: str, name: str, hits: DataFrame, change: Callable[[DataFrame], DataFrame]) -> None:
@@ -259,8 +270,8 @@ def _rewritten(spark: SparkSession, out: str, name: str, hits: DataFrame, change
     before = versions.current(spark, root)
     gone = versions.files_of(hits, name)
     rows = change(versions.read(spark, root, before, name, gone))
-    new = versions.write(rows, root, name, partition_by="gid" if name == FACT else None)
-    versions.publish(spark, root, before, {name: versions.replaced(spark, root, before, name, gone, new)})
+    new = _write_fact(rows, root) if name == FACT else versions.write(rows, root, name)
+    _publish(spark, root, before, {name: versions.replaced(spark, root, before, name, gone, new)})
 
 
 def upsert_stored_fact(spark: SparkSession, out: str, delta: DataFrame) -> None:
@@ -287,10 +298,19 @@ def delete_stored(spark: SparkSession, out: str, name: str, condition: Column) -
     hits = table.where(condition)
     files = len(versions.files_of(hits, name))
     if files:
-        _rewritten(spark, out, name, hits, lambda old: loads.delete_where(old, condition))
+        with temporary_tables(spark):
+            _rewritten(spark, out, name, hits, lambda old: loads.delete_where(old, condition))
     return files
 
 
+def recluster_fact(spark: SparkSession, out: str) -> None:
+    """Write the stored fact anew along the curve, as many increments leave many small files."""
+    root = warehouse_root(out)
+    before = versions.current(spark, root)
+    new = _write_fact(versions.read(spark, root, before, FACT), root)
+    versions.publish(spark, root, before, {FACT: new})  # the same rows: what was derived from them holds
+
+
 def run_status(spark: SparkSession, out: str) -> DataFrame:
     dw = read_warehouse(spark, out)
     return runlog.status_summary(

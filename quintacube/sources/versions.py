@@ -66,11 +66,11 @@ def current(spark: SparkSession, root: str) -> Version:
     return _load(spark, root, numbers[-1]) if numbers else Version()
 
 
-def publish(spark: SparkSession, root: str, base: Version, tables: Mapping[str, Table]) -> Version:
-    """Make the tables the version after `base`; those that are not given stay as they are there."""
+def publish(spark: SparkSession, root: str, base: Version, tables: Mapping[str, Table | None]) -> Version:
+    """Make the tables the version after `base`; those not given stay as they are there, None takes one out."""
     if (_numbers(spark, root) or [0])[-1] != base.number:
         raise Superseded(f"version {base.number} is not the newest any more")
-    version = Version(base.number + 1, {**base.tables, **tables})
+    version = Version(base.number + 1, {n: t for n, t in {**base.tables, **tables}.items() if t is not None})
     text = json.dumps({n: {"paths": t.paths, "schema": json.loads(t.schema.json())} for n, t in version.tables.items()})
     store, beside = _store(spark, f"{root}/{_FOLDER}/.{uuid.uuid4().hex}")
     _, path = _store(spark, f"{root}/{_FOLDER}/{version.number:010d}.json")
