@@ -7,9 +7,9 @@ publishes all tables in one step at its end, so a failure at any point leaves th
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import replace
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 from quintacube.functions.sizing import cut, temporary_tables, union_all
 from quintacube.operators import checks, cube, increment, layout, loads, runlog, staging
 from quintacube.operators.dimensions import build_dimensions, new_members
+from quintacube.plans import statistics
 from quintacube.sources import versions
-from quintacube.sources.files import remove, switch
+from quintacube.sources.files import gather_files, remove, switch
 from quintacube.sources.schemas import LOG_DDL
 from quintacube.sources.tables import save_table
 
@@ -36,6 +37,8 @@ DIMENSIONS = ("Dim_Tempo", "Dim_Cliente", "Dim_Funcionario", "Dim_Produto", "Dim
 FACT = "Fato_Vendas"
 #: What an increment needs beside them: the summed sales, and the lookups that they were loaded with.
 GRAIN, PRODUCT_LOOKUP, STORE_LOOKUP = "vendas_grao", "produto_custo", "funcionario_loja"
+#: Statistics of the fact, a row a file and column.
+STATISTICS = "estatisticas"
 #: Tables made from one state of the fact; a version with another fact does not list them.
 DERIVED = "resumo"
 
@@ -61,9 +64,9 @@ def log_path(out: str) -> str:
 
 
 def read_states(spark: SparkSession, out: str) -> DataFrame:
-    """Every state of every run."""
+    """Every state of every run, once; a compaction may hold some of them a second time."""
     try:
-        return spark.read.schema(LOG_DDL).parquet(log_path(out))
+        return spark.read.schema(LOG_DDL).parquet(log_path(out)).distinct()
     except AnalysisException:
         return spark.createDataFrame([], LOG_DDL)
 
@@ -73,6 +76,16 @@ def read_log(spark: SparkSession, out: str) -> DataFrame:
     return runlog.latest_state(read_states(spark, out))
 
 
+def compact_log(spark: SparkSession, out: str, grace: timedelta = timedelta(minutes=10)) -> int:
+    """Gather the log's files of one state each into one; returns how many are left to be deleted later.
+
+    States may be appended and read meanwhile. The gathered states appear in one rename, and files that
+    they were gathered from go by a later compaction, when `grace` has passed and no reader has them
+    open any more. A crash at any point leaves every state, some of them twice, which readers drop.
+    """
+    return gather_files(spark, log_path(out), LOG_DDL, grace)
+
+
 def purge_log(spark: SparkSession, out: str, now: datetime | None = None, older_than: str = "2 minutes") -> None:
     """Remove runs from the stored log that were started but never finished, as after a crash.
 
@@ -97,9 +110,22 @@ def _write_fact(rows: DataFrame, root: str) -> versions.Table:
     return versions.write(layout.clustered(rows), root, FACT, partition_by="gid")
 
 
-def _publish(spark: SparkSession, root: str, before: versions.Version, built: Mapping[str, versions.Table]) -> None:
-    stale = [name for name in before.tables if name.startswith(DERIVED)] if FACT in built else []
-    versions.publish(spark, root, before, {**dict.fromkeys(stale), **built})
+def _publish(
+    spark: SparkSession, root: str, before: versions.Version, built: Mapping[str, versions.Table], same_rows: bool = False
+) -> None:
+    """Publish a load; a new fact comes with its statistics and without what the old one gave."""
+    tables: dict[str, versions.Table | None] = dict(built)
+    if FACT in built:
+        draft = versions.Version(0, {**before.tables, **built})
+        tables[STATISTICS] = statistics.refreshed(spark, root, draft, FACT, STATISTICS)
+        if not same_rows:
+            tables |= dict.fromkeys(name for name in before.tables if name.startswith(DERIVED))
+    versions.publish(spark, root, before, tables)
+
+
+def fact_statistics(spark: SparkSession, out: str, by: Sequence[str] = ("gid",)) -> DataFrame:
+    """Statistics of the stored fact's columns, merged from those of its files; the fact is not read."""
+    return statistics.summary(spark, warehouse_root(out), FACT, STATISTICS, by)
 
 
 def error_code(failure: Exception) -> str:
@@ -308,7 +334,7 @@ def recluster_fact(spark: SparkSession, out: str) -> None:
     root = warehouse_root(out)
     before = versions.current(spark, root)
     new = _write_fact(versions.read(spark, root, before, FACT), root)
-    versions.publish(spark, root, before, {FACT: new})  # the same rows: what was derived from them holds
+    _publish(spark, root, before, {FACT: new}, same_rows=True)
 
 
 def run_status(spark: SparkSession, out: str) -> DataFrame:

@@ -6,6 +6,7 @@ Spark jobs compute them.
 
 from __future__ import annotations
 
+from quintacube.operators.cube import KEYS, MEASURES
 from quintacube.plans.registry import CPF, NOW, PERIOD, SET_ORDER, set_name
 from quintacube.sources.standins import FULL_RUN
 
@@ -183,6 +184,7 @@ _NATURAL_CLIENTE = _DIM_CLIENTE.format(id="c_custkey", id_type="BIGINT")
 
 ORACLE: dict[str, str] = {
     "src_scan": "SELECT * FROM orders",
+    "src_scan_faixas": "SELECT * FROM orders",
     "stg_vendas": _with(
         "vendas",
         "SELECT cod AS tb010_012_cod_venda, cpf AS tb010_cpf, produto AS tb012_cod_produto, "
@@ -271,6 +273,27 @@ ORACLE: dict[str, str] = {
         f"SELECT idData, idCliente, quantidade, valor FROM ({_set('tc')}) "
         "WHERE NOT coalesce(idData BETWEEN 19950101 AND 19951231, false)",
     ),
+    "fato_estatisticas": _whole(
+        " UNION ALL ".join(
+            f"SELECT gid, '{c}' AS coluna, count(*) AS linhas, count(*) - count({c}) AS nulos, "
+            f"CAST(min({c}) AS DECIMAL(38,8)) AS menor, CAST(max({c}) AS DECIMAL(38,8)) AS maior FROM fato GROUP BY gid"
+            for c in (*KEYS, *MEASURES)
+        )
+    ),
+    "fatia_agrupada": _report(
+        "tc",
+        "SELECT 'mes' AS fatia, idData, idCliente, quantidade, valor FROM fato WHERE idData // 100 = 199503 "
+        f"UNION ALL SELECT 'cliente', idData, idCliente, quantidade, valor FROM fato WHERE idCliente = {CPF}",
+    ),
+    "q6_uf_mes_categoria": _with(
+        f"{_CUBE_TABLES} tempo",
+        "SELECT d.ano, d.mes, l.uf, p_brand AS categoria, CAST(sum(v.quantidade) AS BIGINT) AS quantidade, "
+        "CAST(sum(v.unitario * v.quantidade) AS DECIMAL(18,2)) AS valor, "
+        "CAST(sum((v.unitario - coalesce(k.custo_medio, 0)) * v.quantidade) AS DECIMAL(18,2)) AS lucro "
+        "FROM vendas v LEFT JOIN custo k ON v.produto = k.produto JOIN tempo d ON v.idData = d.idData "
+        "JOIN part ON v.produto = p_partkey JOIN func f ON v.matricula = f.matricula "
+        "JOIN loja l ON f.loja = l.idLoja GROUP BY ALL",
+    ),
     "q1_func_tempo": _report(
         "tf",
         "SELECT d.ano, d.mes, e.nome AS nomeFuncionario, f.valor AS ValorTotalVendas "

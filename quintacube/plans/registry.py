@@ -11,10 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quintacube.functions.sizing import cut, small_side, union_all
-from quintacube.operators import checks, cost, cube, dimensions, increment, loads, runlog, staging
+from quintacube.operators import checks, cost, cube, dimensions, increment, layout, loads, rollup, runlog, sketches, staging
 from quintacube.operators.surrogate import continued_ids, dense_ids
 from quintacube.plans import reports
 from quintacube.sources import standins
+from quintacube.sources.tables import range_predicates
 
 NOW = "2024-01-15 12:00:00"
 PERIOD = ("1995-01-01", "1996-12-31")
@@ -194,6 +195,38 @@ def fato_sem_periodo(m: Model) -> DataFrame:
     return loads.delete_where(groups, F.col("idData").between(19950101, 19951231)).select("idData", "idCliente", "quantidade", "valor")
 
 
+def fatia_agrupada(m: Model) -> DataFrame:
+    """One month, and one client, of the client-day groups written along the curve."""
+    groups = cut(layout.clustered(m.grouping("idData", "idCliente")), partition_by="gid")
+    month = groups.where(F.col("idData").between(19950301, 19950331)).withColumn("fatia", F.lit("mes"))
+    client = groups.where(F.col("idCliente") == CPF).withColumn("fatia", F.lit("cliente"))
+    return month.unionByName(client).select("fatia", "idData", "idCliente", "quantidade", "valor")
+
+
+def q6_uf_mes_categoria(m: Model) -> DataFrame:
+    """Quantity, value and profit by state, month and category, from the smallest grouping that gives them."""
+    given, grain = _exact(m, m.cube_input)
+    fact = cut(cube.build_cube(given, grain), partition_by="gid")
+    wanted = rollup.view(["mes", "uf", "categoria"])
+    source = rollup.smallest(rollup.grouping_sizes(fact), wanted, rollup.complete_keys(grain, given.clients.select("cpf")))
+    rows = rollup.rolled_up(rollup.grouping(fact, source), source, wanted, m.plain_dims)
+    return rows.withColumns({c: F.col(c).cast("decimal(18,2)") for c in ("valor", "lucro")})
+
+
+def fato_estatisticas(m: Model) -> DataFrame:
+    """Rows, NULLs and bounds of every grouping's columns, merged from statistics of its files."""
+    rows = m.fact.withColumn("arquivo", F.col("_metadata.file_path"))
+    return sketches.merged(cut(sketches.file_statistics(rows))).select("gid", "coluna", "linhas", "nulos", "menor", "maior")
+
+
+def src_scan_faixas(m: Model) -> DataFrame:
+    """The orders that lie in exactly one of the ranges which a parallel scan by client would take."""
+    orders = m.read("orders")
+    ranges = range_predicates(orders, "o_custkey", 16, "o_orderkey")
+    hits = [F.when(F.expr(p), 1).otherwise(0) for p in ranges]
+    return orders.where(sum(hits[1:], hits[0]) == 1)
+
+
 def log_status(m: Model) -> DataFrame:
     dims = m.plain_dims
     return runlog.status_summary(
@@ -340,6 +373,7 @@ def table_stats(m: Model) -> DataFrame:
 
 QUERIES: dict[str, Callable[[Model], DataFrame]] = {
     "src_scan": lambda m: m.read("orders"),
+    "src_scan_faixas": src_scan_faixas,
     "stg_vendas": _stg("vendas"),
     "stg_compras": _stg("compras"),
     "stg_clientes": _stg("clientes"),
@@ -370,6 +404,9 @@ QUERIES: dict[str, Callable[[Model], DataFrame]] = {
     "fato_incremental": fato_incremental,
     "dim_cliente_continuado": dim_cliente_continuado,
     "fato_sem_periodo": fato_sem_periodo,
+    "fato_estatisticas": fato_estatisticas,
+    "fatia_agrupada": fatia_agrupada,
+    "q6_uf_mes_categoria": q6_uf_mes_categoria,
     **{name: _report(name) for name in reports.REPORTS},
     "log_latest_state": lambda m: runlog.latest_state(m.log, F.desc("sequencia")),
     "log_purge_stuck": lambda m: runlog.purge_stuck(m.log, NOW),

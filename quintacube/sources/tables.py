@@ -41,6 +41,55 @@ def read_jdbc(spark: SparkSession, **scan) -> DataFrame:
     return spark.read.format("jdbc").options(**jdbc_options(**scan)).load()
 
 
+def _cuts(values: list) -> list[tuple]:
+    """Cut points in order, with how many of the equal shares end at each."""
+    counted: dict = {}
+    for v in values:
+        counted[v] = counted.get(v, 0) + 1
+    return sorted(counted.items())
+
+
+def range_predicates(sample: DataFrame, key: str, partitions: int, second: str | None = None) -> list[str]:
+    """Predicates that split a scan into ranges with about the same number of rows.
+
+    The cut points are quantiles of an integer key in a sample of the table. A value that several quantiles fall
+    on holds several shares; it gets ranges of its own, as many as it has shares if a `second` integer
+    column tells its rows apart. The ranges are disjoint and hold every row, NULL keys included.
+    """
+    if partitions < 1:
+        raise ValueError("need at least one partition")
+    rows = sample.agg(F.count("*").alias("n"), F.count(key).alias("keyed")).first()
+    unkeyed = rows["n"] - rows["keyed"]
+    empty_shares = round(partitions * unkeyed / rows["n"]) if rows["n"] else 0
+    steps = max(1, partitions - empty_shares)
+    shares = [i / steps for i in range(1, steps)]
+    found = sample.agg(F.percentile_approx(key, shares, 100_000).alias("cuts")).first()["cuts"] if shares else None
+
+    def split(condition: str, times: int) -> list[str]:
+        """A single value in as many ranges as it has shares."""
+        if second is None or times < 2:
+            return [condition]
+        return [f"{condition} AND ({p})" for p in range_predicates(sample.where(condition), second, times)]
+
+    ranges, above = [], f"{key} IS NOT NULL"
+    for value, times in _cuts(found or []):
+        ranges.append(f"{above} AND {key} < {value}")
+        if times == 1:
+            above = f"{key} >= {value}"
+        else:
+            ranges += split(f"{key} = {value}", times)
+            above = f"{key} > {value}"
+    ranges.append(above)
+    if empty_shares:
+        return ranges + split(f"{key} IS NULL", empty_shares)
+    return [f"{ranges[0]} OR {key} IS NULL", *ranges[1:]]
+
+
+def read_jdbc_ranges(spark: SparkSession, url: str, table: str, predicates: Sequence[str], **properties: str) -> DataFrame:
+    """A source table from the transactional database, one task a predicate."""
+    return spark.read.jdbc(url, table, predicates=list(predicates), properties={"fetchsize": "10000", **properties})
+
+
 def inline_rows(
     spark: SparkSession, table: str, rows: Iterable[Sequence], serial: str | None = None
 ) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quintacube.sources.files import _store
+from quintacube.sources.files import _store, read_text
 from quintacube.sources.tables import save_table
 
 _FOLDER = "_versions"
@@ -50,13 +50,7 @@ def _numbers(spark: SparkSession, root: str) -> list[int]:
 
 
 def _load(spark: SparkSession, root: str, number: int) -> Version:
-    store, path = _store(spark, f"{root}/{_FOLDER}/{number:010d}.json")
-    stream = store.open(path)
-    try:
-        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-    held = json.loads(text)
+    held = json.loads(read_text(spark, f"{root}/{_FOLDER}/{number:010d}.json"))
     return Version(number, {name: Table(tuple(t["paths"]), T.StructType.fromJson(t["schema"])) for name, t in held.items()})
 
 
