@@ -1,8 +1,10 @@
 """Quality rules: exact rule statistics, and an isolation forest over ratios of them.
 
 The forest is grown on labelled documents; one that few random splits isolate is unlike most. The
-longest mean path that still counts as anomalous is calibrated on their labels. Both use at most `FIT_ROWS` labelled rows, in the order of a hash of their id. Statistics
-and verdicts cover every row and the whole of every text.
+longest mean path that still counts as anomalous is calibrated on their labels. The forest tells rows
+apart by whole steps of four shares, so all labelled rows, counted per combination of steps and label
+in Spark, are one small table: there are at most 2 * (MOST_STEPS + 1)^2 * 36 combinations, however many
+rows. Statistics and verdicts cover every row and the whole of every text.
 
 Null and empty texts have statistics 0 and fail the base rules. Repeated rows are judged alike, each
 with its own result row. Without labelled rows of both kinds the base rules alone decide. An empty
@@ -14,16 +16,16 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quintacube.functions.sizing import cut
 from quintacube.llm import words
 
-FIT_ROWS = 20_000
 TREES, SAMPLE, SEED, STEP = 100, 256, 5, 0.2
+#: Symbols and marks may outnumber words; from this many steps (ten a word) on they count alike.
+MOST_STEPS = 50
 MIN_WORDS, MOST_REPEATED_PERCENT = 50, 50
 
 SYMBOLS = words.table(b"#*$%&|<>")
@@ -78,7 +80,13 @@ def ratios(stats: np.ndarray) -> np.ndarray:
     s = dict(zip(STATS, stats.astype(np.float64).T, strict=True))
     n, chars = np.maximum(s["n_words"], 1), np.maximum(s["word_chars"], 1)
     shares = (s["n_symbols"] / n, s["n_repeat_words"] / n, s["n_upper"] / chars, s["n_marks"] / n)
-    return np.floor(np.stack(shares, axis=1) / STEP)
+    return np.minimum(np.floor(np.stack(shares, axis=1) / STEP), MOST_STEPS)
+
+
+def _steps() -> list[Column]:
+    """The same steps as expressions."""
+    shares = (("n_symbols", "n_words"), ("n_repeat_words", "n_words"), ("n_upper", "word_chars"), ("n_marks", "n_words"))
+    return [F.least(F.floor(F.col(a) / F.greatest(F.col(b), F.lit(1)) / STEP), F.lit(MOST_STEPS)).alias(f"s{k}") for k, (a, b) in enumerate(shares)]
 
 
 def _average_path(n: np.ndarray | float) -> np.ndarray:
@@ -87,16 +95,17 @@ def _average_path(n: np.ndarray | float) -> np.ndarray:
 
 
 class Forest:
-    """Random trees over random subsets; `path` is the mean number of splits that isolate a row."""
+    """Random trees over random draws of weighted rows; `path` is the mean number of splits that isolate a row."""
 
-    def __init__(self, rows: np.ndarray, trees: int = TREES, sample: int = SAMPLE, seed: int = SEED):
+    def __init__(self, rows: np.ndarray, weights: np.ndarray, trees: int = TREES, sample: int = SAMPLE, seed: int = SEED):
         rng = np.random.default_rng(seed)
-        self.height = int(np.ceil(np.log2(max(2, min(sample, len(rows))))))
+        drawn = int(min(sample, weights.sum()))
+        self.height = int(np.ceil(np.log2(max(2, drawn))))
         size = (1 << (self.height + 1)) - 1
         self.feature = np.full((trees, size), -1, np.int32)
         self.split, self.length = np.zeros((trees, size)), np.zeros((trees, size))
         for t in range(trees):
-            self._grow(t, 0, 0, rows[rng.permutation(len(rows))[:sample]], rng)
+            self._grow(t, 0, 0, np.repeat(rows, rng.multinomial(drawn, weights / weights.sum()), axis=0), rng)
 
     def _grow(self, t: int, node: int, depth: int, rows: np.ndarray, rng: np.random.Generator) -> None:
         low, high = rows.min(axis=0), rows.max(axis=0)
@@ -123,26 +132,27 @@ class Forest:
         return total / len(self.feature)
 
 
-def calibrate(path: np.ndarray, good: np.ndarray) -> float:
-    """The path length below which a row is dropped: fewest wrong verdicts on labelled rows.
+def calibrate(path: np.ndarray, good: np.ndarray, bad: np.ndarray) -> float:
+    """The path length below which a row is dropped: fewest wrong verdicts on all labelled rows.
 
-    Among equally good places the middle of the gap to the next longer path is taken.
+    `good` and `bad` count the rows of each path. Among equally good places the middle of the gap to
+    the next longer path is taken.
     """
     order = np.argsort(path, kind="stable")
-    path, good = path[order], good[order].astype(bool)
+    path, gain = path[order], np.cumsum((bad - good)[order])
     ends = np.append(np.flatnonzero(np.diff(path) > 0), len(path) - 1)
-    best = int(np.argmax((np.cumsum(~good) - np.cumsum(good))[ends]))
+    best = int(np.argmax(gain[ends]))
     at = path[ends[best]]
     following = path[ends[best] + 1] if ends[best] + 1 < len(path) else at + 1
     return float((at + following) / 2)
 
 
-def fit(stats: np.ndarray, good: np.ndarray) -> tuple[Forest, float] | None:
-    if not good.any() or good.all():
+def fit(steps: np.ndarray, good: np.ndarray, bad: np.ndarray) -> tuple[Forest, float] | None:
+    """Forest and threshold from distinct rows of steps and how many good and bad rows have them."""
+    if not good.any() or not bad.any():
         return None
-    features = ratios(stats)
-    forest = Forest(features)
-    return forest, calibrate(forest.path(features), good)
+    forest = Forest(steps, good + bad)
+    return forest, calibrate(forest.path(steps), good, bad)
 
 
 def _judge(model: tuple[Forest, float] | None):
@@ -161,17 +171,24 @@ def _judge(model: tuple[Forest, float] | None):
     return verdicts
 
 
-def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", fit_rows: int = FIT_ROWS) -> DataFrame:
+def labelled_steps(measured: DataFrame, labels: DataFrame) -> DataFrame:
+    """How many good and bad labelled rows have each combination of steps.
+
+    Repeated rows and repeated labels are counted before they meet, so a hot id joins as few rows.
+    """
+    marks = labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
+    marks = marks.agg(F.count_if(F.col("quality") == 1).alias("good"), F.count_if(F.col("quality") != 1).alias("bad"))
+    names = ["s0", "s1", "s2", "s3"]
+    rows = measured.where("doc_id IS NOT NULL").select("doc_id", *_steps()).groupBy("doc_id", *names).agg(F.count("*").alias("n"))
+    return rows.join(marks, "doc_id").groupBy(*names).agg(*[F.sum(F.col(c) * F.col("n")).alias(c) for c in ("good", "bad")])
+
+
+def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """Id, BASE statistics, base_failed, kept and mean path of every row."""
     measured = cut(rule_statistics(docs, id_col, text))
-    marks = labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "quality")
-    sample: pd.DataFrame = (
-        measured.join(marks, "doc_id")
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "quality", *STATS)
-        .limit(fit_rows)
-        .toPandas()
-    )
-    model = fit(sample[list(STATS)].to_numpy(np.int64), sample["quality"].to_numpy(np.int64) == 1)
+    found = np.array([tuple(r) for r in labelled_steps(measured, labels).collect()], np.int64).reshape(-1, 6)
+    found = found[np.lexsort(found.T)]
+    model = fit(found[:, :4].astype(np.float64), found[:, 4], found[:, 5])
     return measured.mapInArrow(
         _judge(model),
         "doc_id long, " + ", ".join(f"{c} long" for c in BASE) + ", base_failed boolean, kept boolean, mean_path double",

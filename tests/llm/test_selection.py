@@ -52,6 +52,48 @@ def test_rules_judge_every_row_and_follow_the_labels(spark):
     assert decided[decided.quality == 1].kept.mean() > 0.97 and decided[decided.quality == 0].kept.mean() < 0.05
 
 
+def test_all_labelled_rows_count_however_they_repeat(spark):
+    """The counted table equals one row at a time, and is no larger for more partitions or copies."""
+    rng = np.random.default_rng(3)
+    stats = rng.integers(0, 40, (300, len(quality_rules.STATS)))
+    stats[0, 2] = 10**6  # far more symbols than words
+    rows = [(int(i % 200) if i % 50 else None, *map(int, r)) for i, r in enumerate(stats)]
+    schema = "doc_id long, " + ", ".join(f"{c} long" for c in quality_rules.STATS)
+    marked = [(i, None if i % 9 == 0 else i % 2, 0) for i in range(150)] + [(7, 0, 0), (7, 1, 0), (None, 1, 0)]
+    labels = spark.createDataFrame(marked, "doc_id long, quality int, toxic int")
+    want = {}
+    for row, steps in zip(rows, quality_rules.ratios(stats), strict=True):
+        for i, quality, _ in marked:
+            if row[0] is not None and i == row[0] and quality is not None:
+                want.setdefault(tuple(steps.astype(int)), [0, 0])[quality != 1] += 1
+    measured = spark.createDataFrame(rows, schema)
+    for copies in (1, 3):
+        many = measured if copies == 1 else measured.unionByName(measured).unionByName(measured).repartition(17)
+        found = quality_rules.labelled_steps(many, labels).collect()
+        assert {tuple(r)[:4]: list(r)[4:] for r in found} == {k: [n * copies for n in v] for k, v in want.items()}
+
+
+def test_forest_paths_and_threshold_against_plain_walks():
+    rng = np.random.default_rng(4)
+    rows, good, bad = rng.integers(0, 6, (40, 4)).astype(float), rng.integers(0, 50, 40), rng.integers(0, 9, 40)
+    forest = quality_rules.Forest(rows, good + bad, trees=20)
+
+    def walk(t, row):
+        node = 0
+        while forest.feature[t, node] >= 0:
+            node = 2 * node + 1 + int(row[forest.feature[t, node]] > forest.split[t, node])
+        return forest.length[t, node]
+
+    paths = forest.path(rows)
+    assert np.allclose(paths, [sum(walk(t, r) for t in range(20)) / 20 for r in rows])
+    at = quality_rules.calibrate(paths, good, bad)
+
+    def wrong(limit):
+        return good[paths <= limit].sum() + bad[paths > limit].sum()
+
+    assert wrong(at) == min(wrong(p) for p in paths)
+
+
 @pytest.mark.parametrize("extra", [False, True])
 def test_rules_on_odd_rows_without_labels(spark, extra):
     docs = helpers.documents(spark, helpers.ODD, extra)
