@@ -254,6 +254,64 @@ def test_decontamination_finds_every_exact_passage(spark):
     assert {d.doc_id for d in docs} - {r.doc_id for r in kept.collect()} == {i for i, _ in exact}
 
 
+def brute_leaks(items, texts):
+    found = {}
+    for t, text in enumerate(texts):
+        for i, item in items:
+            a, b = decontamination.normal(item), decontamination.normal(text)
+            budget = min(len(a) // decontamination.EDITS_ONE_IN, (len(a) - decontamination.Q) // decontamination.Q)
+            if len(a) >= decontamination.Q and b and (d := edit_distance_inside(a, b)) <= budget:
+                found[t, i] = d
+    return found
+
+
+PROMPT = "answer the following question about the passage above in one short sentence please: "
+
+
+@pytest.mark.parametrize(("postings", "cells"), [(1 << 20, 1 << 20), (7, 1 << 20), (64, 300), (1000, 1)])
+def test_decontamination_of_items_with_one_prompt(monkeypatch, postings, cells):
+    monkeypatch.setattr(decontamination, "POSTINGS", postings)
+    monkeypatch.setattr(decontamination, "CELLS", cells)
+    rng = random.Random(postings)
+    items = [(k, PROMPT + helpers.prose(k // 2, rng.randrange(0, 5))) for k in range(24)] + [(24, "aaaaaaaaaaaa"), (25, PROMPT)]
+    texts = []
+    for k in range(14):
+        text = list(helpers.prose(100 + k, 4) + " " + items[rng.randrange(24)][1] + " " + PROMPT + helpers.prose(k, 5) + "a" * k)
+        for _ in range(rng.randrange(0, 14)):
+            text[rng.randrange(len(text))] = rng.choice("xy ")
+        texts.append("".join(text))
+    index = decontamination.Index(items)
+    got = {(t, i): d for t, k, d, _, _ in index.matches(texts) for i in index.ids[k]}
+    wanted = brute_leaks(items, texts)
+    assert got == wanted and len(wanted) > 20
+
+
+def test_decontamination_memory_with_one_prompt_in_many_items():
+    import tracemalloc
+
+    items = [(k, PROMPT + helpers.prose(k, 6)) for k in range(5000)]
+    texts = [" ".join([PROMPT] * 40) + items[7][1], helpers.prose(1, 3000)]
+    index = decontamination.Index(items)
+    tracemalloc.start()
+    found = [(t, i, d) for t, k, d, _, _ in index.matches(texts) for i in index.ids[k] if d == 0]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == [(0, 7, 0)] and peak < 400 << 20
+
+
+def test_decontamination_of_odd_rows_and_repeated_items(spark):
+    passage = helpers.prose(77, 12)
+    docs = helpers.documents(spark, helpers.ODD + [(None, "x " + passage, "a"), (9, passage, None), (9, passage, None)], True)
+    items = spark.createDataFrame(
+        [(1, passage), (1, passage), (2, passage.upper()), (None, passage), (3, None), (4, "")], "item_id long, text string"
+    )
+    got = sorted(((r.doc_id, r.item_id, r.edits) for r in decontamination.find_leaks(docs, items).collect()), key=str)
+    assert got == sorted([(d, i, 0) for d in (None, 9, 9) for i in (1, 1, 2, None)], key=str)
+    kept = decontamination.without_leaks(docs, items)
+    assert kept.columns == docs.columns
+    assert sorted((str(r.doc_id), str(r.text)) for r in kept.collect()) == sorted((str(r[0]), str(r[1])) for r in helpers.ODD)
+
+
 def test_decontamination_in_several_blocks(spark, monkeypatch):
     docs = helpers.documents(spark, [(i, helpers.prose(i, 30), "a") for i in range(12)], True)
     items = spark.createDataFrame([(i, helpers.prose(i, 30)[:150]) for i in range(0, 12, 2)], "item_id long, text string")
