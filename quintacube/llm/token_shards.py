@@ -37,7 +37,8 @@ from quintacube.session import ensure_checkpoint_dir
 LENGTH, PER_SHARD, KEY, ROUNDS = 4096, 1 << 12, 2718281828, 6
 #: Sequences travel packed: on disk and over the network they are counted twice.
 PACKING_LEVEL = 6
-CACHED = 1 << 18
+#: What a worker keeps: chunks in number, in characters of one and in all.
+CACHED, CHUNK_CHARS, ALL_CHARS = 1 << 18, 64, 1 << 23
 
 # White space as the tokenizer's pattern has it. A text may be cut before a single space that a
 # visible character follows, and around other white space, without changing its tokens.
@@ -57,17 +58,29 @@ def load_ranks(path: str, pattern: str):
 class ChunkIds(dict):
     """Token ids of chunks as bytes; missing ones are encoded, and kept while there is room."""
 
-    def __init__(self, encoding, kind: np.dtype):
+    def __init__(self, path: str, pattern: str):
         super().__init__()
-        self._encode, self._kind = encoding.encode_ordinary, kind
+        encoding, self.end = load_ranks(path, pattern)
+        self._encode, self.kind, self._room = encoding.encode_ordinary, id_type(self.end + 1), ALL_CHARS
 
     def __missing__(self, chunk: str) -> bytes:
-        ids = np.array(self._encode(chunk), self._kind).tobytes()
-        if len(self) < CACHED:
+        ids = np.array(self._encode(chunk), self.kind).tobytes()
+        if len(chunk) <= min(CHUNK_CHARS, self._room) and len(self) < CACHED:
             self[chunk] = ids
+            self._room -= len(chunk)
         return ids
 
 
+_chunk_ids: dict[tuple[str, str], ChunkIds] = {}
+
+
+def chunk_ids(path: str, pattern: str) -> ChunkIds:
+    """The ids of a vocabulary's chunks; a worker loads it once and keeps them over its tasks."""
+    if (path, pattern) not in _chunk_ids:
+        _chunk_ids[path, pattern] = ChunkIds(path, pattern)
+    return _chunk_ids[path, pattern]
+
+
 def id_type(n: int) -> np.dtype:
     return np.dtype("<u2" if n <= 1 << 16 else "<u4")
 
@@ -94,10 +107,9 @@ _PACKED = "part long, place long, n_tokens int, doc_ids array<long>, starts arra
 
 def _pack(path: str, pattern: str, length: int):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding, end = load_ranks(path, pattern)
-        kind = id_type(end + 1)
+        ids_of = chunk_ids(path, pattern)
+        look_up, kind, last = ids_of.__getitem__, ids_of.kind, np.array([ids_of.end], ids_of.kind).tobytes()
         squeeze = zstandard.ZstdCompressor(level=PACKING_LEVEL).compress
-        look_up, last = ChunkIds(encoding, kind).__getitem__, np.array([end], kind).tobytes()
         part, stride, place = TaskContext.get().partitionId(), length * kind.itemsize, 0
         held, docs, rows = bytearray(), [], []
 
