@@ -2,8 +2,9 @@
 
 First tier: the lengths in tokens of the most frequent pre-tokens of the whole corpus, found by one
 mergeable top-k sketch and broadcast as a small table of at most `FREQUENT` entries. Second tier:
-each worker encodes what the table misses once and keeps the length in a cache of bounded size. The
-sketch's errors cost time only; every length comes from the tokenizer.
+each worker encodes what the table misses and keeps the lengths over its tasks, bounded in number and
+characters. Long pre-tokens enter neither tier. The sketch's errors cost time only; every length comes
+from the tokenizer.
 
 A sentencepiece model is looked up piecewise only if that is exact: identity normalisation, and no
 vocabulary entry that spans a place where texts are cut (before a run of spaces, before a newline).
@@ -28,7 +29,8 @@ from quintacube.functions.sizing import cut
 FREQUENT, TRACKED = 8192, 16384
 #: Sketches that are left for the last merge.
 SKETCHES = 64
-CACHED = 1 << 19
+#: What a worker keeps: pre-tokens in number, in characters of one and in all.
+CACHED, PIECE_CHARS, ALL_CHARS = 1 << 19, 64, 1 << 23
 LIMIT = 4096
 
 #: How sentencepiece shows a space inside pieces.
@@ -55,20 +57,34 @@ def pieces(text: str) -> list[str]:
 class Lengths(dict):
     """Token counts of pre-tokens; a missing one is encoded, and kept while there is room."""
 
-    def __init__(self, model, frequent: dict[str, int]):
+    def __init__(self, model):
         super().__init__()
-        self._encode, self._frequent = model.encode, frequent
+        self._encode, self._room = model.encode, ALL_CHARS
+        self.frequent: dict[str, int] = {}
 
     def __missing__(self, piece: str) -> int:
-        n = self._frequent.get(piece)
-        if n is None:
-            # The newline keeps the piece apart from the space put in front: two tokens, never merged.
-            n = len(self._encode("\n" + piece)) - 2
-        if len(self) < CACHED:
+        n = self.frequent.get(piece)
+        if n is not None:
+            return n
+        # The newline keeps the piece apart from the space put in front: two tokens, never merged.
+        n = len(self._encode("\n" + piece)) - 2
+        if len(piece) <= min(PIECE_CHARS, self._room) and len(self) < CACHED:
             self[piece] = n
+            self._room -= len(piece)
         return n
 
 
+_lengths: dict[str, Lengths] = {}
+
+
+def lengths(path: str, frequent: dict[str, int]) -> Lengths:
+    """The counts of a model file; a worker loads it once and keeps them over its tasks."""
+    if path not in _lengths:
+        _lengths[path] = Lengths(load_model(path))
+    _lengths[path].frequent = frequent
+    return _lengths[path]
+
+
 def whole_counter(path: str) -> Callable[[list[str]], list[int]]:
     """Counts of whole texts by the library that the file belongs to."""
     if path.endswith(".json"):
@@ -90,7 +106,7 @@ def load_model(path: str):
 
 def frequent_pieces(docs: DataFrame, text: str, k: int = FREQUENT, tracked: int = TRACKED) -> list[str]:
     """The most frequent pre-tokens that stand behind one space, by a sketch over all texts."""
-    words = docs.select(F.explode(F.split(text, "[ \n]")).alias("w"))
+    words = docs.select(F.explode(F.split(text, "[ \n]")).alias("w")).where(F.length("w") < PIECE_CHARS)
     # Merged in two steps, so that the last task gets a fixed number of sketches.
     some = cut(
         words.groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCHES)).alias("part")).agg(
@@ -111,7 +127,7 @@ def _counts(path: str, table: dict[str, int] | None):
         if table is None:
             of_all = whole_counter(path)
         else:
-            look_up = Lengths(load_model(path), table).__getitem__
+            look_up = lengths(path, table).__getitem__
             of_all = lambda texts: [sum(map(look_up, pieces(t))) for t in texts]
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
@@ -135,7 +151,7 @@ def count_tokens(
     )
     table = None
     if path.endswith(".model") and cuttable(model := load_model(path)):
-        encode = Lengths(model, {})
+        encode = Lengths(model)
         table = {piece: encode[piece] for piece in frequent_pieces(docs, text)}
     counted = rows.mapInArrow(_counts(path, table), "doc_id long, n_bytes long, n_tokens long")
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)

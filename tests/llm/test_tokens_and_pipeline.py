@@ -43,6 +43,24 @@ def test_token_counts_of_odd_rows(spark, extra):
     assert token_count.count_tokens(docs.where("false"), MODEL).count() == 0
 
 
+def test_workers_keep_short_pieces_over_their_tasks_and_no_long_ones(spark):
+    import pyarrow as pa
+
+    word, model = "wxyz" * (10 << 18), token_count.load_model(MODEL)  # 10 MB without a space
+    texts = [f"some text {word} {word[:100]}", "some more text"]
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(texts), pa.array([0, 0])], ["doc_id", "text", "n_bytes"])
+    count = token_count._counts(MODEL, {})
+    got = [next(count(iter([batch]))).column(2).to_pylist() for _ in range(2)]
+    kept = token_count.lengths(MODEL, {})
+    assert got[0] == got[1] == [len(model.encode(t)) for t in texts]
+    assert "▁more" in kept and max(map(len, kept)) <= token_count.PIECE_CHARS
+    docs = spark.createDataFrame(list(enumerate(texts * 3)), "doc_id long, text string")
+    assert set(token_count.frequent_pieces(docs, "text")) == {"▁some", "▁text", "▁more"}
+    ids = token_shards.chunk_ids(P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
+    assert ids is token_shards.chunk_ids(P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
+    assert ids[" more"] == ids[" more"] and len(ids["xyz" * 100]) > 0 and " more" in ids and "xyz" * 100 not in ids
+
+
 def test_feistel_is_a_permutation():
     for n in (1, 2, 3, 7, 1000, 65_537):
         assert sorted(token_shards.feistel(np.arange(n), n).tolist()) == list(range(n))
