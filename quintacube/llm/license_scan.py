@@ -30,32 +30,75 @@ from quintacube.functions.sizing import cut, small_side
 WIDTH, CONTAINMENT = 5, 0.8
 WINDOW, BANDS, SHORT = 4, 2, 5
 
-# Notices by which texts state their license.
+# Notices by which texts state their license, and the conditions of short licenses.
 TEMPLATES = {
+    "AGPL-header": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+        "General Public License as published by the Free Software Foundation"
+    ),
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0-header": (
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
         "compliance with the License. You may obtain a copy of the License at"
     ),
+    "BSD-2-Clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
+        "that the following conditions are met: 1. Redistributions of source code must retain the above copyright "
+        "notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must "
+        "reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+        "documentation and/or other materials provided with the distribution."
+    ),
     "BSD-3-Clause": (
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+        "products derived from this software without specific prior written permission."
+    ),
+    "BSD-header": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
         "that the following conditions are met"
     ),
+    "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
+    "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "CC0-1.0": (
+        "The person who associated a work with this deed has dedicated the work to the public domain by waiving all of "
+        "his or her rights to the work worldwide under copyright law, including all related and neighboring rights, "
+        "to the extent allowed by law."
+    ),
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
     "GPL-header": (
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
         "Public License as published by the Free Software Foundation"
     ),
+    "ISC": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies."
+    ),
+    "LGPL-header": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation"
+    ),
     "MIT": "Released under the MIT License.",
     "MIT-permission": (
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
         "documentation files, to deal in the Software without restriction"
     ),
+    "MIT-text": (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+        "documentation files (the \"Software\"), to deal in the Software without restriction, including without "
+        "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the "
+        "Software, and to permit persons to whom the Software is furnished to do so, subject to the following "
+        "conditions: The above copyright notice and this permission notice shall be included in all copies or "
+        "substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, "
+        "EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR "
+        "PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, "
+        "DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN "
+        "CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+    ),
     "MPL-2.0": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
         "not distributed with this file, You can obtain one at"
     ),
+    "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
 
 

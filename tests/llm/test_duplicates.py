@@ -350,6 +350,26 @@ def test_license_scan_equals_brute_force(spark):
     assert got == set(brute_licenses(docs)) and len(got) > 50
 
 
+def test_license_scan_tells_whole_texts_apart(spark):
+    t = license_scan.TEMPLATES
+    texts = [
+        "Copyright 2020 A. Person\n\n" + t["MIT-text"].replace(", ", ",\n"),
+        t["BSD-2-Clause"],
+        t["BSD-2-Clause"] + "\n3. " + t["BSD-3-Clause"],
+        t["ISC"],
+        t["LGPL-header"] + "; either version 2.1",
+        t["CC-BY-SA-4.0"],
+        "All rights reserved.",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {}
+    for r in license_scan.scan(docs, license_scan.templates(spark)).collect():
+        found.setdefault(r.doc_id, set()).add(r.license)
+    assert found[0] == {"MIT-permission", "MIT-text"} and found[1] == {"BSD-header", "BSD-2-Clause"}
+    assert found[2] == {"BSD-header", "BSD-2-Clause", "BSD-3-Clause"} and found[3] == {"ISC"}
+    assert "LGPL-header" in found[4] and "CC-BY-SA-4.0" in found[5] and 6 not in found
+
+
 @pytest.mark.parametrize("extra", [False, True])
 def test_license_scan_on_odd_rows(spark, extra):
     docs = helpers.documents(spark, [*helpers.ODD, (None, license_scan.TEMPLATES["MIT"], "a")], extra)
