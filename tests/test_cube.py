@@ -1,7 +1,10 @@
+from decimal import Decimal
+
 import pytest
 import world
 from pyspark.sql import functions as F
 
+from quintacube.functions.sizing import cut
 from quintacube.operators import cube, staging
 from quintacube.operators.dimensions import build_dimensions
 
@@ -113,3 +116,42 @@ def test_measure_types_follow_the_parameter(built):
     for fact in (cube.build_cube(given), cube.cube_set(given, ("idData",))):
         types = dict(fact.dtypes)
         assert types["quantidade"] == "int" and types["valor"] == types["lucro"] == "decimal(12,2)"
+
+
+def amounts(spark, *values):
+    return spark.createDataFrame(
+        [(i % 2, i, v and Decimal(v), v and Decimal(v)) for i, v in enumerate(values)],
+        "k int, quantidade bigint, valor decimal(27,2), lucro decimal(37,8)",
+    )
+
+
+@pytest.mark.parametrize(
+    ("values", "columns"),
+    [
+        (("0.01", "-7.25", None, "123.40"), ["quantidade", "valor", "lucro"]),
+        (("99999999999.99", "-0.01", "-5.55", None), ["quantidade", "valor", "lucro_unidades", "lucro_fracao"]),
+        (("9999999999999999.99", "-0.07", None, "-1.00"), ["quantidade", "valor_unidades", "valor_fracao", "lucro_unidades", "lucro_fracao"]),
+        (("9999999999999999999999999.99", "-0.07", None, "0.01"), ["quantidade", "valor", "lucro"]),
+    ],
+)
+def test_sums_of_whole_numbers_equal_sums_of_decimals(spark, values, columns):
+    rows = amounts(spark, *values)
+    numbers = cube._Numbers(rows)
+    assert numbers.names == columns
+    found = numbers.joined(numbers.split(rows).groupBy("k").agg(*numbers.sums()))
+    expected = rows.groupBy("k").agg(*[F.sum(c).alias(c) for c in cube.MEASURES])
+    assert found.schema["lucro"].dataType == expected.schema["lucro"].dataType
+    assert sorted(found.select("k", *cube.MEASURES).collect()) == sorted(expected.collect())
+
+
+def test_a_partition_of_the_cube_takes_a_bounded_number_of_grain_rows(spark, built, monkeypatch):
+    _, dims, given, _ = built
+    grain = cut(cube.sales_grain(given))
+    monkeypatch.setattr(cube, "GRAIN_ROWS_A_PARTITION", 1)
+    asked = []
+    monkeypatch.setattr(cube, "heavy_keys", lambda rows, keys, parts, *more: asked.append(parts) or {k: [] for k in keys})
+    fact = cube.build_cube(given, grain)
+    assert asked == [max(8, grain.count())]
+    plan = fact._jdf.queryExecution().optimizedPlan().toString()
+    assert "Sort [cpf" in plan and "Sort [produto" in plan
+    assert world.natural(fact, dims) == world.cube()
