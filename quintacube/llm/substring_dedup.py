@@ -427,17 +427,20 @@ def remove_repeats(
     found = cut(rows.mapInArrow(_find_anchors(need, gram), _RANGE))
     again = cut(found.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
     ranges = found.join(again.select("key"), "key")
-    hot = again.where(F.col("n") > wide).select("key")
-    if not hot.isEmpty():
-        kinds = found.join(small_side(hot), "key", "left_semi").select("key", "piece").distinct()
-        broad = cut(kinds.groupBy("key").count().where(F.col("count") > wide).select("key"))
+    columns = ["block", "row", "first", "starts", "key", "piece"]
+    by_block = _write_by_block(ranges.select(*columns), f"{folder}/ranges")
+    if not again.where(F.col("n") > wide).isEmpty():
+        # Equal pieces are counted before they meet their key, so a key that many texts share is few rows.
+        written = docs.sparkSession.read.schema("key long, piece long").parquet(by_block)
+        kinds = written.groupBy("key", "piece").agg(F.count("*").alias("n")).groupBy("key").agg(F.count("*").alias("kinds"))
+        broad = cut(kinds.where(F.col("kinds") > wide).select("key"))
         if not broad.isEmpty():
             # Few keys by arithmetic: each has more than `wide` ranges.
             apart = ranges.join(small_side(broad), "key", "left_semi").select("block", "row", "first", "starts")
             starts = cut(rows.mapInArrow(_wide_starts(_write_by_block(apart, f"{folder}/wide"), need), _RANGE))
             met = starts.groupBy("key").count().where("count > 1").select("key")
             ranges = ranges.join(small_side(broad), "key", "left_anti").unionByName(starts.join(met, "key", "left_semi"))
-    by_block = _write_by_block(ranges.select("block", "row", "first", "starts", "key", "piece"), f"{folder}/ranges")
+            by_block = _write_by_block(ranges.select(*columns), f"{folder}/narrow")
     size, expected = docs.sparkSession.read.schema("block long, row int, first int, starts int").parquet(by_block).agg(
         F.sum(F.col("starts") + (need - 1)), F.count("*")
     ).first()

@@ -173,6 +173,17 @@ def test_a_common_line_with_other_neighbours_in_every_document_is_taken_apart(sp
     assert made and {r.doc_id: ([tuple(s) for s in r.spans], bytes(r.kept)) for r in got} == brute_removal(docs, 100)
 
 
+def test_many_copies_around_one_anchor_are_counted_without_a_semi_join(spark, monkeypatch):
+    docs = [(k, helpers.prose(k % 3, 40)) for k in range(240)]
+    joins = []
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    whole = type(frame).join
+    monkeypatch.setattr(type(frame), "join", lambda self, other, on=None, how=None: joins.append(how) or whole(self, other, on, how))
+    got = substring_dedup.remove_repeats(frame, wide=50).collect()
+    assert joins and "left_semi" not in joins
+    assert {r.doc_id: ([tuple(s) for s in r.spans], bytes(r.kept)) for r in got} == brute_removal(docs, 100)
+
+
 def test_a_shard_of_many_times_its_memory_budget():
     rng = random.Random(11)
     passages = [helpers.prose(900 + k, 30).encode() for k in range(60)]
