@@ -14,9 +14,12 @@ from dataclasses import replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quintacube.functions.sizing import cut, small_side
+from quintacube.functions.sizing import cut, is_read, size_in_bytes, small_side
 from quintacube.operators.cube import KEYS, MEASURES, CubeInput, build_cube, looked_up
 
+#: Bytes of the stored rows that one partition of a merge takes.
+STORED_BYTES_A_PARTITION = 8 << 20
+
 GRAIN_KEYS = ("idData", "cpf", "idFuncionario", "produto")
 
 
@@ -77,6 +80,13 @@ def summed(rows: DataFrame) -> DataFrame:
 
 
 def merged(stored: DataFrame, delta: DataFrame) -> DataFrame:
-    """Unrounded cube rows with the delta added; a key left with nothing sold goes."""
+    """Unrounded cube rows with the delta added; a key left with nothing sold goes.
+
+    Nearly every key is on one side only, once. So the rows are dealt out before they are summed: sums
+    on the way would hold every row in memory and spill, without making them fewer.
+    """
     delta = delta.select(*[F.col(c).cast(stored.schema[c].dataType).alias(c) for c in stored.columns])
-    return summed(stored.unionByName(delta)).where("NOT (quantidade = 0 AND valor = 0 AND lucro = 0)")
+    known = sum(size_in_bytes(side) for side in (stored, delta) if is_read(side))
+    least = int(stored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    both = stored.unionByName(delta).repartition(max(least, -(-known // STORED_BYTES_A_PARTITION)), "gid", *KEYS)
+    return summed(both).where("NOT (quantidade = 0 AND valor = 0 AND lucro = 0)")

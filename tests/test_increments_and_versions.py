@@ -174,3 +174,14 @@ def test_sums_stay_exact_over_many_increments(spark):
     row = cube.with_rounded(stored, cube.Measures()).first()
     assert (row.quantidade, row.valor, row.lucro, row.valor_exato) == (3, Decimal("0.01"), Decimal("-0.01"), Decimal("0.00999999"))
     assert increment.merged(stored, increment.negated(stored)).count() == 0
+
+
+def test_rows_are_dealt_out_before_they_are_merged(spark):
+    kinds = "gid int, idData int, idCliente int, idFuncionario int, idLoja int, idProduto int, quantidade bigint, valor decimal(38,8), lucro decimal(38,8)"
+    stored = spark.createDataFrame([(0, 1, 1, 1, 1, 1, 2, Decimal(5), Decimal(1)), (0, 1, None, 1, 1, 1, 2, Decimal(5), Decimal(1))], kinds)
+    delta = spark.createDataFrame([(0, 1, 1, 1, 1, 1, -2, Decimal(-5), Decimal(-1)), (0, 1, None, 1, 1, 1, 1, None, Decimal(2)), (0, 2, 1, 1, 1, 1, 1, Decimal(1), Decimal(1))], kinds)
+    found = increment.merged(stored, delta)
+    got = {(r["idData"], r["idCliente"]): (r["quantidade"], r["valor"], r["lucro"]) for r in found.collect()}
+    assert got == {(1, None): (3, Decimal(5), Decimal(3)), (2, 1): (1, Decimal(1), Decimal(1))}
+    below = found._jdf.queryExecution().executedPlan().toString().split("Exchange hashpartitioning(gid")
+    assert len(below) == 2 + below[1].count("== Initial Plan ==") and "HashAggregate" not in below[-1]
