@@ -3,6 +3,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from quintacube.functions.sizing import cut
 from quintacube.operators import checks, loads, runlog
 from quintacube.sources.tables import jdbc_options
 
@@ -139,3 +140,16 @@ def test_jdbc_scan_is_split():
     assert options["numPartitions"] == "4" and options["partitionColumn"] == "id"
     with pytest.raises(ValueError):
         jdbc_options("jdbc:x", "t", "id", 5, 1, 4)
+
+
+@pytest.mark.parametrize("mark", [None, 0])
+def test_repeated_keys_of_several_columns_in_files(spark, monkeypatch, mark):
+    keys = [(1, "a"), (1, "b"), (1, "b"), (None, "a"), (None, "a"), (None, "a"), ("2", None), (3, "c")]
+    table = cut(spark.createDataFrame([(k and int(k), s) for k, s in keys], "k int, s string"))
+    if mark is not None:  # all keys meet
+        monkeypatch.setattr(checks, "_mark", lambda keys: F.lit(mark).cast("bigint"))
+    seen = []
+    monkeypatch.setattr(checks, "small_side", lambda df: seen.append(df._jdf.queryExecution().executedPlan().toString()) or df)
+    found = checks.unique_keys({"t": (table, ["k", "s"])})
+    assert rows(found) == [("t", 2)]
+    assert len(seen) == 1 and "hashpartitioning(k" not in seen[0]
