@@ -151,3 +151,14 @@ def test_ranges_of_odd_tables(spark):
     assert max(ranges_of(hot, range_predicates(hot, "k", 4, "n"))) <= 50
     with pytest.raises(ValueError, match="partition"):
         range_predicates(rows, "k", 0)
+
+
+def test_tables_written_on_the_way_are_compressed_beyond_the_default(spark):
+    import pyarrow.parquet as pq
+
+    rows = spark.range(20_000).selectExpr("id % 2 AS g", "id", "CAST(id AS decimal(38,8)) AS d", "CAST(id % 100 AS string) AS s")
+    written = cut(rows, partition_by="g")
+    files = [f.removeprefix("file:") for f in written.inputFiles()]
+    assert {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files} == {"ZSTD"}
+    written = written.select(rows.columns)
+    assert written.exceptAll(rows).isEmpty() and rows.exceptAll(written).isEmpty()
