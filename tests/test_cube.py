@@ -120,7 +120,7 @@ def test_measure_types_follow_the_parameter(built):
 
 def amounts(spark, *values):
     return spark.createDataFrame(
-        [(i % 2, i, v and Decimal(v), v and Decimal(v)) for i, v in enumerate(values)],
+        [(i % 2, i, v and Decimal(v), v and Decimal(v) + Decimal(i * 12345679 - 7).scaleb(-8)) for i, v in enumerate(values)],
         "k int, quantidade bigint, valor decimal(27,2), lucro decimal(37,8)",
     )
 
@@ -129,6 +129,7 @@ def amounts(spark, *values):
     ("values", "columns"),
     [
         (("0.01", "-7.25", None, "123.40"), ["quantidade", "valor", "lucro"]),
+        (("1.00", "99999999999.99", "-0.01", "-5.55", "2.00", "-0.03"), ["quantidade", "valor", "lucro_unidades", "lucro_fracao"]),
         (("99999999999.99", "-0.01", "-5.55", None), ["quantidade", "valor", "lucro_unidades", "lucro_fracao"]),
         (("9999999999999999.99", "-0.07", None, "-1.00"), ["quantidade", "valor_unidades", "valor_fracao", "lucro_unidades", "lucro_fracao"]),
         (("9999999999999999999999999.99", "-0.07", None, "0.01"), ["quantidade", "valor", "lucro"]),
