@@ -115,7 +115,9 @@ def frequent_pieces(docs: DataFrame, text: str, k: int = FREQUENT, tracked: int
     )
     if some.isEmpty():
         return []
-    found = some.agg(F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch")).select(
+    # Grouped by one value: without a group, a task that gets no sketch would hand on an empty one, which has no type and fails.
+    merged = some.groupBy(F.lit(0).alias("all")).agg(F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"))
+    found = merged.select(
         F.expr(f"approx_top_k_estimate(sketch, {k})").alias("top")
     )
     top = found.first()["top"] or []

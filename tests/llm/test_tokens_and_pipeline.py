@@ -61,6 +61,21 @@ def test_workers_keep_short_pieces_over_their_tasks_and_no_long_ones(spark):
     assert ids[" more"] == ids[" more"] and len(ids["xyz" * 100]) > 0 and " more" in ids and "xyz" * 100 not in ids
 
 
+def test_sketches_are_merged_where_a_task_gets_none(spark):
+    """A file of sketches that is split among tasks leaves some of them without a row."""
+    words = [(i, " ".join(f"w{i % 50}x{j}" for j in range(40)) + " all all") for i in range(40)]
+    docs = spark.createDataFrame(words, "doc_id long, text string").repartition(3)
+    held = {"spark.sql.files.maxPartitionBytes": "512", "spark.sql.files.openCostInBytes": "64"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        assert token_count.frequent_pieces(docs, "text", 1, 500) == ["▁all"]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_feistel_is_a_permutation():
     for n in (1, 2, 3, 7, 1000, 65_537):
         assert sorted(token_shards.feistel(np.arange(n), n).tolist()) == list(range(n))
