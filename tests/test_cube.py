@@ -1,3 +1,5 @@
+from collections import Counter
+from dataclasses import replace
 from decimal import Decimal
 
 import pytest
@@ -156,3 +158,20 @@ def test_a_partition_of_the_cube_takes_a_bounded_number_of_grain_rows(spark, bui
     plan = fact._jdf.queryExecution().optimizedPlan().toString()
     assert "Sort [cpf" in plan and "Sort [produto" in plan
     assert world.natural(fact, dims) == world.cube()
+
+
+def test_groupings_without_the_store_are_read_from_those_with_it(built, spark):
+    """Written once each; a slice of any of the 32 groupings reads one folder, and none is lost for an unknown store."""
+    _, _, given, fact = built
+    given = replace(given, stores=given.stores.limit(1))
+    written = cut(cube.summed_groupings(given), partition_by="gid")
+    assert written.select("gid").distinct().count() <= 24
+    found = cube.all_groupings(written)
+    assert found.schema == written.schema
+    whole = cube.build_cube(given).collect()
+    assert Counter(found.select(*cube.COLUMNS).collect()) == Counter(whole) and found.where("idLoja IS NULL").count() == 0
+    for keys in cube.grouping_sets():
+        rows = cube.cube_slice(found, keys)
+        gid = cube.gid_of(keys)
+        assert Counter(rows.select(*cube.COLUMNS).collect()) == Counter(r for r in whole if r["gid"] == gid)
+        assert len({f.split("gid=")[1].split("/")[0] for f in rows.select(F.input_file_name()).distinct().toPandas().iloc[:, 0]}) <= 1
