@@ -5,16 +5,18 @@ further left in the same one. Every byte of a repeat is removed; repeats are jud
 
 1. Anchors. The smallest hash of the `GRAM`-byte grams inside a string of `NEED` bytes, the leftmost
    if several are equal, depends on the string alone. Starts that share an anchor form a range.
-2. Candidates. Anchors found once in the corpus cannot belong to a repeat and go.
+2. Candidates. Every range goes to its anchor once, as numbers. An anchor found once in the corpus
+   cannot belong to a repeat. Of equal ranges (equal hashes of anchor and bytes, 128 bits) the earliest
+   stays and all others repeat it whole. Strings of one range differ, so an anchor that is left with
+   one piece is done. Equal ranges of a task are combined before that shuffle, so that what a hot
+   passage sends grows with the tasks, not with the documents.
 3. Wide anchors. An anchor with more than `WIDE` different pieces around it, such as a common line
    that is shorter than `NEED` bytes, is taken apart: each of its strings gets the string's own hash
-   for an anchor, and those found once go too. So no shard has to hold all that surrounds a common line.
+   for an anchor. One with an eighth of that in `RANGES` ranges of a task is taken apart as well, and its
+   ranges are spread over the tasks. So no task has to hold all that surrounds a common line.
 4. Shards. The bytes around each remaining range go to the shard of its anchor's hash, where all
-   equal strings meet. Before and after that shuffle equal pieces are combined into their earliest,
-   so that what a hot passage sends grows with the tasks, not with the documents. Strings of one
-   range differ, so an anchor that is left with one piece is done. The suffixes of the other
-   pieces of a shard are sorted by external induced sorting; neighbours with `NEED` bytes in common
-   are one string, and all its starts but the earliest are repeats.
+   equal strings meet. The suffixes of the pieces of a shard are sorted by external induced sorting;
+   neighbours with `NEED` bytes in common are one string, and all its starts but the earliest are repeats.
 5. Removal. Each document gets its repeats and is cut.
 
 Texts are read in place three times, or four if there are wide anchors, and never shuffled: ranges and repeats are written by block
@@ -29,17 +31,15 @@ others are ignored.
 
 from __future__ import annotations
 
-import hashlib
 import tempfile
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import pyarrow.dataset as ds
 from pyarrow import fs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quintacube.functions.sizing import cut, small_side
@@ -56,6 +56,11 @@ BLOCK_ROWS = 1 << 14
 PIECE_BITS = 25
 #: Different pieces around one anchor, beyond which its strings are told apart: about an eighth of a shard.
 WIDE = SHARD_BYTES >> 10
+#: Ranges of a task among which equal ones are combined before they meet their anchor.
+RANGES = 1 << 18
+#: What is known of a range: all its strings repeat; its bytes are to be sorted, `MANY` if its anchor
+#: has more ranges than it may have pieces; each of its strings is to get an anchor of its own.
+KNOWN, OPEN, MANY, APART = 1, 2, 3, 4
 #: Bytes that a task hands on at once, and that one which sorts holds in memory before it uses a file.
 BATCH_BYTES, SPOOLED_BYTES = 1 << 21, 1 << 25
 _LAST_ID = (1 << 63) - 1
@@ -102,60 +107,114 @@ def _pieces(data: bytes, need: int) -> Iterator[tuple[int, bytes]]:
         yield at, data[at : at + size + need - 1]
 
 
-def _encoded(text: str | None) -> bytes:
-    return text.encode("utf-8", "surrogatepass") if text else b""
-
-
 def _bytes(batch: pa.RecordBatch) -> Iterator[bytes]:
     """The texts one by one: a batch may hold many times the bytes that a task should."""
-    return (_encoded(t.as_py()) for t in batch.column("text"))
+    return (t.as_py() or b"" for t in batch.column("text"))
 
 
-_RANGE = "key long, block long, row int, first int, starts int, piece long"
-_RANGE_KINDS = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64()]
-_RANGE_NAMES = ["key", "block", "row", "first", "starts", "piece"]
+_RANGE = "doc_id long, block long, row int, first int, starts int, state int, key long, piece long"
+_RANGE_KINDS = {"doc_id": np.int64, "block": np.int64, "row": np.int32, "first": np.int32, "starts": np.int32, "state": np.int32, "key": np.int64, "piece": np.int64}
+_SPREAD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
 
-def _find_anchors(need: int, gram: int):
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def batch_of(parts: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
-            owner, first, count, key, whole = anchors([p[3] for p in parts], need, gram)
-            block, row, offset = (np.array([p[k] for p in parts], np.int64) for k in range(3))
-            columns = [key, block[owner], row[owner].astype(np.int32), (first + offset[owner]).astype(np.int32), count.astype(np.int32), whole]
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], _RANGE_NAMES)
+def _spread(*numbers: np.ndarray) -> np.ndarray:
+    h = np.zeros(len(numbers[0]), np.uint64)
+    for x, by in zip(numbers, _SPREAD, strict=False):
+        h = (h ^ (h >> np.uint64(32)) ^ x.astype(np.int64).view(np.uint64)) * by
+    return (h ^ (h >> np.uint64(29))).view(np.int64)
 
-        for batch in batches:
-            held, size = [], 0
-            for block, row, data in zip(batch.column("block").to_pylist(), batch.column("row").to_pylist(), _bytes(batch), strict=True):
-                for at, piece in _pieces(data, need):
-                    held.append((block, row, at, piece))
-                    size += len(piece)
-                    if size >= words.CHUNK_BYTES:
-                        yield batch_of(held)
-                        held, size = [], 0
-            if held:
-                yield batch_of(held)
 
-    return find
+def _combined(parts: list[dict[str, np.ndarray]], need: int, many: int) -> pa.RecordBatch:
+    """Some ranges of a task as they go to their anchors.
+
+    Of equal ones the earliest goes. The others are known to repeat; neighbouring ones of a text go as
+    one, away from their anchor. An anchor with more than `many` pieces is taken apart: one of its ranges
+    tells the other tasks so, the rest meet none but their equals.
+    """
+    c = {n: np.concatenate([p[n] for p in parts]).astype(np.int64) for n in _RANGE_KINDS if n != "state"}
+    order = np.lexsort((c["first"], c["row"], c["block"], c["doc_id"]))
+    c = {n: v[order] for n, v in c.items()}
+    n = len(order)
+    line = np.lexsort((c["piece"], c["key"]))
+    key, piece = c["key"][line], c["piece"][line]
+    lead = np.append(True, key[1:] != key[:-1])
+    head = lead | np.append(True, piece[1:] != piece[:-1])
+    group = np.cumsum(lead) - 1
+    hot = head & (np.bincount(group[head])[group] > many)
+    state = np.zeros(n, np.int64)
+    state[line[~head]], state[line[hot]] = KNOWN, APART
+    apart = line[hot & ~lead]
+    c["key"][apart] ^= _spread(c["piece"][apart])
+    again = state == KNOWN
+    end = c["first"] + c["starts"] + (need - 1)
+    of_text = (c["block"][1:] == c["block"][:-1]) & (c["row"][1:] == c["row"][:-1])
+    joins = again & np.append(False, again[:-1] & of_text & (c["first"][1:] <= end[:-1]))
+    begin = np.flatnonzero(~joins)
+    stop = np.maximum.reduceat(end, begin)  # of a text's neighbours the last reaches furthest
+    c = {n: v[begin] for n, v in (c | {"state": state}).items()}
+    c["starts"] = stop - c["first"] - (need - 1)
+    known = c["state"] == KNOWN
+    c["key"][known] = _spread(c["block"][known], c["row"][known], c["first"][known])
+    c["piece"][known] = 0
+    return pa.RecordBatch.from_arrays([pa.array(c[n].astype(t)) for n, t in _RANGE_KINDS.items()], list(_RANGE_KINDS))
+
+
+def _ids(batch: pa.RecordBatch) -> np.ndarray:
+    return batch.column("doc_id").fill_null(_LAST_ID).to_numpy()
+
+
+def _find_anchors(need: int, gram: int, many: int):
+    def of_texts(texts: list[tuple[int, int, int, int, bytes]]) -> dict[str, np.ndarray]:
+        owner, first, count, key, whole = anchors([t[4] for t in texts], need, gram)
+        ids, block, row, offset = (np.array([t[k] for t in texts], np.int64)[owner] for k in range(4))
+        return {"doc_id": ids, "block": block, "row": row, "first": first + offset, "starts": count, "key": key, "piece": whole}
+
+    def parts(batch: pa.RecordBatch) -> Iterator[dict[str, np.ndarray]]:
+        held, size = [], 0
+        for doc_id, block, row, data in zip(_ids(batch).tolist(), batch.column("block").to_pylist(), batch.column("row").to_pylist(), _bytes(batch), strict=True):
+            for at, piece in _pieces(data, need):
+                held.append((doc_id, block, row, at, piece))
+                size += len(piece)
+                if size >= words.CHUNK_BYTES:
+                    yield of_texts(held)
+                    held, size = [], 0
+        if held:
+            yield of_texts(held)
+
+    return lambda batches: _in_groups((p for b in batches for p in parts(b)), need, many)
+
+
+def _in_groups(parts: Iterator[dict[str, np.ndarray]], need: int, many: int) -> Iterator[pa.RecordBatch]:
+    held, size = [], 0
+    for part in parts:
+        if len(part["first"]):
+            held.append(part)
+            size += len(part["first"])
+        if size >= RANGES:
+            yield _combined(held, need, many)
+            held, size = [], 0
+    if held:
+        yield _combined(held, need, many)
 
 
 class Stored:
-    """Rows of a table written by block, loaded for one block at a time, in order of their row."""
+    """Rows of tables written by block, loaded for one block at a time, in order of their row."""
 
-    def __init__(self, folder: str, columns: list[str]):
-        self._store, self._path = fs.FileSystem.from_uri(folder)
+    def __init__(self, folders: list[str], columns: list[str]):
+        self._store, _ = fs.FileSystem.from_uri(folders[0])
+        self._paths = [fs.FileSystem.from_uri(f)[1] for f in folders]
         self._columns, self._block, self._held = columns, None, None
 
     def of(self, block: int) -> dict[str, np.ndarray]:
         if block != self._block:
-            path = f"{self._path}/block={block}"
-            found = {c: np.zeros(0, np.int64) for c in self._columns}
-            if self._store.get_file_info(path).type == fs.FileType.Directory:
-                table = ds.dataset(path, filesystem=self._store, format="parquet").to_table(columns=self._columns)
-                found = {c: table[c].to_numpy() for c in self._columns}
-                order = np.lexsort((found["first"], found["row"]))
-                found = {c: v[order] for c, v in found.items()}
-            self._block, self._held = block, found
+            self._block = self._held = None
+            tables = []
+            for path in (f"{p}/block={block}" for p in self._paths):
+                if self._store.get_file_info(path).type == fs.FileType.Directory:
+                    tables.append(ds.dataset(path, filesystem=self._store, format="parquet").to_table(columns=self._columns))
+            found = {c: np.concatenate([np.zeros(0, np.int32), *(t[c].to_numpy() for t in tables)]) for c in self._columns}
+            order = np.lexsort((found["first"], found["row"]))
+            self._block, self._held = block, {c: v[order] for c, v in found.items()}
         return self._held
 
     def rows(self, block: int, row: int) -> dict[str, np.ndarray]:
@@ -164,91 +223,68 @@ class Stored:
         return {c: v[a:z] for c, v in held.items()}
 
 
-_PIECE = "key long, doc_id long, block long, row int, first int, starts int, ranges int, data binary"
-_PIECE_KINDS = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
-_PIECE_NAMES = ["key", "doc_id", "block", "row", "first", "starts", "ranges", "data"]
+def _stored_texts(batch: pa.RecordBatch, stored: Stored) -> Iterator[tuple[int, int, int, bytes, dict[str, np.ndarray]]]:
+    """Id, block, row, text and stored rows of each text that has any."""
+    blocks, rows = batch.column("block").to_pylist(), batch.column("row").to_pylist()
+    for doc_id, block, row, text in zip(_ids(batch).tolist(), blocks, rows, batch.column("text"), strict=True):
+        r = stored.rows(block, row)
+        if len(r["row"]):
+            data = text.as_py() or b""
+            if len(data) < int(r["end"].max()):
+                raise RuntimeError("a text has changed since its ranges were written")
+            yield doc_id, block, row, data, r
 
 
-def _wide_starts(folder: str, need: int):
+def _wide_starts(folders: list[str], need: int):
     """Every start of the stored ranges as a range of its own, under the hash of its string."""
 
-    def starts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        stored = Stored(folder, ["row", "first", "starts"])
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
+        stored = Stored(folders, ["row", "first", "end"])
         for batch in batches:
-            parts, size = [], 0
-            for block, row, text in zip(batch.column("block").to_pylist(), batch.column("row").to_pylist(), batch.column("text"), strict=True):
-                r = stored.rows(block, row)
-                if len(r["row"]):
-                    data = np.frombuffer(_encoded(text.as_py()), np.uint8)
-                    n = r["starts"].astype(np.int64)
-                    at = np.repeat(r["first"] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-                    key = words.span_hashes(data, at, at + need).view(np.int64)
-                    parts.append((key, np.full(len(at), block, np.int64), np.full(len(at), row), at, np.ones(len(at)), words.window_hashes(data, need)[at].view(np.int64)))
-                    size += 36 * len(at)
-                if parts and size >= BATCH_BYTES:
-                    yield _range_batch(parts)
-                    parts, size = [], 0
-            if parts:
-                yield _range_batch(parts)
-
-    return starts_of
-
+            for doc_id, block, row, text, r in _stored_texts(batch, stored):
+                data = np.frombuffer(text, np.uint8)
+                first, n = r["first"].astype(np.int64), (r["end"] - r["first"]).astype(np.int64) - (need - 1)
+                at = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                same = {c: np.full(len(at), v) for c, v in (("doc_id", doc_id), ("block", block), ("row", row), ("starts", 1))}
+                key, piece = words.span_hashes(data, at, at + need), words.window_hashes(data, need)[at]
+                yield same | {"first": at, "key": key.view(np.int64), "piece": piece.view(np.int64)}
 
-def _range_batch(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-    columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
-    return pa.RecordBatch.from_arrays([pa.array(c.astype(t.to_pandas_dtype())) for c, t in zip(columns, _RANGE_KINDS, strict=True)], _RANGE_NAMES)
+    return lambda batches: _in_groups(parts(batches), need, RANGES)
 
 
-def _digest(key: int, data: bytes) -> bytes:
-    return hashlib.blake2b(data, digest_size=16, salt=key.to_bytes(8, "little", signed=True)).digest()
+_PIECE = "key long, doc_id long, block long, row int, first int, data binary"
+_PIECE_KINDS = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+_PIECE_NAMES = ["key", "doc_id", "block", "row", "first", "data"]
 
 
-def _cut_pieces(folder: str, need: int):
-    """Bytes around each candidate range.
+def _cut_pieces(folders: list[str]):
+    """Bytes around each stored range."""
 
-    Of equal pieces of one batch (equal hashes of anchor and bytes, 128 bits) the first goes with its
-    bytes. The others are known to repeat; they go without, neighbouring ones of a text as one.
-    """
+    def batch_of(parts: list[tuple], data: list[bytes]) -> pa.RecordBatch:
+        n = [len(p[3]) for p in parts]
+        same = [np.repeat(np.array([p[k] for p in parts]), n) for k in range(3)]
+        key, first = (np.concatenate([p[k] for p in parts]) for k in (3, 4))
+        return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip((key, *same, first, data), _PIECE_KINDS, strict=True)], _PIECE_NAMES)
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        stored = Stored(folder, ["row", "first", "starts", "key", "piece"])
+        stored = Stored(folders, ["row", "first", "end", "key"])
         for batch in batches:
-            blocks, rows = batch.column("block").to_numpy(), batch.column("row").to_numpy()
-            ids = batch.column("doc_id").fill_null(_LAST_ID).to_numpy()
-            order = np.lexsort((rows, blocks, ids))
-            held = [stored.rows(block, row) for block, row in zip(blocks[order].tolist(), rows[order].tolist(), strict=True)]
-            counts = np.fromiter((len(h["row"]) for h in held), np.int64, len(held))
-            if not counts.sum():
-                continue
-            c = {n: np.concatenate([h[n] for h in held]) for n in ("first", "starts", "key", "piece")}
-            text = np.repeat(order, counts)
-            n, starts = len(text), c["starts"].astype(np.int64)
-            line = np.lexsort((np.arange(n), c["piece"], c["key"]))
-            same = (c["key"][line[1:]] == c["key"][line[:-1]]) & (c["piece"][line[1:]] == c["piece"][line[:-1]])
-            again = np.zeros(n, bool)
-            again[line[1:][same]] = True
-            end = c["first"] + starts + (need - 1)
-            joins = again & (np.append(False, again[:-1] & (text[1:] == text[:-1]) & (c["first"][1:] <= end[:-1])))
-            begin = np.flatnonzero(~joins)
-            stop = np.maximum.reduceat(end, begin)  # of a text's neighbours the last reaches furthest
-            combined = np.diff(np.append(begin, n)).astype(np.int32)
-            owner, first = text[begin], c["first"][begin].astype(np.int64)
-            columns = [c["key"][begin], ids[owner], blocks[owner], rows[owner], first, stop - first - (need - 1), combined]
-            yield from _with_bytes(batch.column("text"), owner, first, stop, again[begin], columns)
-
-    def _with_bytes(texts, owner, first, stop, again, columns) -> Iterator[pa.RecordBatch]:
-        now, whole, data, size, done = -1, b"", [], 0, 0
-        for k, (o, a, z, known) in enumerate(zip(owner.tolist(), first.tolist(), stop.tolist(), again.tolist(), strict=True)):
-            if o != now:
-                now, whole = o, _encoded(texts[o].as_py())
-                if z > len(whole):
-                    raise RuntimeError("a text has changed since its ranges were written")
-            data.append(None if known else whole[a:z])
-            size += 64 if known else 64 + z - a
-            if size >= BATCH_BYTES or k + 1 == len(owner):
-                part = [pa.array(v[done : k + 1].astype(t.to_pandas_dtype())) for v, t in zip(columns, _PIECE_KINDS, strict=False)]
-                yield pa.RecordBatch.from_arrays([*part, pa.array(data, pa.binary())], _PIECE_NAMES)
-                data, size, done = [], 0, k + 1
+            parts, data, size = [], [], 0
+            for doc_id, block, row, text, r in _stored_texts(batch, stored):
+                begin = 0
+                while begin < len(r["row"]):  # a text alone may have many times the bytes of a batch
+                    room = np.cumsum(r["end"][begin:].astype(np.int64) - r["first"][begin:] + 64)
+                    stop = begin + max(1, int(np.searchsorted(room, BATCH_BYTES - size)))
+                    first, end = r["first"][begin:stop], r["end"][begin:stop]
+                    data += [text[a:z] for a, z in zip(first.tolist(), end.tolist(), strict=True)]
+                    parts.append((doc_id, block, row, r["key"][begin:stop], first))
+                    size += int(room[stop - begin - 1])
+                    begin = stop
+                    if size >= BATCH_BYTES or begin < len(r["row"]):
+                        yield batch_of(parts, data)
+                        parts, data, size = [], [], 0
+            if parts:
+                yield batch_of(parts, data)
 
     return cut_out
 
@@ -287,57 +323,31 @@ def repeats(
 
 
 def _sort_shard(need: int, memory: int, queue: int):
-    def all_repeat(c: dict[str, np.ndarray]) -> pa.RecordBatch:
-        """Of pieces equal to an earlier one."""
-        return _repeat_batch(c["block"], c["row"], c["first"], c["first"] + c["starts"] - 1 + need)
-
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Bytes go to a file of the task once there are many; a piece keeps 64 bytes of numbers in memory.
+        # Bytes go to a file of the task once there are many; a piece keeps 32 bytes of numbers in memory.
         spool = tempfile.SpooledTemporaryFile(SPOOLED_BYTES)
-        parts, marks, received = [], [], 0
+        parts, columns = [], ["doc_id", "block", "row", "first"]
         for batch in batches:
-            received += pc.sum(batch.column("ranges")).as_py() or 0
-            whole = batch.column("data").is_valid().to_numpy(zero_copy_only=False)
-            columns = {c: batch.column(c).to_numpy() for c in _PIECE_NAMES[:-1]}
-            if not whole.all():
-                yield all_repeat({n: v[~whole] for n, v in columns.items()})
-            if whole.any():
-                columns = {n: v[whole].copy() for n, v in columns.items()}
-                digests = []
-                for key, piece in zip(columns["key"].tolist(), batch.column("data").filter(pa.array(whole)), strict=True):
-                    data = piece.as_py()
-                    digests.append(_digest(key, data))
-                    spool.write(data)
-                parts.append(columns)
-                marks.append(np.frombuffer(b"".join(digests), np.uint64).reshape(-1, 2))
+            data = batch.column("data").cast(pa.large_binary())
+            bounds = np.frombuffer(data.buffers()[1], np.int64)[data.offset : data.offset + len(data) + 1]
+            spool.write(data.buffers()[2][int(bounds[0]) : int(bounds[-1])] if len(data) else b"")
+            parts.append({n: batch.column(n).to_numpy().copy() for n in columns} | {"size": np.diff(bounds)})
+        received = sum(len(p["size"]) for p in parts)
         yield pa.RecordBatch.from_arrays(
             [pa.array([None], pa.int64()), pa.array([None], pa.int32()), pa.array([received], pa.int32()), pa.array([None], pa.int32())],
             ["block", "row", "first", "end"],
         )
-        if not parts:
+        if not received:
             return
         c = {n: np.concatenate([p[n] for p in parts]) for n in parts[0]}
-        mark = np.concatenate(marks)
-        sizes = c["starts"].astype(np.int64) + (need - 1)
-        at = np.cumsum(sizes) - sizes
-        line = np.lexsort((c["first"], c["row"], c["block"], c["doc_id"], mark[:, 1], mark[:, 0]))
-        equal = (mark[line[1:]] == mark[line[:-1]]).all(axis=1)
-        again = line[1:][equal]
-        if len(again):
-            yield all_repeat({n: v[again] for n, v in c.items()})
-        line = np.sort(line[np.append(True, ~equal)])
-        _, which, pieces = np.unique(c["key"][line], return_inverse=True, return_counts=True)
-        line = line[pieces[which] > 1]
-        if not len(line):
-            return
-        c, sizes, at = {n: v[line] for n, v in c.items()}, sizes[line], at[line]
-        text, end = scratch(int(sizes.sum()), np.uint8, memory), 0
-        for where, size in zip(at.tolist(), sizes.tolist(), strict=True):
-            spool.seek(where)
-            text[end : end + size] = np.frombuffer(spool.read(size), np.uint8)
-            end += size
+        sizes = c["size"]
+        text, at = scratch(int(sizes.sum()), np.uint8, memory), 0
+        spool.seek(0)
+        while part := spool.read(BATCH_BYTES):
+            text[at : at + len(part)] = np.frombuffer(part, np.uint8)
+            at += len(part)
         spool.close()
-        piece, start = repeats(text, sizes, (c["doc_id"], c["block"], c["row"], c["first"]), c["starts"].astype(np.int64), need, memory, queue)
+        piece, start = repeats(text, sizes, tuple(c[n] for n in columns), sizes - (need - 1), need, memory, queue)
         if len(piece):
             fresh = np.append(True, (piece[1:] != piece[:-1]) | (np.diff(start) != 1))
             begin = np.flatnonzero(fresh)
@@ -359,9 +369,10 @@ _RESULT = "doc_id long, n_bytes long, spans array<struct<start:int,end:int>>, ke
 _SPAN = pa.struct([("start", pa.int32()), ("end", pa.int32())])
 
 
-def _remove(folder: str):
+def _remove(folders: list[str]):
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        stored = Stored(folder, ["row", "first", "end"])
+        stored = Stored(folders, ["row", "first", "end"])
+
         def batch_of(ids: pa.Array, sizes: list[int], spans: list, kept: list[bytes]) -> pa.RecordBatch:
             columns = [ids, pa.array(sizes, pa.int64()), pa.array(spans, pa.list_(_SPAN)), pa.array(kept, pa.binary())]
             return pa.RecordBatch.from_arrays(columns, ["doc_id", "n_bytes", "spans", "kept"])
@@ -399,15 +410,44 @@ def _placed(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     row = F.col("row")
     return placed(docs, list(dict.fromkeys([id_col, text]))).select(
         row[id_col].cast("long").alias("doc_id"),
-        row[text].cast("string").alias("text"),
+        row[text].cast("string").cast("binary").alias("text"),
         F.xxhash64("file", F.floor(F.col("at") / BLOCK_ROWS)).alias("block"),
         (F.col("at") % BLOCK_ROWS).cast("int").alias("row"),
     )
 
 
-def _write_by_block(rows: DataFrame, folder: str) -> str:
-    rows.repartition("block").write.partitionBy("block").parquet(folder)
-    return folder
+_STATED = "state int, block long, row int, first int, end int, key long"
+
+
+def _judged(found: DataFrame, need: int, wide: int) -> DataFrame:
+    """What is known of each range once it has met all that share its anchor; ranges without a repeat go."""
+    line = Window.partitionBy("key").orderBy("piece", "doc_id", "block", "row", "first")
+    every = line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    piece = F.col("piece")
+    state = (
+        F.when((F.col("state") == KNOWN) | (F.col("before") == piece), KNOWN)
+        .when(F.col("most") == APART, APART)
+        .when(F.col("low") == F.col("high"), 0)
+        .when(F.col("n") > wide, MANY)
+        .otherwise(OPEN)
+    )
+    met = found.select(
+        "*",
+        F.lag("piece").over(line).alias("before"),
+        F.count("*").over(every).alias("n"),
+        F.min("piece").over(every).alias("low"),
+        F.max("piece").over(every).alias("high"),
+        F.max("state").over(every).alias("most"),
+    )
+    end = (F.col("first") + F.col("starts") + (need - 1)).alias("end")
+    key = F.when(F.col("state").isin(OPEN, MANY), F.col("key")).alias("key")
+    return met.withColumn("state", state).where("state > 0").select("state", "block", "row", "first", end, key)
+
+
+def _write_by_block(rows: DataFrame, folder: str) -> DataFrame:
+    """The rows as written to a folder for each state, and in it for each block."""
+    rows.repartition("block").write.option("compression", "zstd").partitionBy("state", "block").parquet(folder)
+    return rows.sparkSession.read.schema(_STATED).parquet(folder)
 
 
 def remove_repeats(
@@ -424,37 +464,35 @@ def remove_repeats(
     """Id, n_bytes, the maximal removed spans and the kept bytes of every row's UTF-8 text."""
     folder = f"{ensure_checkpoint_dir(docs.sparkSession)}/substring-dedup/{uuid.uuid4()}"
     rows = _placed(docs, id_col, text)
-    found = cut(rows.mapInArrow(_find_anchors(need, gram), _RANGE))
-    again = cut(found.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
-    ranges = found.join(again.select("key"), "key")
-    columns = ["block", "row", "first", "starts", "key", "piece"]
-    by_block = _write_by_block(ranges.select(*columns), f"{folder}/ranges")
-    if not again.where(F.col("n") > wide).isEmpty():
-        # Equal pieces are counted before they meet their key, so a key that many texts share is few rows.
-        written = docs.sparkSession.read.schema("key long, piece long").parquet(by_block)
-        kinds = written.groupBy("key", "piece").agg(F.count("*").alias("n")).groupBy("key").agg(F.count("*").alias("kinds"))
-        broad = cut(kinds.where(F.col("kinds") > wide).select("key"))
-        if not broad.isEmpty():
-            # Few keys by arithmetic: each has more than `wide` ranges.
-            apart = ranges.join(small_side(broad), "key", "left_semi").select("block", "row", "first", "starts")
-            starts = cut(rows.mapInArrow(_wide_starts(_write_by_block(apart, f"{folder}/wide"), need), _RANGE))
-            met = starts.groupBy("key").count().where("count > 1").select("key")
-            ranges = ranges.join(small_side(broad), "key", "left_anti").unionByName(starts.join(met, "key", "left_semi"))
-            by_block = _write_by_block(ranges.select(*columns), f"{folder}/narrow")
-    size, expected = docs.sparkSession.read.schema("block long, row int, first int, starts int").parquet(by_block).agg(
-        F.sum(F.col("starts") + (need - 1)), F.count("*")
-    ).first()
+    found = rows.mapInArrow(_find_anchors(need, gram, max(1, wide >> 3)), _RANGE)
+    ranges = _write_by_block(_judged(found, need, wide), f"{folder}/ranges")
+    heads = ranges.where(F.col("state").isin(OPEN, MANY))
+    # Few keys by arithmetic: each has more than `wide` ranges.
+    pieces = ranges.where(F.col("state") == MANY).groupBy("key").agg(F.count("*").alias("n"))
+    broad = small_side(pieces.where(F.col("n") > wide).select("key"))
+    narrow = heads.join(broad, "key", "left_anti")
+    to_cut = [f"{folder}/ranges/state={s}" for s in (OPEN, MANY)]
+    to_part, known = [f"{folder}/ranges/state={APART}"], [f"{folder}/ranges/state={KNOWN}"]
+    many = not broad.isEmpty()
+    if many:
+        narrow = _write_by_block(narrow, f"{folder}/narrow")
+        _write_by_block(heads.join(broad, "key").withColumn("state", F.lit(APART)), f"{folder}/broad")
+        to_cut = [f"{folder}/narrow/state={s}" for s in (OPEN, MANY)]
+        to_part.append(f"{folder}/broad/state={APART}")
+    if many or not ranges.where(F.col("state") == APART).isEmpty():
+        starts = rows.mapInArrow(_wide_starts(to_part, need), _RANGE)
+        _write_by_block(_judged(starts, need, wide).where(F.col("state") == KNOWN), f"{folder}/apart")
+        known.append(f"{folder}/apart/state={KNOWN}")
+    size, expected = narrow.agg(F.sum(F.col("end") - F.col("first")), F.count("*")).first()
     shards = -(-(size or 1) // shard_bytes)
-    # A piece that is known to repeat needs no shard; it must not follow its hot key into one.
-    place = F.when(F.col("data").isNull(), F.xxhash64("block", "row", "first")).otherwise(F.col("key"))
-    pieces = rows.mapInArrow(_cut_pieces(by_block, need), _PIECE).repartition(shards, place)
+    pieces = rows.mapInArrow(_cut_pieces(to_cut), _PIECE).repartition(shards, "key")
     found = cut(pieces.mapInArrow(_sort_shard(need, memory, queue), _REPEAT))
     # Every shard reports the number of its pieces in a row of its own, without a block.
     cut_out = found.where("block IS NULL").agg(F.sum("first")).first()[0] or 0
     if cut_out != expected:
         raise RuntimeError(f"{expected} ranges were written, {cut_out} were cut out of the texts")
-    removed = _write_by_block(found.where("block IS NOT NULL"), f"{folder}/repeats")
-    return rows.mapInArrow(_remove(removed), _RESULT)
+    _write_by_block(found.where("block IS NOT NULL").withColumn("state", F.lit(KNOWN)), f"{folder}/repeats")
+    return rows.mapInArrow(_remove([*known, f"{folder}/repeats/state={KNOWN}"]), _RESULT)
 
 
 def oracle_sql(need: int = NEED) -> str:

@@ -184,6 +184,32 @@ def test_many_copies_around_one_anchor_are_counted_without_a_semi_join(spark, mo
     assert {r.doc_id: ([tuple(s) for s in r.spans], bytes(r.kept)) for r in got} == brute_removal(docs, 100)
 
 
+@pytest.mark.parametrize(("parts", "wide"), [(20, 160), (3, 160)])  # found wide once all have met, and by a task
+def test_ranges_meet_their_anchor_once_also_if_it_is_wide(spark, monkeypatch, parts, wide):
+    line = "All contents of this page are provided as they are."
+    docs = [(k, f"{helpers.prose(k, 12)}\n{line}\n{helpers.prose(500 + k, 12)}") for k in range(300)]
+    docs += [(300 + k, docs[k][1][20:]) for k in range(0, 300, 50)] + [(700 + k, docs[7][1]) for k in range(5)]
+    sides = []
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(parts)
+    whole = type(frame).join
+    monkeypatch.setattr(type(frame), "join", lambda self, *a: sides.append(self._jdf.queryExecution().analyzed().toString()) or whole(self, *a))
+    got = substring_dedup.remove_repeats(frame, wide=wide).collect()
+    # What is joined has been written by block; joining the ranges anew for every use shuffled all of them again.
+    assert sides and not [s for s in sides if "Join" in s or "MapInArrow" in s]
+    assert {r.doc_id: ([tuple(s) for s in r.spans], bytes(r.kept)) for r in got} == brute_removal(docs, 100)
+
+
+def test_bytes_of_copies_are_not_shuffled(spark, monkeypatch):
+    docs = [(k, helpers.prose(k % 9, 60)) for k in range(90)]
+    made = []
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(6)
+    whole = type(frame).mapInArrow
+    monkeypatch.setattr(type(frame), "mapInArrow", lambda self, f, schema, *a: made.append((schema, whole(self, f, schema, *a))) or made[-1][1])
+    got = substring_dedup.remove_repeats(frame).collect()
+    assert [df.count() for schema, df in made if schema == substring_dedup._PIECE] == [0]
+    assert {r.doc_id: ([tuple(s) for s in r.spans], bytes(r.kept)) for r in got} == brute_removal(docs, 100)
+
+
 def test_a_shard_of_many_times_its_memory_budget():
     rng = random.Random(11)
     passages = [helpers.prose(900 + k, 30).encode() for k in range(60)]
