@@ -189,19 +189,25 @@ def _names(text: np.ndarray, start: np.ndarray, sigma: int) -> np.ndarray:
 
 def _in_memory(text: np.ndarray, need: int) -> tuple[np.ndarray, np.ndarray]:
     """Order and common prefixes of all suffixes by prefix doubling up to `need` symbols."""
-    n, ranks, width = len(text), [text.astype(np.int64)], 1
-    while width < need and ranks[-1].max() + 1 < n:
-        rank = ranks[-1]
-        following = np.zeros(n, np.int64)
-        following[: n - width] = rank[width:] + 1
-        key = rank * (n + 1) + following
-        order = np.argsort(key)
-        fresh = np.append(0, key[order][1:] != key[order][:-1])
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(fresh)
+    n, rank, ranks, width = len(text), text.astype(np.int64), [], 1
+    order = np.argsort(rank, kind="stable")
+    at, key = np.arange(n), rank[order]
+    while True:  # a rank is the place of the first of its equals; only those that have equals are sorted on
+        fresh = np.append(True, key[1:] != key[:-1])
+        begin = np.flatnonzero(fresh)
+        counts = np.diff(np.append(begin, len(at)))
+        rank = rank.copy()
+        rank[order[at]] = np.repeat(at[begin], counts)
         ranks.append(rank)
+        at = at[np.repeat(counts > 1, counts)]
+        if width >= need or not len(at):
+            break
+        member = order[at]
+        following = np.where(member + width < n, rank[np.minimum(member + width, n - 1)] + 1, 0)
+        key = rank[member] * (n + 1) + following
+        inside = np.argsort(key)
+        order[at], key = member[inside], key[inside]
         width *= 2
-    order = np.argsort(ranks[-1], kind="stable")
     a, b, common = order[:-1].copy(), order[1:].copy(), np.zeros(n, np.int64)
     for k in range(len(ranks) - 1, -1, -1):
         ok = (a < n) & (b < n)

@@ -301,13 +301,16 @@ def repeats(
     their numbers of starts, below `need` + 1 each.
     """
     begin = np.cumsum(sizes) - sizes
+    owner = scratch(len(text), np.int32, memory)
+    owner[begin[1:]] = 1
+    np.cumsum(owner, out=owner)
     rank = np.empty(len(sizes), np.int64)
     rank[np.lexsort(order[::-1])] = np.arange(len(sizes))
     found, group, kept = [], 0, []
     for position, prefix in suffixes(text, 256, need, memory, queue):
         groups = group + np.cumsum(prefix < need)
         group = int(groups[-1])
-        piece = np.searchsorted(begin, position, side="right") - 1
+        piece = owner[position]
         inside = position - begin[piece]
         ok = inside < starts[piece]
         found.append((rank[piece[ok]] * (need + 1) + inside[ok]).astype(np.int64))
