@@ -15,7 +15,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quintacube.functions.sizing import cut, is_read, size_in_bytes, small_side
-from quintacube.operators.cube import KEYS, MEASURES, CubeInput, build_cube, looked_up
+from quintacube.operators.cube import (
+    KEYS, MEASURES, CubeInput, build_cube, has_keys, looked_up, store_lookup, summed_groupings, with_store_copies,
+)
 
 #: Bytes of the stored rows that one partition of a merge takes.
 STORED_BYTES_A_PARTITION = 8 << 20
@@ -79,14 +81,35 @@ def summed(rows: DataFrame) -> DataFrame:
     return rows.groupBy("gid", *KEYS).agg(*[F.sum(c).cast(kind).alias(c) for c, kind in kinds.items()])
 
 
-def merged(stored: DataFrame, delta: DataFrame) -> DataFrame:
+def merged(stored: DataFrame, delta: DataFrame | CubeInput, grain: DataFrame | None = None) -> DataFrame:
     """Unrounded cube rows with the delta added; a key left with nothing sold goes.
 
     Nearly every key is on one side only, once. So the rows are dealt out before they are summed: sums
-    on the way would hold every row in memory and spill, without making them fewer.
+    on the way would hold every row in memory and spill, without making them fewer. Where the delta is
+    still to be summed, from the written `grain`, `stored` holds the 24 summed groupings only and meets
+    the sales as they are dealt out for their sums: the delta's rows are then never sent themselves.
     """
-    delta = delta.select(*[F.col(c).cast(stored.schema[c].dataType).alias(c) for c in stored.columns])
-    known = sum(size_in_bytes(side) for side in (stored, delta) if is_read(side))
-    least = int(stored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    both = stored.unionByName(delta).repartition(max(least, -(-known // STORED_BYTES_A_PARTITION)), "gid", *KEYS)
-    return summed(both).where("NOT (quantidade = 0 AND valor = 0 AND lucro = 0)")
+    if isinstance(delta, CubeInput):
+        found = _with_store_copies_summed(delta, stored, summed_groupings(delta, grain, stored))
+    else:
+        delta = delta.select(*[F.col(c).cast(stored.schema[c].dataType).alias(c) for c in stored.columns])
+        known = sum(size_in_bytes(side) for side in (stored, delta) if is_read(side))
+        least = int(stored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        both = stored.unionByName(delta).repartition(max(least, -(-known // STORED_BYTES_A_PARTITION)), "gid", *KEYS)
+        found = summed(both)
+    return found.where("NOT (quantidade = 0 AND valor = 0 AND lucro = 0)")
+
+
+def _with_store_copies_summed(m: CubeInput, stored: DataFrame, rows: DataFrame) -> DataFrame:
+    """All 32 groupings of the 24 summed ones, one row a key.
+
+    An employee with rows of several stores has as many copies without the store; only these are summed again.
+    """
+    place = ["idFuncionario", "idLoja"]
+    known = stored.where(has_keys("idFuncionario")).select(*place).unionByName(store_lookup(m).select(*place))
+    several = cut(known.distinct().groupBy("idFuncionario").count().where("count > 1").select("idFuncionario"))
+    found = with_store_copies(rows)
+    if several.isEmpty():
+        return found
+    of_several, others = (found.join(small_side(several), "idFuncionario", how).select(found.columns) for how in ("left_semi", "left_anti"))
+    return others.unionByName(summed(of_several))

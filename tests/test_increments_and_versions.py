@@ -1,5 +1,7 @@
 """Loads that add to, change and delete from a stored warehouse, and the switch between its versions."""
 
+from collections import Counter
+from dataclasses import replace
 from decimal import Decimal
 
 import pytest
@@ -7,7 +9,8 @@ import world
 from pyspark.sql import functions as F
 
 from quintacube.functions.sizing import cut
-from quintacube.operators import cube, increment, runlog, surrogate
+from quintacube.operators import cube, increment, runlog, staging, surrogate
+from quintacube.operators.dimensions import build_dimensions
 from quintacube.plans import full_run as runs
 from quintacube.sources import versions
 
@@ -185,3 +188,60 @@ def test_rows_are_dealt_out_before_they_are_merged(spark):
     assert got == {(1, None): (3, Decimal(5), Decimal(3)), (2, 1): (1, Decimal(1), Decimal(1))}
     below = found._jdf.queryExecution().executedPlan().toString().split("Exchange hashpartitioning(gid")
     assert len(below) == 2 + below[1].count("== Initial Plan ==") and "HashAggregate" not in below[-1]
+
+
+def exact(given):
+    grain = cut(cube.sales_grain(given))
+    return replace(given, measures=cube.exact_measures(grain, cube.Measures())), grain
+
+
+@pytest.fixture(scope="module")
+def parts_of_sales(shop):
+    """Two parts of the sales, and a third that takes back some of the first part."""
+    stg = staging.build_staging(shop)
+    given = cube.cube_input(stg, build_dimensions(shop, stg))
+
+    def of(condition, quantity="tb010_012_quantidade"):
+        sales = stg["vendas"].where(condition).withColumn("tb010_012_quantidade", F.expr(quantity))
+        return replace(given, sales=cube.cube_input({**stg, "vendas": sales}, build_dimensions(shop, stg)).sales)
+
+    code = "tb010_012_cod_venda"
+    return of(f"{code} % 3 <> 0"), of(f"{code} % 3 = 0"), of(f"{code} % 3 = 1", "-tb010_012_quantidade")
+
+
+@pytest.mark.parametrize(("change", "parts"), [("employees of two stores", "2"), ("an unknown store, sales taken back", "30")])
+def test_sales_are_added_as_they_are_summed(spark, parts_of_sales, change, parts):
+    """The same as adding the new sales' whole cube, however many keys are heavy."""
+    old, new, back = parts_of_sales
+    if change == "employees of two stores":
+        more = old.employees.where("idFuncionario % 2 = 0").withColumn("idLoja", F.lit(1).cast(old.employees.schema["idLoja"].dataType))
+        old, new = (replace(x, employees=x.employees.unionByName(more).distinct()) for x in (old, new))
+    else:
+        old, new = (replace(x, stores=x.stores.where("idLoja <> 1")) for x in (old, back))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        old, old_grain = exact(old)
+        new, new_grain = exact(new)
+
+        def written(rows):
+            return cube.unrounded(cut(cube.with_rounded(rows, cube.Measures()), partition_by="gid"))
+
+        expected = increment.merged(written(cube.build_cube(old, old_grain)), cube.build_cube(new, new_grain))
+        found = increment.merged(written(cube.summed_groupings(old, old_grain)), new, new_grain)
+        assert found.columns == expected.columns and found.dtypes == expected.dtypes
+        rows = found.collect()
+        assert len(rows) > 500 and Counter(rows) == Counter(expected.collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_summed_sales_are_not_dealt_out_a_second_time(spark, parts_of_sales, monkeypatch):
+    monkeypatch.setattr(cube, "heavy_keys", lambda rows, keys, *more: {k: [] for k in keys})
+    (old, old_grain), (new, new_grain) = (exact(x) for x in parts_of_sales[:2])
+    stored = cut(cube.summed_groupings(old, old_grain), partition_by="gid")
+    plan = increment.merged(stored, new, new_grain)._jdf.queryExecution().executedPlan().toString()
+    sent = [line for line in plan.split("== Initial Plan ==")[-1].splitlines() if "Exchange hashpartitioning" in line and "REPARTITION" not in line]
+    assert sent and not [line for line in sent if "gid#" in line and ("idCliente" in line or "idProduto" in line)]
+    dealt = [line for line in plan.splitlines() if "REPARTITION_BY_NUM" in line]
+    assert len(dealt) == 2 and "idCliente" in dealt[0] and "idProduto" in dealt[1]
