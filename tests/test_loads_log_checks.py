@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from quintacube.functions.sizing import cut
-from quintacube.operators import checks, loads, runlog
+from quintacube.operators import checks, cube, loads, runlog
+from quintacube.plans import registry
 from quintacube.sources.tables import jdbc_options
 
 NOW = datetime(2024, 5, 1, 12, 0)
@@ -153,3 +154,25 @@ def test_repeated_keys_of_several_columns_in_files(spark, monkeypatch, mark):
     found = checks.unique_keys({"t": (table, ["k", "s"])})
     assert rows(found) == [("t", 2)]
     assert len(seen) == 1 and "hashpartitioning(k" not in seen[0]
+
+
+def test_copies_of_rows_in_files_are_numbered_before_any_count(spark, monkeypatch):
+    table = cut(spark.createDataFrame([(1, 1), (1, 2), (2, 1), (None, 5), (None, 6)], "k int, s int"))
+    copies = table.selectExpr("k", "inline(array(struct(s), struct(-1 AS s)))")
+    seen = []
+    monkeypatch.setattr(checks, "small_side", lambda df: seen.append(df._jdf.queryExecution().executedPlan().toString()) or df)
+    assert rows(checks.unique_keys({"t": (copies, ["k", "s"])})) == [("t", 2)]
+    (plan,) = seen
+    assert "hashpartitioning(k" not in plan and "HashAggregate" not in plan.split("Exchange hashpartitioning(_mark")[1]
+
+
+def test_the_unique_check_reads_every_grouping_and_no_measure(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(registry, "cut", lambda df, **more: written.append(df.columns) or cut(df, **more))
+    seen = {}
+    monkeypatch.setattr(checks, "unique_keys", lambda tables: seen.update(tables))
+    registry.check_unique(m := registry.Model(spark, "/root/testdata/sf0.001"))
+    fact, keys = seen["Fato_Vendas"]
+    assert written == [["gid", *cube.KEYS]] and keys == cube.KEYS
+    counted = {tuple(r) for r in fact.groupBy("gid").count().collect()}
+    assert counted == {tuple(r) for r in cube.build_cube(m.cube_input).groupBy("gid").count().collect()} and len(counted) == 32
