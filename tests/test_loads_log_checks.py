@@ -1,4 +1,5 @@
 from datetime import datetime, timedelta
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -136,6 +137,36 @@ def test_column_stats(spark):
     ]
 
 
+def test_column_stats_hold_all_that_analyze_gathers(spark, tmp_path):
+    """Checked against ANALYZE itself, whose distinct counts are estimates: exact for so few values."""
+    df = spark.createDataFrame(
+        [(1, "bé", Decimal("1.50")), (3, None, None), (3, "abcd", Decimal("2.00")), (None, "abcd", None)],
+        "n int, s string, d decimal(20,2)",
+    )
+    found = {r["coluna"]: r for r in checks.column_stats({"t": df}, analyze=True).collect()}
+    assert {c: tuple(r)[2:] for c, r in found.items()} == {
+        "n": (4, 1, "1", "3", 2, 4, 4), "s": (4, 1, "abcd", "bé", 2, 4, 4), "d": (4, 2, "1.50", "2.00", 2, 16, 16),
+    }
+    spark.sql("DROP TABLE IF EXISTS analyzed")
+    df.write.option("path", str(tmp_path / "t")).saveAsTable("analyzed")
+    checks.analyze_tables(spark, ["analyzed"])
+    for c, r in found.items():
+        kept = {x["info_name"]: x["info_value"] for x in spark.sql(f"DESCRIBE EXTENDED analyzed {c}").collect()}
+        assert (kept["distinct_count"], kept["num_nulls"], kept["avg_col_len"], kept["max_col_len"]) == (
+            str(r["distintos"]), str(r["nulos"]), str(r["tamanho_medio"]), str(r["tamanho_maior"])
+        )
+    spark.sql("DROP TABLE analyzed")
+
+
+def test_the_fact_is_analyzed_whole(spark):
+    found = registry.run("table_stats", spark, "/root/testdata/sf0.001").where("tabela = 'Fato_Vendas'")
+    fact = registry.Model(spark, "/root/testdata/sf0.001").fact
+    expected = fact.agg(F.count("*"), *[F.count_distinct(c) for c in cube.COLUMNS]).first()
+    stats = {r["coluna"]: r for r in found.collect()}
+    assert [stats[c]["distintos"] for c in cube.COLUMNS] == list(expected)[1:]
+    assert {r["linhas"] for r in stats.values()} == {expected[0]}
+
+
 def test_jdbc_scan_is_split():
     options = jdbc_options("jdbc:x", "t", "id", 1, 100, 4)
     assert options["numPartitions"] == "4" and options["partitionColumn"] == "id"
